@@ -15,7 +15,7 @@ from tablewharf.functions.text import duration_text, percent
 from tablewharf.operators.upsert import latest_per_key
 
 LEDGER_SCHEMA = (
-    "run_id string, table_name string, status string, attempt int, at timestamp_ntz,"
+    "run_id string, table_name string, status string, attempt int, logged_at timestamp_ntz,"
     " progress int, src_rows bigint, dst_rows bigint, duplicates bigint, superseded bigint,"
     " quarantined bigint, batch_rows int, readers int, writers int, location string, error string"
 )
@@ -28,9 +28,11 @@ RECENT_MESSAGES = 100
 ERROR_CHARS = 200
 
 
-def current_status(ledger: DataFrame, key: Sequence[str] = ("table_name",)) -> DataFrame:
+def current_status(
+    ledger: DataFrame, key: Sequence[str] = ("table_name",), order_by: Sequence[str] = ("logged_at",)
+) -> DataFrame:
     """The newest ledger row of each table."""
-    return latest_per_key(ledger, key, order_by=["at"])
+    return latest_per_key(ledger, key, order_by)
 
 
 def progress_view(status: DataFrame, only: str | None = None) -> DataFrame:

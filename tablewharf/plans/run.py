@@ -40,13 +40,17 @@ class Ledger:
     def add(self, table: str, status: str, attempt: int, **values) -> None:
         names = [part.split()[0] for part in LEDGER_SCHEMA.split(",")]
         row = dict.fromkeys(names)
-        row.update(run_id=self.run_id, table_name=table, status=status, attempt=attempt, at=utc_now())
+        row.update(run_id=self.run_id, table_name=table, status=status, attempt=attempt, logged_at=utc_now())
         row.update(values)
         frame = self.spark.createDataFrame([tuple(row[n] for n in names)], LEDGER_SCHEMA)
-        frame.coalesce(1).write.mode("append").parquet(self.folder)
+        # Tables copied at the same time would disturb each other's commits if
+        # they appended to one folder, so every entry has a folder of its own.
+        entry = f"{self.folder}/{self.run_id}/{table}-{attempt}-{status}"
+        frame.coalesce(1).write.mode("overwrite").parquet(entry)
 
     def rows(self) -> DataFrame:
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.folder)
+        reader = self.spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "true")
+        return reader.parquet(self.folder)
 
 
 def copy_table(
