@@ -20,8 +20,8 @@ WHITESPACE = (
 # Texts that mean "no value", compared without regard to case.
 SENTINELS = ("nan", "inf", "-inf", "null", "none")
 
-# Fixed value: how dates and times are written as text.
-DATETIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
+# Digits that the smallest double can have after the point.
+FRACTION_DIGITS = 340
 
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FLOATS = (T.FloatType, T.DoubleType)
@@ -51,11 +51,12 @@ def is_float(dtype: T.DataType) -> bool:
 
 def trim_text(c: Column) -> Column:
     """Strip Unicode whitespace from both ends; inner whitespace stays."""
-    # Trimming against a set indexes every character of the value, so it runs
-    # only where one of the two ends calls for it.
-    space = list(WHITESPACE)
-    padded = F.left(c, F.lit(1)).isin(space) | F.right(c, F.lit(1)).isin(space)
-    return F.when(padded, F.trim(c, F.lit(WHITESPACE))).otherwise(c)
+    # Trimming against a set indexes every character of a value. The first
+    # character and the last byte tell cheaply which values can need it.
+    first = F.ascii(c).isin([ord(space) for space in WHITESPACE])
+    last_bytes = sorted({space.encode()[-1:].hex().upper() for space in WHITESPACE})
+    last = F.hex(F.substring(c.cast("binary"), -1, 1)).isin(last_bytes)
+    return F.when(first | last, F.trim(c, F.lit(WHITESPACE))).otherwise(c)
 
 
 def not_finite(c: Column) -> Column:
@@ -75,11 +76,20 @@ def non_finite_to_null(c: Column) -> Column:
 
 
 def sentinel_to_null(c: Column) -> Column:
-    return F.when(F.lower(c).isin(*SENTINELS), None).otherwise(c)
+    # The length test spares long texts the change of case.
+    short = F.octet_length(c) <= max(len(s) for s in SENTINELS)
+    return F.when(short & F.lower(c).isin(*SENTINELS), None).otherwise(c)
 
 
-def datetime_text(c: Column) -> Column:
-    return F.date_format(c, DATETIME_PATTERN)
+def datetime_text(c: Column, dtype: T.DataType) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``, without fractions.
+
+    Plain casts are used because ``date_format`` would move zone-free times
+    through the session time zone and its daylight-saving gaps.
+    """
+    if isinstance(dtype, T.DateType):
+        return F.concat(c.cast("string"), F.lit(" 00:00:00"))
+    return F.left(c.cast("string"), F.lit(len("yyyy-MM-dd HH:mm:ss")))
 
 
 def duration_text(seconds: Column) -> Column:
@@ -102,41 +112,24 @@ def percent(part: Column, whole: Column) -> Column:
     )
 
 
-def _without_exponent(text: Column, keep_scale: bool) -> Column:
-    """Spell out ``1.25E7`` as ``12500000.0`` and ``1.0E-4`` as ``0.0001``."""
-    mantissa = F.substring_index(text, "E", 1)
-    exponent = F.substring_index(text, "E", -1).cast("int")
-    sign = F.when(F.startswith(mantissa, F.lit("-")), "-").otherwise("")
-    digits = F.translate(mantissa, "-.", "")
-    point = exponent + 1
-    padded = F.rpad(digits, F.greatest(F.length(digits), point), F.lit("0"))
-    tail = F.substr(padded, point + 1)
-    large = F.concat(
-        F.left(padded, point), F.lit("."), F.when(tail == "", "0").otherwise(tail)
-    )
-    small = F.concat(
-        F.lit("0."),
-        F.repeat(F.lit("0"), -exponent - 1),
-        digits if keep_scale else F.rtrim(digits, F.lit("0")),
-    )
-    spelled = F.concat(sign, F.when(exponent >= 0, large).otherwise(small))
-    return F.when(F.contains(text, F.lit("E")), spelled).otherwise(text)
-
-
 def number_text(c: Column, dtype: T.DataType) -> Column:
     """Numbers as plain decimal text, never in exponent form."""
     text = c.cast("string")
     if is_float(dtype):
-        # Between these bounds the cast is already plain.
+        # Between these bounds the cast is already plain and much cheaper.
         plain = (F.abs(c) >= 0.001) & (F.abs(c) < 1e7)
+        # A float widens through its text, which keeps 0.1 from becoming
+        # 0.10000000149.
+        wide = c if isinstance(dtype, T.DoubleType) else text.cast("double")
+        pattern = "0.0" + "#" * (FRACTION_DIGITS - 1)
         return (
             F.when(plain, text)
             .when(c == 0, "0.0")
             .when(not_finite(c), None)
-            .otherwise(_without_exponent(text, keep_scale=False))
+            .otherwise(F.call_function("format_number", wide, F.lit(pattern)))
         )
-    if isinstance(dtype, T.DecimalType):
-        return _without_exponent(text, keep_scale=True)
+    if isinstance(dtype, T.DecimalType) and dtype.scale > 6:
+        return F.call_function("format_number", c, F.lit("0." + "0" * dtype.scale))
     return text
 
 
@@ -147,7 +140,7 @@ def canonical_text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.NumericType):
         return number_text(c, dtype)
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return datetime_text(c)
+        return datetime_text(c, dtype)
     if isinstance(dtype, T.BooleanType):
         return c.cast("int").cast("string")
     if isinstance(dtype, T.DayTimeIntervalType):

@@ -187,30 +187,31 @@ def with_running_total(
     and the number of ranges grows with the table.
     """
     columns = [ref(c) for c in df.columns]
-    group_names = [f"group{i}" for i in range(len(group))]
     low, high, rows = key_bounds(df, order_by)
     cell = chunk_of(df, order_by, low, high, -(-rows // rows_per_cell))
+    # A struct is never NULL, so it joins and partitions NULL groups like others.
+    group_key = F.struct(F.lit(0).alias("all"), *[ref(g) for g in group])
     base = df.select(
-        *columns,
-        *[ref(g).alias(n) for g, n in zip(group, group_names)],
-        cell.alias("cell"),
-        value.alias("amount"),
+        *columns, group_key.alias("group_key"), cell.alias("cell"), value.alias("amount")
     )
-    range_sums = base.groupBy(*group_names, "cell").agg(F.sum("amount").alias("cell_sum"))
-    before = Window.partitionBy(*group_names).orderBy("cell").rowsBetween(
+    before = Window.partitionBy("group_key").orderBy("cell").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    starts = range_sums.select(
-        *[F.col(n).alias(f"{n}_") for n in group_names],
-        F.col("cell").alias("cell_"),
-        F.coalesce(F.sum("cell_sum").over(before), F.lit(0)).alias("start"),
+    starts = (
+        base.groupBy("group_key", "cell")
+        .agg(F.sum("amount").alias("cell_sum"))
+        .select("group_key", "cell", F.sum("cell_sum").over(before).alias("start"))
     )
-    same = [base[n].eqNullSafe(starts[f"{n}_"]) for n in group_names]
-    joined = base.join(starts, [*same, base["cell"] == starts["cell_"]], "inner")
-    within = Window.partitionBy(*group_names, "cell").orderBy(ref(order_by)).rowsBetween(
+    # The window comes first: the join then finds its rows already partitioned
+    # and sorted by group and range, and the table is shuffled once.
+    within = Window.partitionBy("group_key", "cell").orderBy(ref(order_by)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return joined.select(*columns, (F.col("start") + F.sum("amount").over(within)).alias(name))
+    summed = base.select(
+        *columns, "group_key", "cell", F.sum("amount").over(within).alias("sum_in_cell")
+    )
+    total = F.col("sum_in_cell") + F.coalesce(F.col("start"), F.lit(0))
+    return summed.join(starts, ["group_key", "cell"], "inner").select(*columns, total.alias(name))
 
 
 def with_byte_batches(

@@ -72,7 +72,10 @@ def refusal_reason(
             checks.append(F.when(too_long, F.lit(f"key {name} exceeds {max_key_chars} characters")))
     for field in schema.fields:
         if field.name not in key and _may_be_long(field.dataType):
-            too_big = F.octet_length(canonical_text(ref(field.name), field.dataType)) > max_text_bytes
+            # Text is measured as it is: only short texts stand for NULL.
+            is_text = isinstance(field.dataType, T.StringType)
+            text = ref(field.name) if is_text else canonical_text(ref(field.name), field.dataType)
+            too_big = F.octet_length(text) > max_text_bytes
             checks.append(F.when(too_big, F.lit(f"{field.name} exceeds {max_text_bytes} bytes")))
     return F.coalesce(*checks, F.lit(None).cast("string"))
 

@@ -52,16 +52,24 @@ def merge_by_key(
 ) -> DataFrame:
     """``target`` after upserting ``changes``: replaced, added and kept rows.
 
-    A change replaces the row with its key; with ``order_by`` only where it is
-    not older than that row. The target is not shuffled while the keys of the
-    changes are small enough for Spark to broadcast by its own size check.
+    A change replaces the row with its key; with ``order_by`` only where that
+    row is not newer. The target is read once in full, plus once in its key and
+    order columns, and is not shuffled while the keys of the changes are small
+    enough for Spark to broadcast by its own size check.
     """
-    winners = latest_per_key(changes.select(*[ref(c) for c in target.columns]), key, order_by)
-    keys = winners.select(*[ref(k) for k in key])
-    kept = target.join(keys, list(key), "left_anti").select(*[ref(c) for c in target.columns])
+    columns = [ref(c) for c in target.columns]
+    winners = latest_per_key(changes.select(*columns), key, order_by)
+    keys = [ref(k) for k in key]
     if order_by:
-        rivals = target.join(keys, list(key), "left_semi").select(*[ref(c) for c in target.columns])
-        winners = latest_per_key(rivals.unionByName(winners), key, order_by)
+        order = F.struct(*[ref(c) for c in order_by])
+        present = target.select(*keys, order.alias("present_order"))
+        stale = (
+            winners.select(*keys, order.alias("change_order"))
+            .join(present, list(key), "inner")
+            .where("present_order > change_order")
+        )
+        winners = winners.join(stale.select(*keys), list(key), "left_anti").select(*columns)
+    kept = target.join(winners.select(*keys), list(key), "left_anti").select(*columns)
     return kept.unionByName(winners)
 
 

@@ -18,6 +18,8 @@ def run_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
-        "spark.sql.parquet.filterPushdown": "true",
+        # The JVM does not compile methods above this size. Wide projections
+        # beyond it are split into smaller methods instead of being interpreted.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.scheduler.mode": "FAIR",
     }

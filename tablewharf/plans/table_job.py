@@ -23,7 +23,9 @@ class TableJob:
     ``None`` to have it checked on the data. ``order_by`` says which of several
     rows with the same key is the later one. An upsert removes exact copies by
     itself; ``count_duplicates`` pays one more shuffle to report them apart
-    from older rows with the same key.
+    from older rows with the same key. ``spread`` deals the rows of a file that
+    cannot be split to that many tasks before the cleaning; large tables come
+    in enough splits and do without.
     """
 
     name: str
@@ -33,6 +35,7 @@ class TableJob:
     key_is_unique: bool | None = None
     count_duplicates: bool = False
     fill_numeric: float | None = 0
+    spread: int | None = None
     limits: dict[str, int] = field(default_factory=dict)
 
 
@@ -66,7 +69,11 @@ def _reason_name(job: TableJob) -> str:
 
 def _marked_rows(job: TableJob, unique: bool) -> DataFrame:
     """Cleaned rows, still typed, with the reason why the target refuses them."""
-    rows = clean.distinct_rows(job.source) if _needs_distinct(job, unique) else job.source
+    rows = job.source
+    if job.spread:
+        rows = rows.repartition(job.spread, *[ref(k) for k in job.key])
+    if _needs_distinct(job, unique):
+        rows = clean.distinct_rows(rows)
     return quality.with_refusal_reason(
         _cleaned(job, rows), job.key, name=_reason_name(job), **job.limits
     )
