@@ -95,12 +95,8 @@ def datetime_text(c: Column, dtype: T.DataType) -> Column:
 def duration_text(seconds: Column) -> Column:
     """Seconds as HH:MM:SS; hours may need more than two digits."""
     s = F.floor(seconds).cast("bigint")
-    return F.format_string(
-        "%02d:%02d:%02d",
-        F.floor(s / 3600).cast("bigint"),
-        F.floor((s % 3600) / 60).cast("bigint"),
-        s % 60,
-    )
+    parts = [F.call_function("div", part, F.lit(unit)) for part, unit in ((s, 3600), (s % 3600, 60))]
+    return F.when(s.isNotNull(), F.format_string("%02d:%02d:%02d", *parts, s % 60))
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,9 +89,9 @@ def chunk_of(df: DataFrame, key: str, low: int, high: int, chunks: int) -> Colum
     whenever and wherever a task is run again. Rows without a key get -1.
     """
     number = key_number(df, key)
-    if high - low >= 2**63:
-        number = number.cast("decimal(20,0)")
     width = max(1, -(-(high - low + 1) // max(1, chunks)))
+    if high - low >= 2**63:
+        number, width = number.cast("decimal(20,0)"), Decimal(width)
     chunk = F.call_function("div", number - F.lit(low), F.lit(width))
     return F.coalesce(chunk.cast("bigint"), F.lit(-1).cast("bigint"))
 
