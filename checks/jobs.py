@@ -106,7 +106,9 @@ def g3_all_tables(spark, folder):
 def f6_full_refresh(spark, folder):
     """The second version replaces the first; readers of the name see only it."""
     base = new_folder(spark, "refresh")
-    namespace = snapshots.run_namespace(spark, "wharf_refresh", datetime(2024, 1, 2), dated=False)
+    namespace = snapshots.run_namespace(
+        spark, "wharf_refresh", datetime(2024, 1, 2), dated=False, folder=base
+    )
     supplier = table(spark, folder, "supplier")
     snapshots.full_refresh(supplier, namespace, "supplier", f"{base}/version-1")
     raised = supplier.withColumn("s_acctbal", F.col("s_acctbal") + 1)
@@ -125,9 +127,11 @@ def f9_snapshot_names(spark, folder):
 
 @check("SELECT 'wharf_2024_03_05' AS namespace, * FROM customer")
 def f9_dated_snapshot(spark, folder):
-    namespace = snapshots.run_namespace(spark, "wharf_{YYYY}.{MM}.{DD}", datetime(2024, 3, 5, 23, 59))
+    base = new_folder(spark, "dated")
+    started = datetime(2024, 3, 5, 23, 59)
+    namespace = snapshots.run_namespace(spark, "wharf_{YYYY}.{MM}.{DD}", started, folder=base)
     customer = table(spark, folder, "customer")
-    written = snapshots.full_refresh(customer, namespace, "customer", new_folder(spark, "dated"))
+    written = snapshots.full_refresh(customer, namespace, "customer", f"{base}/customer")
     return written.select(F.lit(namespace).alias("namespace"), "*")
 
 

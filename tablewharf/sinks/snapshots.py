@@ -13,10 +13,25 @@ def _name(text: str) -> str:
     return "`" + text.replace("`", "``") + "`"
 
 
-def run_namespace(spark: SparkSession, template: str, started: datetime, dated: bool = True) -> str:
-    """The destination of a run, named once from its start, created if missing."""
+def _text(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def run_namespace(
+    spark: SparkSession,
+    template: str,
+    started: datetime,
+    dated: bool = True,
+    folder: str | None = None,
+) -> str:
+    """The destination of a run, named once from its start, created if missing.
+
+    ``folder`` is where a new namespace keeps its data; without it the
+    warehouse folder of the session is used.
+    """
     namespace = snapshot_name_text(spark, template, started) if dated else template
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(namespace)}")
+    place = f" LOCATION '{_text(folder)}/{namespace}'" if folder else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(namespace)}{place}")
     return namespace
 
 
@@ -34,7 +49,7 @@ def publish(spark: SparkSession, namespace: str, table: str, folder: str) -> Non
     """
     full_name = f"{_name(namespace)}.{_name(table)}"
     written = spark.read.parquet(folder).schema
-    location = folder.replace("'", "\\'")
+    location = _text(folder)
     if spark.catalog.tableExists(full_name):
         if spark.table(full_name).schema == written:
             spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{location}'")

@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# Temporary folders of local sessions, by application.
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -19,11 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tablewharf-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tablewharf-")
+    return _local_folders[context.applicationId]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
