@@ -18,10 +18,15 @@ from checks.data import (
 )
 from tablewharf.functions.names import snapshot_name
 from tablewharf.operators import ledger as reports
+from tablewharf.plans.database import catalog_jobs, copy_database
 from tablewharf.plans.run import copy_tables
 from tablewharf.plans.table_job import TableJob, loaded_rows, run_table
 from tablewharf.sinks import snapshots
+from tablewharf.sinks.registry import load_registry
 from tablewharf.sinks.workspace import new_folder
+from tablewharf.sources import records
+from tablewharf.sources.catalog import catalog_tables
+from tablewharf.sources.files import row_counts
 from tablewharf.streaming import incremental, progress
 
 _SENTINELS = "('nan', 'inf', '-inf', 'null', 'none')"
@@ -71,6 +76,31 @@ def g2_table_copy_without_key(spark, folder):
     return spark.read.parquet(run_table(job, new_folder(spark, "copy")).location)
 
 
+@check(
+    "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, strftime(coalesce("
+    "try_strptime(d, '%Y-%m-%d'), try_strptime(d, '%m/%d/%Y')), '%Y-%m-%d %H:%M:%S') AS order_date,"
+    " CAST(o_totalprice AS VARCHAR) AS price, o_orderpriority AS priority,"
+    " CASE WHEN o_orderkey % 5 > 0 THEN CAST(CAST(o_orderkey AS DOUBLE) AS VARCHAR) END AS code"
+    " FROM (SELECT *, CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')"
+    " WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y') ELSE 'bad' END AS d FROM orders)"
+)
+def g2_table_copy_inferred(spark, folder):
+    """Text columns recover their types before they are written out."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate")
+    texts = table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.when(key % 3 == 0, F.date_format(day, "yyyy-MM-dd"))
+        .when(key % 3 == 1, F.date_format(day, "MM/dd/yyyy"))
+        .otherwise("bad")
+        .alias("order_date"),
+        F.concat(F.lit(" "), F.col("o_totalprice").cast("string")).alias("price"),
+        F.col("o_orderpriority").alias("priority"),
+        F.when(key % 5 == 0, "").otherwise(key.cast("string")).alias("code"),
+    )
+    job = TableJob("orders", texts, ("o_orderkey",), infer_types=True)
+    return spark.read.parquet(run_table(job, new_folder(spark, "copy")).location)
+
+
 def _sql_ledger_row(name: str) -> str:
     key = ", ".join(KEYS[name])
     texts = {
@@ -135,6 +165,61 @@ def f9_dated_snapshot(spark, folder):
     return written.select(F.lit(namespace).alias("namespace"), "*")
 
 
+@check(
+    "SELECT row_number() OVER (ORDER BY event_id) AS id, CAST(user_id AS VARCHAR) AS user_id,"
+    " CAST(NULL AS VARCHAR) AS hn, event_type, CAST(event_id AS VARCHAR) AS event_id FROM events"
+)
+def f10_registry_load(spark, folder):
+    """Exported JSON records, read back by a declared schema, replace the registry table."""
+    base = new_folder(spark, "registry")
+    exported = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    exported.write.json(f"{base}/export")
+    schema = "event_id bigint, user_id bigint, event_type string, value double"
+    parsed = records.read_records(spark, f"{base}/export", schema)
+    namespace = snapshots.run_namespace(
+        spark, "wharf_registry", datetime(2024, 1, 2), dated=False, folder=base
+    )
+    columns = ["id", "user_id", "hn", "event_type", "event_id"]
+    load_registry(parsed, columns, namespace, "registry", f"{base}/table", dense_by="event_id")
+    return spark.table(f"{namespace}.registry")
+
+
+@check("SELECT event_id, ts, event_type, props FROM events")
+def a9_exported_records(spark, folder):
+    base = new_folder(spark, "export")
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    table(spark, folder, "events").write.option("timestampNTZFormat", micros).json(f"{base}/export")
+    schema = "event_id bigint, ts timestamp_ntz, event_type string, props string"
+    return records.read_records(spark, f"{base}/export", schema)
+
+
+@check(
+    "SELECT 'archive_2024_05_06' AS namespace, table_name, total_rows FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS total_rows FROM {t}"
+        for t in ("customer", "nation", "region", "supplier")
+    )
+    + ")"
+)
+def g3_database_copy(spark, folder):
+    """Two dated source namespaces; the newest is copied, less what the lists leave out."""
+    base = new_folder(spark, "database")
+    for day in (4, 5):
+        names = ["region", "nation", "customer", "supplier", "part"] if day == 5 else ["region"]
+        source = snapshots.run_namespace(
+            spark, "wharf_source_{YYYY}_{MM}_{DD}", datetime(2024, 5, day), folder=base
+        )
+        for name in names:
+            target = f"{base}/source-{day}/{name}"
+            snapshots.full_refresh(table(spark, folder, name), source, name, target)
+    jobs = catalog_jobs(spark, "LATEST:wharf_source_2024_*", exclude="part", keys=KEYS)
+    namespace, _ = copy_database(
+        spark, jobs, "archive_{YYYY}_{MM}_{DD}", base, started=datetime(2024, 5, 6), at_once=4
+    )
+    counts = row_counts(catalog_tables(spark, namespace))
+    return counts.select(F.lit(namespace).alias("namespace"), "table_name", "total_rows")
+
+
 @check("SELECT * FROM nation UNION ALL SELECT * FROM nation")
 def f2_append_written(spark, folder):
     target = new_folder(spark, "append")

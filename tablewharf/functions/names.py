@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 
 from tablewharf.functions.text import WHITESPACE
 
-# Placeholders of a snapshot name and the date part of each,
-# in Spark's datetime pattern letters.
+# Placeholders of a snapshot name, each with the start and length
+# of its part in a "yyyy-MM-dd HH:mm:ss" text.
 NAME_PLACEHOLDERS = {
-    "{YYYY}": "yyyy",
-    "{MM}": "MM",
-    "{DD}": "dd",
-    "{HH}": "HH",
-    "{mm}": "mm",
-    "{ss}": "ss",
+    "{YYYY}": (1, 4),
+    "{MM}": (6, 2),
+    "{DD}": (9, 2),
+    "{HH}": (12, 2),
+    "{mm}": (15, 2),
+    "{ss}": (18, 2),
 }
 
 # Fixed value: marks a source name that stands for the newest match.
@@ -32,8 +32,9 @@ def snapshot_name(template: Column | str, at: Column) -> Column:
     same snapshot, however long the run takes.
     """
     name = F.lit(template) if isinstance(template, str) else template
-    for placeholder, pattern in NAME_PLACEHOLDERS.items():
-        name = F.replace(name, F.lit(placeholder), F.date_format(at, pattern))
+    text = at.cast("string")
+    for placeholder, (start, length) in NAME_PLACEHOLDERS.items():
+        name = F.replace(name, F.lit(placeholder), F.substring(text, start, length))
     return name
 
 
@@ -44,7 +45,8 @@ def namespace_name(name: Column) -> Column:
 
 def snapshot_name_text(spark, template: str, at: datetime) -> str:
     """The same rule for one name on the driver (a single literal row)."""
-    moment = F.lit(at).cast("timestamp_ntz")
+    # As text, so that no time zone takes part.
+    moment = F.lit(f"{at:%Y-%m-%d %H:%M:%S}")
     row = spark.range(1).select(namespace_name(snapshot_name(template, moment))).first()
     return row[0]
 

@@ -137,6 +137,12 @@ def chunk_progress(source: DataFrame, loaded: DataFrame, key: str, chunks: int)
     )
 
 
+def _literal(value: object, df: DataFrame, key: str) -> Column:
+    """A key value as a literal; zone-free times go through text to stay so."""
+    dtype = df.schema[key].dataType
+    return F.lit(str(value)).cast(dtype) if isinstance(dtype, T.TimestampNTZType) else F.lit(value)
+
+
 def read_page(df: DataFrame, key: str, offset: int, limit: int, rows_per_chunk: int = 1_000_000):
     """Rows ``offset`` to ``offset + limit`` of the table in order of a unique key.
 
@@ -148,27 +154,24 @@ def read_page(df: DataFrame, key: str, offset: int, limit: int, rows_per_chunk:
     if offset + limit <= rows_per_chunk or rows <= rows_per_chunk:
         return df.orderBy(ref(key)).offset(offset).limit(limit)
     chunks = -(-rows // rows_per_chunk)
-    manifest = (
-        df.select(ref(key))
-        .groupBy(chunk_of(df, key, low, high, chunks).alias("chunk"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min(ref(key)).alias("first"), F.max(ref(key)).alias("last"))
-        .orderBy("chunk")
-        .collect()  # at most `chunks` rows
+    key_column = ref(key)
+    per_chunk = df.groupBy(chunk_of(df, key, low, high, chunks).alias("chunk")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(key_column).alias("first"), F.max(key_column).alias("last")
+    )
+    # One row per chunk: small enough for a running total over all of them.
+    ends = per_chunk.withColumn("end", F.sum("n").over(Window.orderBy("chunk")))
+    touched = (
+        ends.where((F.col("end") > offset) & (F.col("end") - F.col("n") < offset + limit))
+        .agg(F.min("first"), F.max("last"), F.min(F.col("end") - F.col("n")), F.min("chunk"))
+        .first()
     )
-    seen, skipped, touched = 0, 0, []
-    for entry in manifest:
-        if seen + entry["n"] <= offset:
-            skipped = seen + entry["n"]
-        elif seen < offset + limit:
-            touched.append(entry)
-        seen += entry["n"]
-    if not touched:
+    first, last, skipped, chunk = touched
+    if chunk is None:
         return df.limit(0)
-    start, end = touched[0]["first"], touched[-1]["last"]
-    span = ref(key).between(F.lit(start), F.lit(end))
-    if touched[0]["chunk"] == -1:
-        span = span | ref(key).isNull()
-    return df.where(span).orderBy(ref(key)).offset(offset - skipped).limit(limit)
+    inside = key_column.between(_literal(first, df, key), _literal(last, df, key))
+    if chunk == -1:  # rows without a key sort first
+        inside = key_column.isNull() if first is None else inside | key_column.isNull()
+    return df.where(inside).orderBy(key_column).offset(offset - skipped).limit(limit)
 
 
 def with_running_total(

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablewharf.functions import text as X
 from tablewharf.functions.text import ref
-from tablewharf.operators import clean, quality
+from tablewharf.operators import clean, infer, quality
 from tablewharf.operators.upsert import latest_per_key
 from tablewharf.sinks.snapshots import write_version
 
@@ -26,6 +26,10 @@ class TableJob:
     from older rows with the same key. ``spread`` deals the rows of a file that
     cannot be split to that many tasks before the cleaning; large tables come
     in enough splits and do without.
+
+    ``infer_types`` replaces the numeric repairs by type recovery: text columns
+    named like dates become timestamps, wholly numeric text becomes numbers.
+    ``numeric_columns`` states the latter instead of proving it on the data.
     """
 
     name: str
@@ -36,6 +40,8 @@ class TableJob:
     count_duplicates: bool = False
     fill_numeric: float | None = 0
     spread: int | None = None
+    infer_types: bool = False
+    numeric_columns: tuple[str, ...] | None = None
     limits: dict[str, int] = field(default_factory=dict)
 
 
@@ -60,9 +66,21 @@ def _needs_distinct(job: TableJob, unique: bool) -> bool:
 
 
 def _cleaned(job: TableJob, df: DataFrame) -> DataFrame:
+    if job.infer_types:
+        texts = clean.trim_strings(infer.coerce_datetimes(df))
+        numeric = [c for c in job.numeric_columns or () if c in df.columns]
+        return clean.comparable_values(clean.null_non_finite(infer.infer_numbers(texts, numeric)))
     return clean.comparable_values(clean.clean_values(df, job.fill_numeric))
 
 
+def _with_types(job: TableJob) -> TableJob:
+    """The job with its numeric text columns found, by one pass over the source."""
+    if not job.infer_types or job.numeric_columns is not None:
+        return job
+    texts = clean.trim_strings(infer.coerce_datetimes(job.source))
+    return replace(job, numeric_columns=tuple(infer.numeric_columns(texts)))
+
+
 def _reason_name(job: TableJob) -> str:
     return X.spare_name(job.source.columns, "refusal_reason")
 
@@ -104,6 +122,7 @@ def _check_key(job: TableJob) -> tuple[int, bool]:
 
 def loaded_rows(job: TableJob, unique: bool) -> DataFrame:
     """What the destination holds after the load, as a plan."""
+    job = _with_types(job)
     reason = _reason_name(job)
     rows = _marked_rows(job, unique)
     rows = rows.where(ref(reason).isNull()).drop(reason)
@@ -121,6 +140,7 @@ def run_table(job: TableJob, folder: str) -> TableResult:
     Refused rows are written by a second, filtered pass, only when there are any.
     """
     spark = job.source.sparkSession
+    job = _with_types(job)
     if job.key and job.key_is_unique is None:
         src_rows, unique = _check_key(job)
     else:

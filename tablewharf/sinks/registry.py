@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewharf.operators.chunks import with_dense_id
 from tablewharf.operators.selection import GENERATED_COLUMNS, aligned_columns, matching_fields
+from tablewharf.sinks.snapshots import full_refresh
 
 
 def registry_table(
@@ -31,3 +32,18 @@ def registry_table(
         if name not in GENERATED_COLUMNS
     ]
     return numbered.select(F.col("record_number").cast("bigint").alias("id"), *body)
+
+
+def load_registry(
+    records: DataFrame,
+    columns: Sequence[str],
+    namespace: str,
+    table: str,
+    folder: str,
+    dense_by: str | None = None,
+) -> bool:
+    """Replace the registry table; without records nothing changes and it is False."""
+    if records.isEmpty():
+        return False
+    full_refresh(registry_table(records, columns, dense_by), namespace, table, folder)
+    return True

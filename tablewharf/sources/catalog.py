@@ -54,6 +54,14 @@ def primary_keys(constraints: DataFrame, usage: DataFrame) -> DataFrame:
     )
 
 
+def keys_by_table(keys: DataFrame) -> dict[str, tuple[str, ...]]:
+    """``primary_keys`` as a lookup for the driver: a few names per table."""
+    found: dict[str, list[tuple[int, str]]] = {}
+    for row in keys.collect():
+        found.setdefault(row["table_name"], []).append((row["ordinal_position"], row["column_name"]))
+    return {table: tuple(name for _, name in sorted(columns)) for table, columns in found.items()}
+
+
 def latest_name(names: DataFrame, pattern: str, column: str = "name") -> str:
     """The greatest name that fits a shell-style pattern; an error when none does."""
     newest = names.where(matches_glob(F.col(column), pattern)).agg(F.max(column)).first()[0]

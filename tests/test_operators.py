@@ -104,6 +104,18 @@ def test_pages_agree_with_a_sorted_list(spark):
         assert [r.k for r in page.collect()] == sorted(keys)[offset : offset + limit]
 
 
+def test_pages_by_time_do_not_depend_on_the_session_time_zone(spark):
+    times = [datetime(2024, 3, 10) + timedelta(minutes=17 * i) for i in range(200)]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz").repartition(3)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        page = chunks.read_page(df, "t", 95, 30, rows_per_chunk=20)
+        assert [r.t for r in page.collect()] == times[95:125]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_running_totals_with_a_hot_group_and_null_groups(spark):
     rng = random.Random(2)
     rows = [(i, rng.choice(["hot", "hot", "hot", "b", None]), rng.randint(0, 9)) for i in range(600)]

@@ -111,6 +111,10 @@ def test_times_do_not_depend_on_the_session_time_zone(spark):
     try:
         df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00' ts")  # a local time that never was
         assert column(clean.text_table(df)) == ["2024-03-10 02:30:00"]
+        named = df.select(names.snapshot_name("{HH}{mm}", F.col("ts")))
+        assert column(named) == ["0230"]
+        moment = datetime(2024, 1, 1, 0, 30)
+        assert names.snapshot_name_text(spark, "{YYYY}{MM}{DD}", moment) == "20240101"
         texts = spark.createDataFrame([("2024-03-10 02:30:00",)], "seen_date string")
         assert column(infer.coerce_datetimes(texts)) == [datetime(2024, 3, 10, 2, 30)]
     finally:
