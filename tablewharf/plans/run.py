@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 import uuid
@@ -12,6 +13,7 @@ from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablewharf.operators.chunks import size_tier
 from tablewharf.operators.ledger import ERROR_CHARS, LEDGER_SCHEMA
@@ -38,15 +40,22 @@ class Ledger:
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def add(self, table: str, status: str, attempt: int, **values) -> None:
-        names = [part.split()[0] for part in LEDGER_SCHEMA.split(",")]
-        row = dict.fromkeys(names)
-        row.update(run_id=self.run_id, table_name=table, status=status, attempt=attempt, logged_at=utc_now())
-        row.update(values)
-        frame = self.spark.createDataFrame([tuple(row[n] for n in names)], LEDGER_SCHEMA)
+        values = {
+            "run_id": self.run_id,
+            "table_name": table,
+            "status": status,
+            "attempt": attempt,
+            "logged_at": str(utc_now()),
+            **values,
+        }
+        columns = []
+        for part in LEDGER_SCHEMA.split(","):
+            name, dtype = part.split()
+            columns.append(F.lit(values.get(name)).cast(dtype).alias(name))
+        row = self.spark.range(0, 1, 1, 1).select(*columns)
         # Tables copied at the same time would disturb each other's commits if
         # they appended to one folder, so every entry has a folder of its own.
-        entry = f"{self.folder}/{self.run_id}/{table}-{attempt}-{status}"
-        frame.coalesce(1).write.mode("overwrite").parquet(entry)
+        row.write.mode("overwrite").parquet(f"{self.folder}/{self.run_id}/{table}-{attempt}-{status}")
 
     def rows(self) -> DataFrame:
         reader = self.spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "true")
@@ -83,7 +92,7 @@ def copy_table(
             log.warning("table %s, attempt %d: %s", job.name, attempt, error)
             ledger.add(job.name, "failed", attempt, progress=0, error=str(error)[:ERROR_CHARS])
             continue
-        counts = {k: v for k, v in asdict(result).items() if k != "quarantine"}
+        counts = {k: v for k, v in asdict(result).items() if k not in ("quarantine", "nulls")}
         tier = size_tier(result.src_rows)
         ledger.add(
             job.name,
@@ -93,6 +102,7 @@ def copy_table(
             batch_rows=tier["batch_rows"],
             readers=tier["parallelism"],
             writers=tier["parallelism"],
+            nulls=json.dumps(result.nulls) if result.nulls else None,
             **counts,
         )
         return "completed"

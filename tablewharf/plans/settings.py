@@ -21,5 +21,8 @@ def run_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
         # The JVM does not compile methods above this size. Wide projections
         # beyond it are split into smaller methods instead of being interpreted.
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        # Recording the Python line of every column expression doubles the time
+        # it takes to build the plan of a wide table.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.scheduler.mode": "FAIR",
     }

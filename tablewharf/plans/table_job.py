@@ -14,6 +14,12 @@ from tablewharf.operators.upsert import latest_per_key
 from tablewharf.sinks.snapshots import write_version
 
 
+# Tables of this size may sit in one file that a single task has to read. Dealing
+# their rows out costs little and lets all cores clean and write them; larger
+# tables come in enough splits.
+SPREAD_ROWS = range(100_000, 10_000_000)
+
+
 @dataclass(frozen=True)
 class TableJob:
     """One table to copy.
@@ -23,9 +29,9 @@ class TableJob:
     ``None`` to have it checked on the data. ``order_by`` says which of several
     rows with the same key is the later one. An upsert removes exact copies by
     itself; ``count_duplicates`` pays one more shuffle to report them apart
-    from older rows with the same key. ``spread`` deals the rows of a file that
-    cannot be split to that many tasks before the cleaning; large tables come
-    in enough splits and do without.
+    from older rows with the same key. ``spread`` deals the rows to that many
+    tasks before the cleaning; without it, middle-sized tables that need no
+    other shuffle are dealt to all cores.
 
     ``infer_types`` replaces the numeric repairs by type recovery: text columns
     named like dates become timestamps, wholly numeric text becomes numbers.
@@ -49,7 +55,9 @@ class TableJob:
 class TableResult:
     """What happened to the rows of one table; the counts add up exactly.
 
-    ``src_rows = dst_rows + duplicates + superseded + quarantined``
+    ``src_rows = dst_rows + duplicates + superseded + quarantined``. ``nulls``
+    lists the columns of the loaded rows that hold NULLs after cleaning, with
+    their number.
     """
 
     src_rows: int
@@ -59,6 +67,7 @@ class TableResult:
     quarantined: int = 0
     location: str | None = None
     quarantine: str | None = None
+    nulls: dict[str, int] = field(default_factory=dict)
 
 
 def _needs_distinct(job: TableJob, unique: bool) -> bool:
@@ -134,8 +143,8 @@ def loaded_rows(job: TableJob, unique: bool) -> DataFrame:
 def run_table(job: TableJob, folder: str) -> TableResult:
     """Run the copy and write it under ``folder``.
 
-    A proven key makes both the distinct and the upsert unnecessary: the copy
-    is then one pass without any shuffle. Otherwise a table without a key takes
+    A proven key makes both the distinct and the upsert unnecessary: a large
+    table is then copied in one pass without any shuffle. Otherwise a table without a key takes
     one shuffle for distinct, and one with a key takes one for the winners.
     Refused rows are written by a second, filtered pass, only when there are any.
     """
@@ -147,30 +156,43 @@ def run_table(job: TableJob, folder: str) -> TableResult:
         src_rows, unique = job.source.count(), bool(job.key and job.key_is_unique)
     if src_rows == 0:
         return TableResult(src_rows=0)
+    if unique and job.spread is None and src_rows in SPREAD_ROWS:
+        job = replace(job, spread=spark.sparkContext.defaultParallelism)
 
     reason = _reason_name(job)
-    # Tasks that run again ahead of a shuffle report twice, so this figure only
-    # tells whether the second pass is needed. The totals come from the written
-    # tables and from counts that travel with the rows.
-    refused, merged = Observation(), Observation()
-    rows = _marked_rows(job, unique).observe(refused, F.count(ref(reason)).alias("refused"))
-    rows = rows.where(ref(reason).isNull()).drop(reason)
+    columns = job.source.columns
     upsert = bool(job.key) and not unique
+    refused, loaded = Observation(), Observation()
+    rows = _marked_rows(job, unique)
+    good = ref(reason).isNull()
+
+    def null_counts(kept: Column) -> list[Column]:
+        return [F.count_if(kept & ref(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]
+
+    # What is observed in the writing stage is exact. Ahead of a shuffle, tasks
+    # that run again report twice; there the figure only tells whether the
+    # second pass is needed, and counts of merged rows travel with the rows.
+    bad_rows = F.count(ref(reason)).alias("refused")
+    rows = rows.observe(refused, bad_rows, *([] if upsert else null_counts(good)))
+    rows = rows.where(good).drop(reason)
     if upsert:
-        count = X.spare_name(rows.columns, "merged_rows")
+        count = X.spare_name(columns, "merged_rows")
         rows = latest_per_key(rows, _destination_key(job, rows), job.order_by, count_as=count)
-        rows = rows.observe(merged, F.sum(ref(count)).alias("rows")).drop(count)
+        merged = F.sum(ref(count)).alias("merged")
+        rows = rows.observe(loaded, merged, *null_counts(F.lit(True))).drop(count)
     target = f"{folder}/{job.name}/loaded"
-    write_version(clean.text_table(rows), target)
+    texts = clean.text_table(rows)
+    write_version(texts, target)
 
-    dst_rows = spark.read.parquet(target).count()
+    dst_rows = spark.read.schema(texts.schema).parquet(target).count()
     quarantined, quarantine = 0, None
     if refused.get["refused"]:
         quarantine = f"{folder}/{job.name}/quarantined"
         bad = _marked_rows(job, unique).where(ref(reason).isNotNull())
         write_version(clean.text_table(bad), quarantine)
         quarantined = spark.read.parquet(quarantine).count()
-    accepted = (merged.get["rows"] or 0) if upsert else dst_rows
+    seen = loaded.get if upsert else refused.get
+    accepted = (seen["merged"] or 0) if upsert else dst_rows
     missing = src_rows - accepted - quarantined
     return TableResult(
         src_rows=src_rows,
@@ -180,4 +202,5 @@ def run_table(job: TableJob, folder: str) -> TableResult:
         quarantined=quarantined,
         location=target,
         quarantine=quarantine,
+        nulls={c: seen[f"n{i}"] for i, c in enumerate(columns) if seen[f"n{i}"]},
     )

@@ -40,6 +40,7 @@ def test_upsert_copy_orders_by_typed_values(spark, people):
         ("0", "zero", "3.0", None), ("1", "anna", "2.0", "2024-01-01 00:00:00"), ("2", None, "0.0", None),
     ]
     assert (result.src_rows, result.dst_rows, result.duplicates, result.superseded, result.quarantined) == (6, 3, 1, 1, 1)
+    assert result.nulls == {"seen": 2}  # 'null' is still text when NULLs are counted
     refused = spark.read.parquet(result.quarantine).first()
     assert (refused.id, refused.refusal_reason) == ("3", "name exceeds 20 bytes")
 
@@ -52,7 +53,7 @@ def test_copies_count_as_superseded_when_not_told_apart(spark, people):
 def test_copy_without_key_keeps_padded_copies(spark):
     df = spark.createDataFrame([("a",), ("a",), ("a ",)], "s string")
     result = run_table(TableJob("t", df), new_folder(spark, "t"))
-    assert loaded(spark, result) == [("a",), ("a",)]
+    assert loaded(spark, result) == [("a",), ("a",)] and result.nulls == {}
     assert (result.duplicates, result.superseded) == (1, 0)
 
 
@@ -87,6 +88,13 @@ def test_nested_and_oddly_named_columns(spark):
     assert [tuple(r) for r in rows.collect()] == [("1", '{"k":2}', "[2.5]", "3")]
 
 
+def test_nulls_of_refused_rows_do_not_count(spark):
+    df = spark.createDataFrame([("k", None, "x"), ("l", None, "y"), ("null", None, None)], "k string, v string, w string")
+    for unique, expected in ((True, {"v": 2}), (False, {"v": 2})):
+        job = TableJob("t", df, ("k",), key_is_unique=unique)
+        assert run_table(job, new_folder(spark, "t")).nulls == expected
+
+
 def test_all_rows_refused(spark):
     df = spark.createDataFrame([("null", 1), ("none", 2)], "k string, v int")
     result = run_table(TableJob("t", df, ("k",)), new_folder(spark, "t"))
