@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tablewharf.functions import text as X
 from tablewharf.functions.text import percent, ref
 
 # Size tiers as (rows below, tier, batch rows, readers = writers).
@@ -24,6 +25,9 @@ SIZE_TIERS = (
 # Fixed value: how many readers and writers may work on one table.
 MAX_WORKERS = 20
 
+# Bounds the table of ranges that is sent to every task: 32 bytes or so each.
+MAX_FULL_CELLS = 200_000
+
 
 def size_tier(total_rows: int) -> dict:
     """The tier of one table on the driver, for reader and writer options."""
@@ -143,7 +147,9 @@ def _literal(value: object, df: DataFrame, key: str) -> Column:
     return F.lit(str(value)).cast(dtype) if isinstance(dtype, T.TimestampNTZType) else F.lit(value)
 
 
-def read_page(df: DataFrame, key: str, offset: int, limit: int, rows_per_chunk: int = 1_000_000):
+def read_page(
+    df: DataFrame, key: str, offset: int, limit: int, rows_per_chunk: int = 1_000_000
+) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of the table in order of a unique key.
 
     Sorting to a deep offset keeps every skipped row in memory. Chunk counts
@@ -160,18 +166,61 @@ def read_page(df: DataFrame, key: str, offset: int, limit: int, rows_per_chunk:
     )
     # One row per chunk: small enough for a running total over all of them.
     ends = per_chunk.withColumn("end", F.sum("n").over(Window.orderBy("chunk")))
-    touched = (
-        ends.where((F.col("end") > offset) & (F.col("end") - F.col("n") < offset + limit))
-        .agg(F.min("first"), F.max("last"), F.min(F.col("end") - F.col("n")), F.min("chunk"))
+    before = F.col("end") - F.col("n")
+    first, last, skipped, chunk, inside_rows = (
+        ends.where((F.col("end") > offset) & (before < offset + limit))
+        .agg(F.min("first"), F.max("last"), F.min(before), F.min("chunk"), F.sum("n"))
         .first()
     )
-    first, last, skipped, chunk = touched
     if chunk is None:
         return df.limit(0)
     inside = key_column.between(_literal(first, df, key), _literal(last, df, key))
     if chunk == -1:  # rows without a key sort first
         inside = key_column.isNull() if first is None else inside | key_column.isNull()
-    return df.where(inside).orderBy(key_column).offset(offset - skipped).limit(limit)
+    found = df.where(inside)
+    if chunk >= 0 and 2 * rows_per_chunk < inside_rows < rows:
+        # Values cluster in these ranges: look again within their own bounds.
+        return read_page(found, key, offset - skipped, limit, rows_per_chunk)
+    return found.orderBy(key_column).offset(offset - skipped).limit(limit)
+
+
+def with_cells(df: DataFrame, key: str, rows_per_cell: int, name: str = "cell") -> DataFrame:
+    """Add a struct that orders like a unique ``key`` and groups few rows each.
+
+    Ranges of equal width come first. Where values cluster, a range may hold far
+    more rows than meant; such a range is cut again within its own bounds, until
+    none is too full. Evenly spread keys need no second cut.
+    """
+    low, high, rows = key_bounds(df, key)
+    limit = max(rows_per_cell, rows // MAX_FULL_CELLS)
+    cells = max(1, -(-rows // limit))
+    taken = list(df.columns)
+    number, level = X.spare_name(taken, "key_number"), X.spare_name(taken, "level")
+    levels = [f"{level}0"]
+    cut = df.withColumns(
+        {levels[0]: chunk_of(df, key, low, high, cells), number: key_number(df, key)}
+    )
+    while cells > 1:
+        per_cell = cut.groupBy(*levels).agg(
+            F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi")
+        )
+        full = per_cell.where((F.col("n") > 2 * limit) & (F.col("hi") > F.col("lo")))
+        if full.isEmpty():
+            break
+        parts = F.call_function("div", F.col("n"), F.lit(limit)) + 1
+        start, width = X.spare_name(taken, "cell_start"), X.spare_name(taken, "cell_width")
+        bounds = full.select(
+            *levels,
+            F.col("lo").alias(start),
+            (F.call_function("div", F.col("hi") - F.col("lo"), parts) + 1).alias(width),
+        )
+        # At most MAX_FULL_CELLS / 2 ranges hold more than twice their share.
+        cut = cut.join(F.broadcast(bounds), levels, "left")
+        finer = F.call_function("div", ref(number) - ref(start), ref(width))
+        levels = [*levels, f"{level}{len(levels)}"]
+        cut = cut.withColumn(levels[-1], F.coalesce(finer, F.lit(0).cast("bigint")))
+        cut = cut.drop(start, width)
+    return cut.select(*[ref(c) for c in df.columns], F.struct(*levels).alias(name))
 
 
 def with_running_total(
@@ -191,11 +240,11 @@ def with_running_total(
     and the number of ranges grows with the table.
     """
     columns = [ref(c) for c in df.columns]
-    low, high, rows = key_bounds(df, order_by)
-    cell = chunk_of(df, order_by, low, high, -(-rows // rows_per_cell))
+    celled = with_cells(df, order_by, rows_per_cell, X.spare_name(df.columns, "cell"))
+    cell = ref(celled.columns[-1])
     # A struct is never NULL, so it joins and partitions NULL groups like others.
     group_key = F.struct(F.lit(0).alias("all"), *[ref(g) for g in group])
-    base = df.select(
+    base = celled.select(
         *columns, group_key.alias("group_key"), cell.alias("cell"), value.alias("amount")
     )
     before = Window.partitionBy("group_key").orderBy("cell").rowsBetween(

@@ -116,6 +116,15 @@ def test_pages_by_time_do_not_depend_on_the_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def test_pages_of_clustered_keys(spark):
+    keys = sorted({i * i * i for i in range(-40, 400)} | {10**15, 10**17})
+    df = spark.createDataFrame([(k,) for k in keys] + [(None,)] * 3, "k bigint").repartition(3)
+    ordered = [None] * 3 + keys
+    for offset, limit in ((0, 5), (2, 4), (60, 25), (300, 100), (440, 10)):
+        page = chunks.read_page(df, "k", offset, limit, rows_per_chunk=30)
+        assert [r.k for r in page.collect()] == ordered[offset : offset + limit]
+
+
 def test_running_totals_with_a_hot_group_and_null_groups(spark):
     rng = random.Random(2)
     rows = [(i, rng.choice(["hot", "hot", "hot", "b", None]), rng.randint(0, 9)) for i in range(600)]
@@ -130,6 +139,25 @@ def test_running_totals_with_a_hot_group_and_null_groups(spark):
     assert max(r.running_total for r in whole.collect()) == sum(v for _, _, v in rows)
 
 
+def test_clustered_keys_are_cut_until_no_range_is_too_full(spark):
+    cluster = list(range(1000, 1400))
+    keys = cluster + [5 * 10**6 + i for i in range(30)] + [10**15, 10**15 + 1, 4 * 10**18, -(4 * 10**18)]
+    random.Random(3).shuffle(keys)
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(4)
+    cells = chunks.with_cells(df, "k", rows_per_cell=20)
+    sizes = [r["count"] for r in cells.groupBy("cell").count().collect()]
+    assert max(sizes) <= 40 and sum(sizes) == len(keys)
+    assert [r.k for r in cells.orderBy("cell", "k").collect()] == sorted(keys)
+    numbered = chunks.with_dense_id(df, "k", rows_per_cell=20)
+    assert sorted((r.id, r.k) for r in numbered.collect()) == list(enumerate(sorted(keys), start=1))
+
+
+def test_evenly_spread_keys_are_cut_once(spark):
+    cells = chunks.with_cells(spark.range(1000), "id", rows_per_cell=100)
+    assert cells.schema["cell"].dataType.simpleString() == "struct<level0:bigint>"
+    assert "Join" not in cells._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dense_ids(spark):
     df = spark.createDataFrame([(k * 7,) for k in range(300)], "k int").repartition(4)
     numbered = chunks.with_dense_id(df, "k", rows_per_cell=11)
