@@ -183,8 +183,7 @@ def h6_recent_errors(spark, folder):
 @check(
     "SELECT event_id, 'backup_' || strftime(ts, '%Y_%m_%d_%H%M%S') AS snapshot,"
     " lower(upper(event_type)) AS lowered, starts_with(event_type, 'p') AS is_purchase,"
-    " left(props, 50) AS head, [trim(x) FOR x IN string_split(event_type || ' , ' || user_id, ',')]"
-    " AS parts, event_type GLOB '*[ck]' AS matches, least(event_id // 7, user_id) AS lesser,"
+    " left(props, 50) AS head, event_type || '|' || user_id AS parts, event_type GLOB '*[ck]' AS matches, least(event_id // 7, user_id) AS lesser,"
     " greatest(event_id // 7, user_id) AS greater,"
     " printf('%02d:%02d:%02d', event_id // 3600, event_id % 3600 // 60, event_id % 60) AS duration,"
     " CAST(CASE WHEN event_id > 0 THEN round(user_id / event_id * 100) ELSE 0 END AS INTEGER) AS share"
@@ -200,7 +199,7 @@ def fn_scalars(spark, folder):
         F.lower(F.upper("event_type")).alias("lowered"),
         F.startswith("event_type", F.lit("p")).alias("is_purchase"),
         F.left("props", F.lit(50)).alias("head"),
-        names.split_names(listed).alias("parts"),
+        F.array_join(names.split_names(listed), "|").alias("parts"),
         names.matches_glob(F.col("event_type"), "*[ck]").alias("matches"),
         F.least(seventh, "user_id").alias("lesser"),
         F.greatest(seventh, "user_id").alias("greater"),
