@@ -116,10 +116,8 @@ _SQL_SPANS = (
     " CAST(CASE WHEN total > 0 THEN round(done / total * 100) ELSE 0 END AS INTEGER) AS progress FROM a"
 )
 def h4_run_summary(spark, folder):
-    spans = event_ledger(spark, folder).groupBy("table_name").agg(
-        F.min("logged_at").alias("started_at"), F.max("logged_at").alias("ended_at")
-    )
-    return ledger.run_summary(_current(spark, folder).join(spans, "table_name"))
+    rows = event_ledger(spark, folder)
+    return ledger.run_summary(ledger.with_spans(rows, order_by=["logged_at", "event_id"]))
 
 
 @check(f"SELECT status, count(*) AS tables FROM ({_SQL_CURRENT}) GROUP BY 1")

@@ -35,6 +35,16 @@ def current_status(
     return latest_per_key(ledger, key, order_by)
 
 
+def with_spans(
+    ledger: DataFrame, key: Sequence[str] = ("table_name",), order_by: Sequence[str] = ("logged_at",)
+) -> DataFrame:
+    """Newest row of each table, with the times of its first and last row."""
+    spans = ledger.groupBy(*key).agg(
+        F.min("logged_at").alias("started_at"), F.max("logged_at").alias("ended_at")
+    )
+    return current_status(ledger, key, order_by).join(spans, list(key))
+
+
 def progress_view(status: DataFrame, only: str | None = None) -> DataFrame:
     """One row per table with a default for whatever is still unknown.
 
@@ -60,7 +70,7 @@ def progress_view(status: DataFrame, only: str | None = None) -> DataFrame:
 def run_summary(status: DataFrame) -> DataFrame:
     """One row: state of the run, elapsed time, table counts and percent done.
 
-    ``status`` holds one row per table with ``started_at`` and ``ended_at``.
+    ``status`` holds one row per table with its times, as from ``with_spans``.
     """
     done = F.col("completed_tables")
     failed = F.col("failed_tables")

@@ -57,9 +57,10 @@ class Ledger:
         # they appended to one folder, so every entry has a folder of its own.
         row.write.mode("overwrite").parquet(f"{self.folder}/{self.run_id}/{table}-{attempt}-{status}")
 
-    def rows(self) -> DataFrame:
+    def rows(self, all_runs: bool = False) -> DataFrame:
+        """Entries of this run, or of all runs that share the folder."""
         reader = self.spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "true")
-        return reader.parquet(self.folder)
+        return reader.parquet(self.folder if all_runs else f"{self.folder}/{self.run_id}")
 
 
 def copy_table(
@@ -131,8 +132,11 @@ def copy_tables(
         except Exception as error:
             log.warning("preparatory step failed, continuing: %s", error)
 
+    # A folder per run: versions that are still published stay untouched.
+    target = f"{folder}/{ledger.run_id}"
+
     def one(job: TableJob) -> str:
-        return copy_table(ledger, job, folder, namespace, **options)
+        return copy_table(ledger, job, target, namespace, **options)
 
     if at_once <= 1:
         for job in jobs:

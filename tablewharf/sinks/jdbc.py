@@ -23,12 +23,19 @@ def replace_table(
     table: str,
     key: Sequence[str] = (),
     total_rows: int = 0,
+    table_options: str = "",
 ) -> None:
-    """Drop, re-create and fill a table in batches of its size tier."""
+    """Drop, re-create and fill a table in batches of its size tier.
+
+    Rows have one winner per key by now, so plain inserts do what an upsert
+    would. ``table_options`` is added to CREATE TABLE, for example a character
+    set; key constraints are for the database to add afterwards.
+    """
     (
         df.write.format("jdbc")
         .options(**options, **write_options(total_rows), dbtable=table)
         .option("createTableColumnTypes", text_column_types(df, key))
+        .option("createTableOptions", table_options)
         .mode("overwrite")
         .save()
     )

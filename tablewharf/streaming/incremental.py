@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewharf.operators import clean
+from tablewharf.functions import text as X
+from tablewharf.functions.text import ref
+from tablewharf.operators import clean, quality
 from tablewharf.operators.upsert import latest_per_key, merge_by_key
 from tablewharf.sinks.snapshots import write_version
 
@@ -43,16 +45,24 @@ def upsert_stream(
     key: Sequence[str],
     order_by: Sequence[str] = (),
     fill_numeric: float | None = 0,
+    **limits: int,
 ) -> None:
     """Process all files that have arrived, then stop (run it on a schedule).
 
-    A restart with the same ``folder`` goes on where the last run ended.
+    A restart with the same ``folder`` goes on where the last run ended. Rows
+    that a keyed target refuses go to ``refused`` with their reason.
     """
+    reason = X.spare_name(stream.columns, "refusal_reason")
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        rows = clean.clean_values(batch, fill_numeric)
+        rows = quality.with_refusal_reason(rows, key, name=reason, **limits)
         # One winner per key also removes exact copies; no distinct is needed.
-        winners = latest_per_key(clean.clean_values(batch, fill_numeric), key, order_by)
-        write_version(winners, f"{folder}/changes/batch={batch_id:010d}")
+        good = rows.where(ref(reason).isNull()).drop(reason)
+        write_version(latest_per_key(good, key, order_by), f"{folder}/changes/batch={batch_id:010d}")
+        bad = rows.where(ref(reason).isNotNull())
+        if not bad.isEmpty():
+            write_version(bad, f"{folder}/refused/batch={batch_id:010d}")
 
     query = (
         stream.writeStream.foreachBatch(load)

@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tablewharf.__main__ import main
 from tablewharf.operators import ledger as reports
 from tablewharf.plans import run
 from tablewharf.plans.table_job import TableJob, TableResult, run_table
@@ -141,6 +142,30 @@ def test_tables_at_once_publish_into_one_snapshot(spark):
     assert spark.table(f"{namespace}.t0").schema.simpleString() == "struct<id:string>"
 
 
+def test_command_line(spark, capsys):
+    base = new_folder(spark, "cli")
+    source = snapshots.run_namespace(spark, "cli_source_1", datetime(2024, 1, 1), dated=False, folder=base)
+    rows = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, " c", 1)], "k int, v string, o int")
+    for name in ("visits", "audit", "wards"):
+        snapshots.full_refresh(rows, source, name, f"{base}/source/{name}")
+    common = ["--source", "LATEST:cli_source_*", "--folder", base, "--static", "--destination", "cli_copy"]
+    code = main(
+        [*common, "--exclude", "audit", "--keys", '{"visits": ["k"]}', "--order-by", '{"visits": ["o"]}'], spark
+    )
+    assert code == 0 and "cli_copy" in capsys.readouterr().out
+    copied = [tuple(r) for r in spark.table("cli_copy.visits").orderBy("k").collect()]
+    assert copied == [("1", "b", "2"), ("2", "c", "1")]
+    assert spark.table("cli_copy.wards").count() == 3
+    assert not spark.catalog.tableExists("cli_copy.audit")
+    before = spark.sql("DESCRIBE EXTENDED cli_copy.wards").where("col_name = 'Location'").first()[1]
+    assert main([*common, "--include", "wards"], spark) == 0
+    after = spark.sql("DESCRIBE EXTENDED cli_copy.wards").where("col_name = 'Location'").first()[1]
+    assert before != after and spark.read.parquet(before).count() == 3
+    assert spark.table("cli_copy.wards").count() == 3
+    assert main([*common, "--include", "none_such"], spark) == 0
+    assert "no tables" in capsys.readouterr().out
+
+
 def test_refresh_swaps_the_version_and_its_columns(spark):
     namespace = snapshots.run_namespace(spark, "swap", datetime(2024, 1, 1), dated=False)
     base = new_folder(spark, "swap")

@@ -83,6 +83,17 @@ def test_writing_a_batch_again_changes_nothing(spark, parts):
     assert rows(incremental.current_table(spark, target, KEY, ORDER)) == before
 
 
+def test_refused_rows_of_a_stream_are_set_aside(spark):
+    incoming, target = new_folder(spark, "incoming"), new_folder(spark, "stream")
+    df = spark.createDataFrame([("a ", 1), ("a", 2), ("null", 3), (None, 4), ("b", None)], "k string, v int")
+    df.coalesce(1).write.parquet(incoming)
+    incremental.upsert_stream(incremental.file_stream(spark, incoming, df.schema), target, ["k"], ["v"])
+    table = incremental.current_table(spark, target, ["k"], ["v"])
+    assert sorted(map(tuple, table.collect())) == [("a", 2), ("b", 0)]
+    refused = spark.read.parquet(f"{target}/refused")
+    assert {(r.v, r.refusal_reason) for r in refused.collect()} == {(3, "key k is null"), (4, "key k is null")}
+
+
 def test_progress_follows_the_stream(spark, parts):
     events, incoming = parts
     target = new_folder(spark, "progress")
