@@ -27,9 +27,13 @@ INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FLOATS = (T.FloatType, T.DoubleType)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
     """A column by its literal name, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def spare_name(columns: list[str], wanted: str) -> str:
@@ -49,14 +53,24 @@ def is_float(dtype: T.DataType) -> bool:
     return isinstance(dtype, FLOATS)
 
 
-def trim_text(c: Column) -> Column:
-    """Strip Unicode whitespace from both ends; inner whitespace stays."""
-    # Trimming against a set indexes every character of a value. The first
-    # character and the last byte tell cheaply which values can need it.
-    first = F.ascii(c).isin([ord(space) for space in WHITESPACE])
-    last_bytes = sorted({space.encode()[-1:].hex().upper() for space in WHITESPACE})
-    last = F.hex(F.substring(c.cast("binary"), -1, 1)).isin(last_bytes)
-    return F.when(first | last, F.trim(c, F.lit(WHITESPACE))).otherwise(c)
+# Trimming against a set indexes every character of a value. The code of the
+# first character and the last byte tell cheaply which values can need it.
+_FIRST_CODES = ", ".join(str(ord(space)) for space in WHITESPACE)
+_LAST_BYTES = ", ".join(sorted({f"'{space.encode()[-1]:02X}'" for space in WHITESPACE}))
+_TRIM = (
+    f"CASE WHEN ascii({{0}}) IN ({_FIRST_CODES})"
+    f" OR hex(substring(CAST({{0}} AS BINARY), -1, 1)) IN ({_LAST_BYTES})"
+    f" THEN trim(BOTH '{WHITESPACE}' FROM {{0}}) ELSE {{0}} END"
+)
+
+
+def trim_text(name: str) -> Column:
+    """Strip Unicode whitespace from both ends of a column; inner whitespace stays.
+
+    Written as SQL text, which reaches the JVM in one call: the two lists would
+    cost a hundred, and a wide table has hundreds of text columns.
+    """
+    return F.expr(_TRIM.format(quoted(name)))
 
 
 def not_finite(c: Column) -> Column:
@@ -75,10 +89,15 @@ def non_finite_to_null(c: Column) -> Column:
     return F.when(~not_finite(c), c)
 
 
-def sentinel_to_null(c: Column) -> Column:
+def sentinel_to_null(name: str) -> Column:
     # The length test spares long texts the change of case.
-    short = F.octet_length(c) <= max(len(s) for s in SENTINELS)
-    return F.when(short & F.lower(c).isin(*SENTINELS), None).otherwise(c)
+    longest = max(len(text) for text in SENTINELS)
+    listed = ", ".join(f"'{text}'" for text in SENTINELS)
+    return F.expr(
+        "CASE WHEN octet_length({0}) <= {1} AND lower({0}) IN ({2}) THEN NULL ELSE {0} END".format(
+            quoted(name), longest, listed
+        )
+    )
 
 
 def datetime_text(c: Column, dtype: T.DataType) -> Column:
@@ -129,10 +148,11 @@ def number_text(c: Column, dtype: T.DataType) -> Column:
     return text
 
 
-def canonical_text(c: Column, dtype: T.DataType) -> Column:
-    """The text a value has in the destination; NULL for every empty notion."""
+def canonical_text(name: str, dtype: T.DataType) -> Column:
+    """The text a column has in the destination; NULL for every empty notion."""
+    c = ref(name)
     if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
-        return sentinel_to_null(c)
+        return sentinel_to_null(name)
     if isinstance(dtype, T.NumericType):
         return number_text(c, dtype)
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):

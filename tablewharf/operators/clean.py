@@ -56,7 +56,7 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
 def trim_strings(df: DataFrame) -> DataFrame:
     return df.select(
         *[
-            X.trim_text(ref(f.name)).alias(f.name)
+            X.trim_text(f.name).alias(f.name)
             if isinstance(f.dataType, T.StringType)
             else ref(f.name)
             for f in df.schema.fields
@@ -105,7 +105,7 @@ def clean_values(df: DataFrame, fill_numeric: float | None = 0) -> DataFrame:
     def cleaned(field: T.StructField):
         c, dtype = ref(field.name), field.dataType
         if isinstance(dtype, T.StringType):
-            return X.trim_text(c).alias(field.name)
+            return X.trim_text(field.name).alias(field.name)
         if X.is_integer(dtype) and fill_numeric is not None:
             return X.fill_null_number(c, dtype, fill_numeric).alias(field.name)
         if X.is_float(dtype):
@@ -119,5 +119,5 @@ def clean_values(df: DataFrame, fill_numeric: float | None = 0) -> DataFrame:
 def text_table(df: DataFrame) -> DataFrame:
     """Every column as destination text: one projection, all ``StringType``."""
     return df.select(
-        *[X.canonical_text(ref(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
+        *[X.canonical_text(f.name, f.dataType).alias(f.name) for f in df.schema.fields]
     )

@@ -31,14 +31,14 @@ def looks_like_datetime(name: str) -> bool:
     return "date" in lowered or "time" in lowered
 
 
-def parse_datetime(c: Column, formats: Iterable[str] = DATETIME_FORMATS) -> Column:
+def parse_datetime(name: str, formats: Iterable[str] = DATETIME_FORMATS) -> Column:
     """The first format that fits, NULL when none does.
 
     Values are read as UTC and re-anchored on a zone-free epoch, so no session
     time zone (and no daylight-saving gap) can shift them.
     """
     instants = [
-        F.try_to_timestamp(F.concat(X.trim_text(c), F.lit(" Z")), F.lit(fmt + " XXX"))
+        F.try_to_timestamp(F.concat(X.trim_text(name), F.lit(" Z")), F.lit(fmt + " XXX"))
         for fmt in formats
     ]
     micros = F.unix_micros(F.coalesce(*instants))
@@ -65,15 +65,15 @@ def coerce_datetimes(
 
     return df.select(
         *[
-            parse_datetime(ref(f.name), formats).alias(f.name) if chosen(f) else ref(f.name)
+            parse_datetime(f.name, formats).alias(f.name) if chosen(f) else ref(f.name)
             for f in df.schema.fields
         ]
     )
 
 
-def is_number_text(c: Column) -> Column:
-    trimmed = X.trim_text(c)
-    return c.isNull() | (trimmed == "") | trimmed.rlike(NUMBER_REGEX)
+def is_number_text(name: str) -> Column:
+    trimmed = X.trim_text(name)
+    return ref(name).isNull() | (trimmed == "") | trimmed.rlike(NUMBER_REGEX)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -81,7 +81,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not texts:
         return []
-    checks = [F.bool_and(is_number_text(ref(name))).alias(f"c{i}") for i, name in enumerate(texts)]
+    checks = [F.bool_and(is_number_text(name)).alias(f"c{i}") for i, name in enumerate(texts)]
     row = df.agg(*checks).first()
     return [name for i, name in enumerate(texts) if row[f"c{i}"]]
 
@@ -94,12 +94,12 @@ def infer_numbers(df: DataFrame, columns: Iterable[str] | None = None) -> DataFr
     chosen = set(numeric_columns(df) if columns is None else columns)
     return df.select(
         *[
-            _as_double(ref(f.name)).alias(f.name) if f.name in chosen else ref(f.name)
+            _as_double(f.name).alias(f.name) if f.name in chosen else ref(f.name)
             for f in df.schema.fields
         ]
     )
 
 
-def _as_double(c: Column) -> Column:
-    trimmed = X.trim_text(c)
+def _as_double(name: str) -> Column:
+    trimmed = X.trim_text(name)
     return F.when(trimmed.rlike(NUMBER_REGEX), trimmed.try_cast("double"))

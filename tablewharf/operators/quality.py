@@ -65,7 +65,7 @@ def refusal_reason(
     """
     checks = []
     for name in key:
-        text = canonical_text(ref(name), schema[name].dataType)
+        text = canonical_text(name, schema[name].dataType)
         checks.append(F.when(text.isNull(), F.lit(f"key {name} is null")))
         if _may_be_long(schema[name].dataType):
             too_long = F.char_length(text) > max_key_chars
@@ -74,7 +74,7 @@ def refusal_reason(
         if field.name not in key and _may_be_long(field.dataType):
             # Text is measured as it is: only short texts stand for NULL.
             is_text = isinstance(field.dataType, T.StringType)
-            text = ref(field.name) if is_text else canonical_text(ref(field.name), field.dataType)
+            text = ref(field.name) if is_text else canonical_text(field.name, field.dataType)
             too_big = F.octet_length(text) > max_text_bytes
             checks.append(F.when(too_big, F.lit(f"{field.name} exceeds {max_text_bytes} bytes")))
     return F.coalesce(*checks, F.lit(None).cast("string"))

@@ -116,7 +116,7 @@ def _destination_key(job: TableJob, df: DataFrame) -> list[Column]:
     for name in job.key:
         dtype = df.schema[name].dataType
         same = X.is_integer(dtype) or dtype.typeName() == "string"
-        columns.append(ref(name) if same else X.canonical_text(ref(name), dtype))
+        columns.append(ref(name) if same else X.canonical_text(name, dtype))
     return columns
 
 
