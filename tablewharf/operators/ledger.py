@@ -17,7 +17,8 @@ from tablewharf.operators.upsert import latest_per_key
 LEDGER_SCHEMA = (
     "run_id string, table_name string, status string, attempt int, logged_at timestamp_ntz,"
     " progress int, src_rows bigint, dst_rows bigint, duplicates bigint, superseded bigint,"
-    " quarantined bigint, batch_rows int, readers int, writers int, nulls string, location string, error string"
+    " quarantined bigint, batch_rows int, readers int, writers int, nulls string,"
+    " location string, error string"
 )
 
 # Table states and the mark each gets in a reconciliation.

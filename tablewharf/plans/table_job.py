@@ -98,7 +98,8 @@ def _marked_rows(job: TableJob, unique: bool) -> DataFrame:
     """Cleaned rows, still typed, with the reason why the target refuses them."""
     rows = job.source
     if job.spread:
-        rows = rows.repartition(job.spread, *[ref(k) for k in job.key])
+        # By key only where no key can be hot; otherwise row by row.
+        rows = rows.repartition(job.spread, *[ref(k) for k in job.key if unique])
     if _needs_distinct(job, unique):
         rows = clean.distinct_rows(rows)
     return quality.with_refusal_reason(
@@ -144,9 +145,10 @@ def run_table(job: TableJob, folder: str) -> TableResult:
     """Run the copy and write it under ``folder``.
 
     A proven key makes both the distinct and the upsert unnecessary: a large
-    table is then copied in one pass without any shuffle. Otherwise a table without a key takes
-    one shuffle for distinct, and one with a key takes one for the winners.
-    Refused rows are written by a second, filtered pass, only when there are any.
+    table is then copied in one pass without any shuffle. Otherwise a table
+    without a key takes one shuffle for distinct, and one with a key takes one
+    for the winners. Refused rows are written by a second, filtered pass, only
+    when there are any.
     """
     spark = job.source.sparkSession
     job = _with_types(job)

@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 from tablewharf.functions.text import ref
 
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType | str, array: bool = False) -> DataFrame:
+def read_records(
+    spark: SparkSession, path: str, schema: T.StructType | str, array: bool = False
+) -> DataFrame:
     """Records of exported JSON files; ``array`` for one JSON array per file.
 
     The declared schema replaces "the fields of the first record": no
