@@ -1,6 +1,6 @@
 """Copy a database from the command line, for example with spark-submit.
 
-    spark-submit tablewharf/__main__.py --source 'LATEST:clinic_*' \\
+    spark-submit run_copy.py --source 'LATEST:clinic_*' \\
         --destination 'warehouse_{YYYY}_{MM}_{DD}' --folder hdfs:///copies
 
 Run it from a scheduler for periodic copies.
