@@ -220,12 +220,12 @@ def g3_database_copy(spark, folder):
     return counts.select(F.lit(namespace).alias("namespace"), "table_name", "total_rows")
 
 
-@check("SELECT * FROM nation UNION ALL SELECT * FROM nation")
+@check("SELECT * FROM customer UNION ALL SELECT * FROM customer")
 def f2_append_written(spark, folder):
     target = new_folder(spark, "append")
-    nation = table(spark, folder, "nation")
-    snapshots.append_rows(nation, target)
-    snapshots.append_rows(nation, target)
+    customer = table(spark, folder, "customer")
+    snapshots.append_rows(customer, target)
+    snapshots.append_rows(customer, target)
     return spark.read.parquet(target)
 
 

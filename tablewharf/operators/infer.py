@@ -11,13 +11,22 @@ from pyspark.sql import types as T
 from tablewharf.functions import text as X
 from tablewharf.functions.text import ref
 
-# Accepted date layouts, month before day.
+# Date layouts in the order they are tried: month before day where both fit.
+# Slashes, dots and the "T" of ISO times are unified before. Texts with only a
+# year or only a time of day are not taken for dates.
+_TIME = "[ H:m[:s[.SSSSSS]]]"
 DATETIME_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
+    "yyyy-M-d" + _TIME,
+    "M-d-yyyy" + _TIME,
+    "d-M-yyyy" + _TIME,
+    "yyyyMMdd" + _TIME,
+    "MMM d, yyyy" + _TIME,
+    "MMMM d, yyyy" + _TIME,
+    "MMM d yyyy" + _TIME,
+    "MMMM d yyyy" + _TIME,
+    "d MMM yyyy" + _TIME,
+    "d MMMM yyyy" + _TIME,
+    "d-MMM-yyyy" + _TIME,
 )
 
 # A decimal number, optionally in exponent form, or an infinity. An empty text
@@ -37,10 +46,9 @@ def parse_datetime(name: str, formats: Iterable[str] = DATETIME_FORMATS) -> Colu
     Values are read as UTC and re-anchored on a zone-free epoch, so no session
     time zone (and no daylight-saving gap) can shift them.
     """
-    instants = [
-        F.try_to_timestamp(F.concat(X.trim_text(name), F.lit(" Z")), F.lit(fmt + " XXX"))
-        for fmt in formats
-    ]
+    dashes = F.regexp_replace(X.trim_text(name), r"^(\d+)[/.](\d+)[/.](\d+)", "$1-$2-$3")
+    unified = F.concat(F.regexp_replace(dashes, r"(?<=\d)T(?=\d)", " "), F.lit(" Z"))
+    instants = [F.try_to_timestamp(unified, F.lit(fmt + " XXX")) for fmt in formats]
     micros = F.unix_micros(F.coalesce(*instants))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", micros, epoch)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,7 +92,13 @@ def current_table(
     up_to: int | None = None,
 ) -> DataFrame:
     """The table after all batches: the order columns decide, then the later batch."""
-    delta = changes(spark, folder, after_batch, up_to)
+    try:
+        delta = changes(spark, folder, after_batch, up_to)
+    except AnalysisException as error:
+        # Nothing has arrived yet.
+        if base is None or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return base
     winners = latest_per_key(delta, key, [*order_by, "batch"]).drop("batch")
     if base is None:
         return winners

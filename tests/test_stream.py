@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tablewharf.operators.upsert import latest_per_key
@@ -83,6 +84,14 @@ def test_writing_a_batch_again_changes_nothing(spark, parts):
     assert rows(incremental.current_table(spark, target, KEY, ORDER)) == before
 
 
+def test_a_table_without_changes_is_its_base(spark):
+    base = spark.range(3)
+    empty = new_folder(spark, "stream")
+    assert incremental.current_table(spark, empty, ["id"], base=base).count() == 3
+    with pytest.raises(AnalysisException):
+        incremental.current_table(spark, empty, ["id"])
+
+
 def test_refused_rows_of_a_stream_are_set_aside(spark):
     incoming, target = new_folder(spark, "incoming"), new_folder(spark, "stream")
     df = spark.createDataFrame([("a ", 1), ("a", 2), ("null", 3), (None, 4), ("b", None)], "k string, v int")
