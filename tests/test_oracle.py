@@ -42,7 +42,7 @@ def plain(value):
     return value
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, data, duck, name):
     result = QUERIES[name](spark, data)
     columns = sorted(result.columns)
