@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewharf.llm import mixing, sharding
+from tablewharf.llm import mixing, packing, sharding, token_count
 from tablewharf.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -24,5 +38,5 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", grown)
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op8_entropy_mix, op9_byte_shards)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_token_counts, op7_packing, op8_entropy_mix, op9_byte_shards)}
 SQL: dict[str, str] = {}
