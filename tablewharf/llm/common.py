@@ -78,8 +78,8 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct("v", "m"))).alias("e"))
-        small = small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct()
+        small = large.join(lowest, "u").select(F.col("m").alias("v"), F.explode(F.array("u", "v")).alias("w"))
+        small = small.select(F.col("w").alias("u"), "v").where("u <> v").distinct()
         pairs = store(small, purpose)
         before, state = state, _fingerprint(pairs)
         if before == state:

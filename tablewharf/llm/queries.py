@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewharf.llm import mixing, packing, sharding, token_count
+from tablewharf.llm import language, minhash, mixing, packing, sharding, token_count
 from tablewharf.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_of_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -38,5 +46,5 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", grown)
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_token_counts, op7_packing, op8_entropy_mix, op9_byte_shards)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_token_counts, op2_language, op6_superminhash, op7_packing, op8_entropy_mix, op9_byte_shards)}
 SQL: dict[str, str] = {}
