@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewharf.llm import language, minhash, mixing, packing, sharding, token_count
+from tablewharf.llm import language, minhash, mixing, packing, sharding, suffix_index, token_count
 from tablewharf.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,5 +46,16 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", grown)
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_token_counts, op2_language, op6_superminhash, op7_packing, op8_entropy_mix, op9_byte_shards)}
+def op10_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_index.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_token_counts, op2_language, op6_superminhash, op7_packing, op8_entropy_mix, op9_byte_shards, op10_suffix_levels)}
 SQL: dict[str, str] = {}
