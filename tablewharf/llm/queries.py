@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewharf.llm import html_text, language, minhash, mixing, packing, sharding, suffix_index, token_count
+from tablewharf.llm import html_text, language, minhash, mixing, packing, sharding, suffix_index, token_count, vector_search
 from tablewharf.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_of_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -61,5 +65,5 @@ def op10_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_token_counts, op2_language, op4_main_text, op6_superminhash, op7_packing, op8_entropy_mix, op9_byte_shards, op10_suffix_levels)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_token_counts, op2_language, op3_kd_trees, op4_main_text, op6_superminhash, op7_packing, op8_entropy_mix, op9_byte_shards, op10_suffix_levels)}
 SQL: dict[str, str] = {}
