@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewharf.llm import html_text, language, minhash, mixing, packing, sharding, suffix_index, token_count, vector_search
+from tablewharf.llm import html_text, language, minhash, mixing, near_vectors, packing, sharding, suffix_index, token_count, vector_search
 from tablewharf.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_small_worlds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
@@ -65,5 +69,5 @@ def op10_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_token_counts, op2_language, op3_kd_trees, op4_main_text, op6_superminhash, op7_packing, op8_entropy_mix, op9_byte_shards, op10_suffix_levels)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_token_counts, op2_language, op3_kd_trees, op4_main_text, op5_small_worlds, op6_superminhash, op7_packing, op8_entropy_mix, op9_byte_shards, op10_suffix_levels)}
 SQL: dict[str, str] = {}
