@@ -3,13 +3,71 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from tablewharf.llm import language, minhash, mixing, packing, suffix_index
+from tablewharf.llm.common import store, table
+from tablewharf.llm.queries import tokenizer_path
+
+# A text whose best cosine is below this resembles no language that was learned.
+LEAST_SCORE = 0.05
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose text resembles a language that the labels teach."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    predicted = language.predict(rows, language.learn(docs))
+    good = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return predicted.where(good).select("row.*")
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the first document of each group of near duplicates (5 words, similarity 0.8)."""
+    removed = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(removed, "doc_id", "left_anti").select(docs.columns)
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages of 200 bytes or more that stand anywhere else; documents of which nothing is left go."""
+    found = suffix_index.repeated_passages(docs, whole_characters=True)
+    text = F.col("kept").cast("string")
+    new = {"text": text, "n_chars": F.length(text).cast(dict(docs.dtypes).get("n_chars", "bigint"))}
+    columns = [new[c].alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    return found.where((F.length("kept") > 0) | (F.col("n_bytes") == 0)).select(columns)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat or drop documents so that sources have their target sizes.
+
+    Rows that repeat an id share the smallest number of copies among them.
+    """
+    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("mixed_id")).agg(F.min("copies").cast("int").alias("mixed_copies"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = rows.join(copies, F.col("row.doc_id").eqNullSafe(F.col("mixed_id")))
+    repeated = joined.where("mixed_copies > 0").select("row", F.explode(F.sequence(F.lit(1), "mixed_copies")))
+    return repeated.select("row.*")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of all documents in sequences of 2048."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("minhash_near_dedup", without_near_copies),
+    ("suffix_array_dedup", without_repeated_passages),
+    ("source_mixing", mixed_sources),
+    ("packing", packed),
+]
+
+# Language vectors, signatures, suffix arrays and tokens are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """The packed pieces of ``documents`` after all stages, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), f"corpus-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -166,10 +166,10 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, rows: int = TRAINING_RO
 def identify(docs: DataFrame, prototypes: list[tuple[str, np.ndarray]], dimensions: int = DIMENSIONS) -> DataFrame:
     """``doc_id, lang_pred, score`` for every row; see :func:`identify_text`."""
     kept = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return _predict(kept, prototypes, dimensions).drop("text")
+    return predict(kept, prototypes, dimensions).drop("text")
 
 
-def _predict(rows: DataFrame, prototypes: list[tuple[str, np.ndarray]], dimensions: int) -> DataFrame:
+def predict(rows: DataFrame, prototypes: list[tuple[str, np.ndarray]], dimensions: int = DIMENSIONS) -> DataFrame:
     """Append ``lang_pred, score`` to rows that have a column ``text``.
 
     The language is the prototype of greatest cosine with the bundle of the whole

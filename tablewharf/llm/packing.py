@@ -95,7 +95,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END)
     )
     ranked = with_prefix(rests, ["steps", F.xxhash64("doc_id", "start"), "doc_id", "row"], [], "pack-ranks")
     first = ranked.groupBy("steps").agg(F.min("row_index").alias("first_index"))
-    placed = ranked.join(first.join(slots_table, "steps"), "steps")
+    # At most one row per class: bounded whatever the input.
+    placed = ranked.join(F.broadcast(first.join(slots_table, "steps")), "steps")
     placed = placed.withColumn("rank", F.col("row_index") - F.col("first_index"))
     slot = F.expr("element_at(filter(slots, s -> s.first_rank <= rank), -1)")
     placed = placed.withColumn("slot", slot).withColumn(

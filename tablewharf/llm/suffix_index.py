@@ -153,7 +153,12 @@ class SuffixIndex:
 
 
 def repeated_passages(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES, id_column: str = "doc_id"
+    docs: DataFrame,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    batches: int = BATCHES,
+    id_column: str = "doc_id",
+    whole_characters: bool = False,
 ) -> DataFrame:
     """Find every byte that a string of ``length`` bytes covers which also starts anywhere else.
 
@@ -164,7 +169,8 @@ def repeated_passages(
     Batches of documents enter the index one after the other. Pieces that occur twice repeat as a
     whole. Where one anchor stands in different pieces, their strings are compared byte by byte in a
     suffix array of the pieces around that anchor; where very many pieces share an anchor, by the keys
-    of their strings, which spread over all tasks.
+    of their strings, which spread over all tasks. With ``whole_characters``, spans shrink to whole characters,
+    so that the kept bytes are a text again.
 
     Null texts are empty; texts shorter than ``length`` keep everything; longer ones are read whole, in
     windows. Null ids and repeated ids are ordinary rows. An empty table gives no rows.
@@ -197,7 +203,7 @@ def repeated_passages(
     found = whole.union(part.select("id", "piece", "first", "last")).union(loose)
     found = found.groupBy("id").agg(F.collect_list(F.struct("piece", "first", "last")).alias("found"))
     rows = docs.select(key, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), data)
-    return _removed(_joined(rows, found, "left"), length, gram)
+    return _removed(_joined(rows, found, "left"), length, gram, whole_characters)
 
 
 def _joined(rows: DataFrame, lists: DataFrame, how: str) -> DataFrame:
@@ -319,7 +325,7 @@ def _repeats(batches: list[pa.RecordBatch], length: int) -> pa.RecordBatch:
     )
 
 
-def _removed(rows: DataFrame, length: int, gram: int) -> DataFrame:
+def _removed(rows: DataFrame, length: int, gram: int, whole_characters: bool) -> DataFrame:
     """Turn what was found into removed spans and kept bytes."""
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,6 +333,8 @@ def _removed(rows: DataFrame, length: int, gram: int) -> DataFrame:
             sizes, removed, spans, kept = [], [], [], []
             for data, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 runs = _covered(data, found, length, gram) if found else []
+                if whole_characters:
+                    runs = [run for run in (_shrunk(data, *run) for run in runs) if run[0] < run[1]]
                 sizes.append(len(data))
                 removed.append(sum(end - first for first, end in runs))
                 spans.append([{"first": first, "end": end} for first, end in runs])
@@ -350,6 +358,15 @@ def _removed(rows: DataFrame, length: int, gram: int) -> DataFrame:
     )
 
 
+def _shrunk(data: bytes, first: int, end: int) -> tuple[int, int]:
+    """The whole UTF-8 characters inside a span."""
+    while first < end and data[first] & 0xC0 == 0x80:
+        first += 1
+    while end > first and end < len(data) and data[end] & 0xC0 == 0x80:
+        end -= 1
+    return first, end
+
+
 def _covered(data: bytes, found: list[dict], length: int, gram: int) -> list[tuple[int, int]]:
     first, last, _, piece = pieces(data, length, gram)
     by_piece: dict[int, list[tuple[int, int]]] = {}
