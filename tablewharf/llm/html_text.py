@@ -17,10 +17,10 @@ TRAINING_PAGES = 5_000
 # Evidence that a weight needs before it counts in full, and the range of weights.
 PRIOR = 20.0
 WORD_RANGE = (-4.0, 1.0)
-BLOCK_RANGE = (-8.0, -0.02)
-INLINE_RANGE = (-0.75, -0.02)
+# Tags that part regions, those of lists and tables, and those inside running text.
+BLOCK_RANGE, LIST_RANGE, TEXT_RANGE = (-8.0, -0.02), (-2.0, -0.02), (-0.75, -0.02)
 # Weights of what training has not seen: words in links are more often menus than text.
-UNSEEN_WORD, UNSEEN_LINKED, UNSEEN_BLOCK, UNSEEN_INLINE = 1.0, -0.5, -2.0, -0.1
+UNSEEN_WORD, UNSEEN_LINKED, UNSEEN_BLOCK, UNSEEN_TEXT = 1.0, -0.5, -2.0, -0.1
 
 # Fixed values of HTML.
 HIDDEN = frozenset("script style noscript template head title iframe object embed svg math canvas audio video select option textarea button input datalist".split())
@@ -31,6 +31,8 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+TEXT_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre hr".split())
+LISTS = frozenset("ul ol li dl dt dd table caption tbody thead tfoot tr td th".split())
 # Elements whose start closes an open paragraph or item.
 CLOSES_P = BLOCK - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
 
@@ -184,14 +186,16 @@ def weights_of(counts: list[tuple[str, int, int]]) -> dict[str, float]:
 
 def _range(name: str) -> tuple[float, float]:
     kind, _, value = name.partition(" ")
-    return WORD_RANGE if kind == "word" else BLOCK_RANGE if value in BLOCK else INLINE_RANGE
+    if kind == "word":
+        return WORD_RANGE
+    return LIST_RANGE if value in LISTS else BLOCK_RANGE if value in BLOCK - TEXT_BLOCK else TEXT_RANGE
 
 
 def _unseen(name: str) -> float:
     kind, _, value = name.partition(" ")
     if kind == "word":
         return UNSEEN_LINKED if value == "linked" else UNSEEN_WORD
-    return UNSEEN_BLOCK if value in BLOCK else UNSEEN_INLINE
+    return UNSEEN_BLOCK if value in BLOCK - TEXT_BLOCK - LISTS else UNSEEN_TEXT
 
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
