@@ -60,6 +60,22 @@ def h1_current_status(spark, folder):
     return ledger.current_status(event_ledger(spark, folder), order_by=["logged_at", "event_id"])
 
 
+@check(
+    "WITH s AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey < 4000),"
+    " b AS (SELECT min(k) AS lo, (max(k) - min(k) + 8) // 8 AS w FROM s),"
+    " x AS (SELECT CAST((k - lo) // w AS BIGINT) AS chunk, count(*) AS n FROM s, b GROUP BY 1),"
+    " y AS (SELECT CAST((o_orderkey - lo) // w AS BIGINT) AS chunk, count(*) AS n FROM orders, b GROUP BY 1)"
+    " SELECT chunk, coalesce(x.n, 0) AS total_rows, coalesce(y.n, 0) AS rows_processed,"
+    " CAST(CASE WHEN x.n > 0 THEN round(coalesce(y.n, 0) / x.n * 100) ELSE 0 END AS INTEGER) AS progress,"
+    " CASE WHEN coalesce(y.n, 0) > coalesce(x.n, 0) THEN 'surplus' WHEN y.n = x.n THEN 'completed'"
+    " ELSE 'running' END AS status FROM x FULL JOIN y USING (chunk)"
+)
+def h2_surplus_rows(spark, folder):
+    """Rows loaded beyond the source's keys show up as surplus."""
+    orders = table(spark, folder, "orders")
+    return chunks.chunk_progress(orders.where("o_orderkey < 4000"), orders, "o_orderkey", 8)
+
+
 @check(
     "WITH b AS (SELECT min(o_orderkey) AS lo, (max(o_orderkey) - min(o_orderkey) + 16) // 16 AS w"
     " FROM orders), s AS (SELECT CAST((o_orderkey - lo) // w AS BIGINT) AS chunk,"
@@ -78,7 +94,7 @@ def h2_chunk_progress(spark, folder):
 _SQL_VIEW = (
     "SELECT table_name, coalesce(status, 'pending') AS status, coalesce(src_rows, 0) AS src_rows,"
     " coalesce(dst_rows, 0) AS dst_rows, coalesce(progress, 0) AS progress, CAST(0 AS INTEGER) AS"
-    " batch_rows, CAST(0 AS INTEGER) AS readers, CAST(0 AS INTEGER) AS writers, error"
+    " batch_rows, error"
     f" FROM ({_SQL_CURRENT})"
 )
 
@@ -86,7 +102,7 @@ _SQL_VIEW = (
 def _current(spark, folder):
     rows = ledger.current_status(event_ledger(spark, folder), order_by=["logged_at", "event_id"])
     unknown = F.lit(None).cast("int")
-    return rows.withColumns({"batch_rows": unknown, "readers": unknown, "writers": unknown})
+    return rows.withColumn("batch_rows", unknown)
 
 
 @check(_SQL_VIEW)

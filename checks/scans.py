@@ -36,6 +36,13 @@ def a2_deep_page(spark, folder):
     return chunks.read_page(orders, "o_orderkey", 12000, 500, rows_per_chunk=5000)
 
 
+@check("SELECT * FROM orders ORDER BY o_orderkey LIMIT 7500 OFFSET 3000")
+def a2_wide_page(spark, folder):
+    """Half of the table: numbered range by range, not gathered in one task."""
+    orders = table(spark, folder, "orders")
+    return chunks.read_page(orders, "o_orderkey", 3000, 7500, rows_per_chunk=2000)
+
+
 @check(sql_counts())
 def a4_row_counts(spark, folder):
     return row_counts(all_tables(spark, folder))
@@ -134,14 +141,11 @@ _SQL_TIER = """
          WHEN total_rows < 100000 THEN 'medium' WHEN total_rows < 1000000 THEN 'large'
          ELSE 'huge' END AS tier,
     CAST(CASE WHEN total_rows < 1000 THEN 1000 WHEN total_rows < 10000 THEN 2000 ELSE 5000 END
-         AS INTEGER) AS batch_rows,
-    CAST(CASE WHEN total_rows < 1000 THEN 2 WHEN total_rows < 10000 THEN 3
-         WHEN total_rows < 100000 THEN 5 WHEN total_rows < 1000000 THEN 8 ELSE 10 END
-         AS INTEGER) AS {0}"""
+         AS INTEGER) AS batch_rows"""
 
 
 @check(
-    "SELECT *," + _SQL_TIER.format("readers") + ", readers AS writers FROM (SELECT event_id,"
+    "SELECT *," + _SQL_TIER + " FROM (SELECT event_id,"
     " CAST(floor(value * 10000) AS BIGINT) AS total_rows FROM events)"
 )
 def b1_size_tiers(spark, folder):
@@ -151,21 +155,11 @@ def b1_size_tiers(spark, folder):
     return chunks.with_size_tier(sizes)
 
 
-@check("SELECT *," + _SQL_TIER.format("readers") + f", readers AS writers FROM ({sql_counts()})")
+@check("SELECT *," + _SQL_TIER + f" FROM ({sql_counts()})")
 def b1_table_profile(spark, folder):
     return chunks.with_size_tier(row_counts(all_tables(spark, folder)))
 
 
-@check(
-    "SELECT *, CAST(CASE WHEN total_rows < 1000 THEN 2 WHEN total_rows < 10000 THEN 3 ELSE 3 END AS"
-    " INTEGER) AS readers, CAST(CASE WHEN total_rows < 1000 THEN 2 WHEN total_rows < 10000 THEN 3"
-    " ELSE 4 END AS INTEGER) AS writers FROM (SELECT table_name, total_rows, tier, batch_rows FROM"
-    " (SELECT *," + _SQL_TIER.format("side") + f" FROM ({sql_counts()})))"
-)
-def b1_capped_workers(spark, folder):
-    return chunks.with_size_tier(row_counts(all_tables(spark, folder)), max_workers=7)
-
-
 def _sql_manifest(name: str, key: str, n: int) -> str:
     return (
         f"WITH b AS (SELECT min({key}) AS lo, (max({key}) - min({key}) + {n}) // {n} AS w FROM {name})"

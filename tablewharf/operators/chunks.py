@@ -13,34 +13,26 @@ from pyspark.sql.window import Window
 from tablewharf.functions import text as X
 from tablewharf.functions.text import percent, ref
 
-# Size tiers as (rows below, tier, batch rows, readers = writers).
+# Size tiers as (rows below, tier, batch rows).
 SIZE_TIERS = (
-    (1_000, "tiny", 1000, 2),
-    (10_000, "small", 2000, 3),
-    (100_000, "medium", 5000, 5),
-    (1_000_000, "large", 5000, 8),
-    (None, "huge", 5000, 10),
+    (1_000, "tiny", 1000),
+    (10_000, "small", 2000),
+    (100_000, "medium", 5000),
+    (1_000_000, "large", 5000),
+    (None, "huge", 5000),
 )
 
-# Fixed value: how many readers and writers may work on one table.
-MAX_WORKERS = 20
-
-# Bounds the table of ranges that is sent to every task: 32 bytes or so each.
-MAX_FULL_CELLS = 200_000
-
 
 def size_tier(total_rows: int) -> dict:
-    """The tier of one table on the driver, for reader and writer options."""
-    for below, tier, batch, side in SIZE_TIERS:
+    """The tier of one table on the driver, for batch options and reports."""
+    for below, tier, batch in SIZE_TIERS:
         if below is None or total_rows < below:
-            return {"tier": tier, "batch_rows": batch, "parallelism": side}
+            return {"tier": tier, "batch_rows": batch}
     raise AssertionError("the last tier has no upper bound")
 
 
-def with_size_tier(
-    df: DataFrame, total_rows: str = "total_rows", max_workers: int = MAX_WORKERS
-) -> DataFrame:
-    """Add tier, batch rows and readers/writers to rows that carry a row count."""
+def with_size_tier(df: DataFrame, total_rows: str = "total_rows") -> DataFrame:
+    """Add tier and batch rows to rows that carry a row count."""
     rows = ref(total_rows)
 
     def pick(position: int) -> Column:
@@ -52,15 +44,10 @@ def with_size_tier(
             value = F.lit(entry[position])
             chain = F.when(condition, value) if chain is None else chain.when(condition, value)
 
-    workers = max(2, max_workers)
-    side = pick(3)
-    over = side * 2 > workers
     return df.select(
         *[ref(c) for c in df.columns],
         pick(1).alias("tier"),
         pick(2).cast("int").alias("batch_rows"),
-        F.when(over, F.lit(workers // 2)).otherwise(side).cast("int").alias("readers"),
-        F.when(over, F.lit(workers - workers // 2)).otherwise(side).cast("int").alias("writers"),
     )
 
 
@@ -119,7 +106,12 @@ def chunk_manifest(df: DataFrame, key: str, chunks: int) -> DataFrame:
 
 
 def chunk_progress(source: DataFrame, loaded: DataFrame, key: str, chunks: int) -> DataFrame:
-    """Per chunk of the source: rows, rows already loaded, percent and status."""
+    """Per chunk: rows of the source, rows already loaded, percent and status.
+
+    Chunks span the source's keys. Loaded rows beyond them have chunks of their own,
+    below 0 or after the last, with no source rows and the status ``surplus``; so has any chunk
+    that holds more rows than the source.
+    """
     low, high, _ = key_bounds(source, key)
 
     def rows_per_chunk(df: DataFrame, name: str) -> DataFrame:
@@ -127,16 +119,17 @@ def chunk_progress(source: DataFrame, loaded: DataFrame, key: str, chunks: int)
         return df.groupBy(chunk).agg(F.count(F.lit(1)).alias(name))
 
     done = F.coalesce(F.col("done"), F.lit(0).cast("bigint"))
-    total = F.col("total_rows")
+    total = F.coalesce(F.col("total_rows"), F.lit(0).cast("bigint"))
+    status = F.when(done > total, "surplus").when(done == total, "completed").otherwise("running")
     return (
         rows_per_chunk(source, "total_rows")
-        .join(rows_per_chunk(loaded, "done"), "chunk", "left")
+        .join(rows_per_chunk(loaded, "done"), "chunk", "full_outer")
         .select(
             "chunk",
-            "total_rows",
+            total.alias("total_rows"),
             done.alias("rows_processed"),
             percent(done, total).alias("progress"),
-            F.when(done >= total, "completed").otherwise("running").alias("status"),
+            status.alias("status"),
         )
     )
 
@@ -154,12 +147,11 @@ def read_page(
 
     Sorting to a deep offset keeps every skipped row in memory. Chunk counts
     tell which key ranges the page touches, so only those are read (the range
-    reaches the scan as a pushed filter) and only they are sorted.
+    reaches the scan as a pushed filter). Their rows are numbered range by range, so
+    a page of any width is cut without gathering it in one task.
     """
     low, high, rows = key_bounds(df, key)
-    if offset + limit <= rows_per_chunk or rows <= rows_per_chunk:
-        return df.orderBy(ref(key)).offset(offset).limit(limit)
-    chunks = -(-rows // rows_per_chunk)
+    chunks = max(1, -(-rows // rows_per_chunk))
     key_column = ref(key)
     per_chunk = df.groupBy(chunk_of(df, key, low, high, chunks).alias("chunk")).agg(
         F.count(F.lit(1)).alias("n"), F.min(key_column).alias("first"), F.max(key_column).alias("last")
@@ -181,7 +173,10 @@ def read_page(
     if chunk >= 0 and 2 * rows_per_chunk < inside_rows < rows:
         # Values cluster in these ranges: look again within their own bounds.
         return read_page(found, key, offset - skipped, limit, rows_per_chunk)
-    return found.orderBy(key_column).offset(offset - skipped).limit(limit)
+    place = X.spare_name(df.columns, "place")
+    numbered = with_dense_id(found, key, rows_per_chunk, place)
+    page = numbered.where(ref(place).between(offset - skipped + 1, offset - skipped + limit))
+    return page.drop(place).orderBy(key_column)
 
 
 def with_cells(df: DataFrame, key: str, rows_per_cell: int, name: str = "cell") -> DataFrame:
@@ -192,7 +187,7 @@ def with_cells(df: DataFrame, key: str, rows_per_cell: int, name: str = "cell")
     none is too full. Evenly spread keys need no second cut.
     """
     low, high, rows = key_bounds(df, key)
-    limit = max(rows_per_cell, rows // MAX_FULL_CELLS)
+    limit = rows_per_cell
     cells = max(1, -(-rows // limit))
     taken = list(df.columns)
     number, level = X.spare_name(taken, "key_number"), X.spare_name(taken, "level")
@@ -214,8 +209,7 @@ def with_cells(df: DataFrame, key: str, rows_per_cell: int, name: str = "cell")
             F.col("lo").alias(start),
             (F.call_function("div", F.col("hi") - F.col("lo"), parts) + 1).alias(width),
         )
-        # At most MAX_FULL_CELLS / 2 ranges hold more than twice their share.
-        cut = cut.join(F.broadcast(bounds), levels, "left")
+        cut = cut.join(bounds, levels, "left")
         finer = F.call_function("div", ref(number) - ref(start), ref(width))
         levels = [*levels, f"{level}{len(levels)}"]
         cut = cut.withColumn(levels[-1], F.coalesce(finer, F.lit(0).cast("bigint")))

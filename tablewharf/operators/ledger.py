@@ -17,16 +17,15 @@ from tablewharf.operators.upsert import latest_per_key
 LEDGER_SCHEMA = (
     "run_id string, table_name string, status string, attempt int, logged_at timestamp_ntz,"
     " progress int, src_rows bigint, dst_rows bigint, duplicates bigint, superseded bigint,"
-    " quarantined bigint, batch_rows int, readers int, writers int, nulls string,"
+    " quarantined bigint, batch_rows int, nulls string,"
     " location string, error string"
 )
 
 # Table states and the mark each gets in a reconciliation.
 MATCH, MISMATCH, FAILED, OPEN = "[OK]", "[!]", "[X]", "[ ]"
 
-# How many messages a recent log keeps, and error text lengths.
+# Fixed value: how many messages a recent log keeps.
 RECENT_MESSAGES = 100
-ERROR_CHARS = 200
 
 
 def current_status(
@@ -57,8 +56,6 @@ def progress_view(status: DataFrame, only: str | None = None) -> DataFrame:
         "dst_rows": F.lit(0).cast("bigint"),
         "progress": F.lit(0),
         "batch_rows": F.lit(0),
-        "readers": F.lit(0),
-        "writers": F.lit(0),
     }
     view = status.select(
         "table_name",

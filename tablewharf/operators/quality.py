@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tablewharf.functions.text import canonical_text, ref
 
-# Limits of the destination's key and text columns.
+# Limits of key and text columns in the usual relational destination.
 MAX_KEY_CHARS = 255
 MAX_TEXT_BYTES = 65535
 
@@ -55,11 +55,12 @@ def _may_be_long(dtype: T.DataType) -> bool:
 def refusal_reason(
     schema: T.StructType,
     key: Sequence[str] = (),
-    max_text_bytes: int = MAX_TEXT_BYTES,
-    max_key_chars: int = MAX_KEY_CHARS,
+    max_text_bytes: int | None = None,
+    max_key_chars: int | None = None,
 ) -> Column:
     """Why the destination would refuse a row; NULL when it would take it.
 
+    Lengths are limited only where the caller states the destination's limits.
     The rules look at the text a value becomes, so they can run while columns
     still have their types.
     """
@@ -67,11 +68,11 @@ def refusal_reason(
     for name in key:
         text = canonical_text(name, schema[name].dataType)
         checks.append(F.when(text.isNull(), F.lit(f"key {name} is null")))
-        if _may_be_long(schema[name].dataType):
+        if max_key_chars is not None and _may_be_long(schema[name].dataType):
             too_long = F.char_length(text) > max_key_chars
             checks.append(F.when(too_long, F.lit(f"key {name} exceeds {max_key_chars} characters")))
     for field in schema.fields:
-        if field.name not in key and _may_be_long(field.dataType):
+        if max_text_bytes is not None and field.name not in key and _may_be_long(field.dataType):
             # Text is measured as it is: only short texts stand for NULL.
             is_text = isinstance(field.dataType, T.StringType)
             text = ref(field.name) if is_text else canonical_text(field.name, field.dataType)
@@ -81,7 +82,7 @@ def refusal_reason(
 
 
 def with_refusal_reason(
-    df: DataFrame, key: Sequence[str] = (), name: str = "refusal_reason", **limits: int
+    df: DataFrame, key: Sequence[str] = (), name: str = "refusal_reason", **limits: int | None
 ) -> DataFrame:
     return df.withColumn(name, refusal_reason(df.schema, key, **limits))
 

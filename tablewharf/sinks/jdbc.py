@@ -6,15 +6,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from tablewharf.functions.text import quoted
 from tablewharf.operators.quality import MAX_KEY_CHARS
 from tablewharf.sources.jdbc import write_options
 
 
-def text_column_types(df: DataFrame, key: Sequence[str], text_type: str = "TEXT") -> str:
-    """Destination column types: bounded text for keys, unbounded for the rest."""
-    return ", ".join(
-        f"`{c}` VARCHAR({MAX_KEY_CHARS})" if c in key else f"`{c}` {text_type}" for c in df.columns
-    )
+def text_column_types(df: DataFrame, key: Sequence[str]) -> str:
+    """Destination types in Spark's own words: bounded text for keys. The others are left to
+    the dialect, whose text has no bound."""
+    return ", ".join(f"{quoted(c)} VARCHAR({MAX_KEY_CHARS})" for c in df.columns if c in key)
 
 
 def replace_table(

@@ -18,12 +18,19 @@ def _quoted(name: str, quote: str) -> str:
     return quote + name.replace(quote, quote * 2) + quote
 
 
+# Rows that one connection reads or writes.
+ROWS_PER_PARTITION = 500_000
+
+
+def partitions(total_rows: int) -> int:
+    return max(1, -(-total_rows // ROWS_PER_PARTITION))
+
+
 def read_options(total_rows: int) -> dict[str, str]:
-    """Fetch size and parallelism that suit a table of this size."""
-    tier = size_tier(total_rows)
+    """Fetch size, and as many partitions as the rows need."""
     return {
-        "fetchsize": str(tier["batch_rows"]),
-        "numPartitions": str(tier["parallelism"]),
+        "fetchsize": str(size_tier(total_rows)["batch_rows"]),
+        "numPartitions": str(partitions(total_rows)),
         "pushDownAggregate": "true",
         "pushDownLimit": "true",
         "pushDownOffset": "true",
@@ -31,8 +38,7 @@ def read_options(total_rows: int) -> dict[str, str]:
 
 
 def write_options(total_rows: int) -> dict[str, str]:
-    tier = size_tier(total_rows)
-    return {"batchsize": str(tier["batch_rows"]), "numPartitions": str(tier["parallelism"])}
+    return {"batchsize": str(size_tier(total_rows)["batch_rows"]), "numPartitions": str(partitions(total_rows))}
 
 
 def row_count(spark: SparkSession, options: Mapping[str, str], table: str) -> int:
