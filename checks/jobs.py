@@ -145,6 +145,34 @@ def f6_full_refresh(spark, folder):
     return snapshots.full_refresh(raised, namespace, "supplier", f"{base}/version-2")
 
 
+@check("SELECT * REPLACE (s_acctbal + 1 AS s_acctbal) FROM supplier")
+def f6_refresh_from_itself(spark, folder):
+    """A refresh may read the table it replaces, under the same folder."""
+    base = new_folder(spark, "refresh")
+    namespace = snapshots.run_namespace(
+        spark, "wharf_refresh_itself", datetime(2024, 1, 2), dated=False, folder=base
+    )
+    first = snapshots.full_refresh(table(spark, folder, "supplier"), namespace, "supplier", base)
+    raised = first.withColumn("s_acctbal", F.col("s_acctbal") + 1)
+    return snapshots.full_refresh(raised, namespace, "supplier", base)
+
+
+@check(
+    "SELECT CAST(9007199254740992 + o_orderkey AS VARCHAR) AS code, lpad(CAST(o_orderkey AS VARCHAR),"
+    " 12, '0') AS label, CAST(o_custkey AS VARCHAR) AS customer FROM orders"
+)
+def g2_table_copy_long_keys(spark, folder):
+    """Text keys stay as they are where numbers are inferred; each of them loads."""
+    key = F.col("o_orderkey")
+    texts = table(spark, folder, "orders").select(
+        (key + F.lit(9007199254740992)).cast("string").alias("code"),
+        F.lpad(key.cast("string"), 12, "0").alias("label"),
+        F.concat(F.lit("0"), F.col("o_custkey").cast("string")).alias("customer"),
+    )
+    job = TableJob("orders", texts, ("code", "label"), infer_types=True)
+    return spark.read.parquet(run_table(job, new_folder(spark, "copy")).location)
+
+
 @check(
     "SELECT 'backup_' || strftime(ts, '%Y_%m_%d') AS snapshot, count(*) AS total_rows"
     " FROM events GROUP BY 1"

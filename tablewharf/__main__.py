@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 
 from tablewharf.operators import ledger as reports
 from tablewharf.plans.database import catalog_jobs, copy_database, database_jobs
+from tablewharf.plans.settings import run_settings
 
 
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -34,14 +35,18 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     add("--jdbc", action="append", default=[], metavar="NAME=VALUE", help="JDBC option of a database source")
     add("--at-once", type=int, default=1, help="tables that share the cluster")
     add("--max-attempts", type=int, default=3)
+    add("--shuffle-bytes", type=int, default=50 << 30, help="bytes of the largest shuffle, for its partitions")
+    add("--cores", type=int, default=200, help="cores of the cluster")
     add("--retry-seconds", type=float, default=5.0)
     return parser.parse_args(argv)
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
-    """Run one copy; the exit status is the number of failed tables."""
+    """Run one copy; the exit status is 1 if a table failed."""
     args = arguments(argv)
-    spark = spark or SparkSession.builder.appName("tablewharf").getOrCreate()
+    if spark is None:
+        settings = run_settings(args.shuffle_bytes, args.cores)
+        spark = SparkSession.builder.appName("tablewharf").config(map=settings).getOrCreate()
     choice = {"include": args.include, "exclude": args.exclude, "globs": args.globs}
     if args.jdbc:
         options = dict(option.split("=", 1) for option in args.jdbc)
@@ -63,10 +68,11 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         print(f"{namespace}: no tables to copy")
         return 0
     status = reports.with_spans(ledger.rows())
-    reports.progress_view(status).orderBy("table_name").show(1000, truncate=False)
+    for row in reports.progress_view(status).orderBy("table_name").toLocalIterator():
+        print(*row, sep=" | ")
     summary = reports.run_summary(status).first()
     print(f"{namespace}: {summary}")
-    return summary["failed_tables"]
+    return int(summary["failed_tables"] > 0)
 
 
 if __name__ == "__main__":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablewharf.functions.text import is_integer, ref
 from tablewharf.operators.selection import select_tables
-from tablewharf.plans.run import Ledger, copy_tables, utc_now
+from tablewharf.plans.run import Ledger, copy_tables, local_now
 from tablewharf.plans.table_job import TableJob
 from tablewharf.sinks.snapshots import run_namespace, write_version
 from tablewharf.sources import catalog, jdbc
@@ -58,26 +59,24 @@ def database_jobs(
 ) -> list[TableJob]:
     """Jobs for the base tables of a relational database.
 
-    Every table is read once, in key ranges, and lands as Parquet in the shared
-    folder ``landing``. Later passes and retries then see the same rows and do
+    Every table is read once, in key ranges, when its turn comes, and lands as Parquet in the shared
+    folder ``landing``. A table that cannot be read fails alone. Later passes and retries then see the same rows and do
     not load the database again.
     """
     names = chosen_names(jdbc.base_tables(spark, options, schema), include, exclude, globs)
     keys = catalog.keys_by_table(catalog.primary_keys(*jdbc.key_metadata(spark, options, schema)))
+
+    def land(job: TableJob) -> TableJob:
+        return _landed(spark, options, job, f"{landing}/{job.name}")
+
     return [
-        _landed_job(spark, options, name, keys.get(name, ()), f"{landing}/{name}", order_by or {})
+        TableJob(name, None, keys.get(name, ()), (order_by or {}).get(name, ()), prepare=land)
         for name in names
     ]
 
 
-def _landed_job(
-    spark: SparkSession,
-    options: Mapping[str, str],
-    name: str,
-    key: tuple[str, ...],
-    folder: str,
-    order_by: Keys,
-) -> TableJob:
+def _landed(spark: SparkSession, options: Mapping[str, str], job: TableJob, folder: str) -> TableJob:
+    name, key = job.name, job.key
     rows = jdbc.row_count(spark, options, name)
     whole = jdbc.read_table(spark, options, name)
     integers = [k for k in key if is_integer(whole.schema[k].dataType)]
@@ -89,7 +88,7 @@ def _landed_job(
     write_version(table, folder)
     # The database enforces its keys; only cleaning could make text keys collide.
     unique = True if key and len(integers) == len(key) else None
-    return TableJob(name, spark.read.parquet(folder), key, order_by.get(name, ()), unique)
+    return replace(job, source=spark.read.parquet(folder), key_is_unique=unique)
 
 
 def copy_database(
@@ -102,12 +101,12 @@ def copy_database(
     registry: Callable[[str], object] | None = None,
     **options,
 ) -> tuple[str, Ledger]:
-    """Copy tables into one namespace, named from the start of the run.
+    """Copy tables into one namespace, named from the start of the run in the session's time zone.
 
     ``registry`` loads registry records into that namespace first; its failure
     does not stop the tables. Returns the namespace and the ledger.
     """
-    namespace = run_namespace(spark, destination, started or utc_now(), dated, folder)
+    namespace = run_namespace(spark, destination, started or local_now(spark), dated, folder)
     before = None if registry is None else lambda: registry(namespace)
     ledger = copy_tables(spark, jobs, f"{folder}/{namespace}", namespace, before=before, **options)
     return namespace, ledger

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewharf.operators.chunks import size_tier
-from tablewharf.operators.ledger import ERROR_CHARS, LEDGER_SCHEMA
+from tablewharf.operators.ledger import LEDGER_SCHEMA
 from tablewharf.plans.table_job import TableJob, TableResult, run_table
 from tablewharf.sinks.snapshots import publish
 
@@ -31,6 +31,12 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def local_now(spark: SparkSession) -> datetime:
+    """The wall clock of the session's time zone, by which people name days."""
+    now = spark.range(1).select(F.current_timestamp().cast("timestamp_ntz").alias("now"))
+    return now.first()["now"]
+
+
 @dataclass
 class Ledger:
     """Append-only status rows under one folder."""
@@ -76,7 +82,7 @@ def copy_table(
     spark = ledger.spark
     for attempt in range(1, max_attempts + 1):
         if attempt > 1:
-            note = f"Retry attempt {attempt}/{max_attempts}"
+            note = f"trying again, {attempt} of {max_attempts}"
             ledger.add(job.name, "retrying", attempt, progress=0, error=note)
             time.sleep(retry_seconds)
         ledger.add(job.name, "processing", attempt, progress=0)
@@ -91,7 +97,7 @@ def copy_table(
                 publish(spark, namespace, job.name, result.location)
         except Exception as error:  # one table never stops the others
             log.warning("table %s, attempt %d: %s", job.name, attempt, error)
-            ledger.add(job.name, "failed", attempt, progress=0, error=str(error)[:ERROR_CHARS])
+            ledger.add(job.name, "failed", attempt, progress=0, error=str(error))
             continue
         counts = {k: v for k, v in asdict(result).items() if k not in ("quarantine", "nulls")}
         tier = size_tier(result.src_rows)
@@ -101,8 +107,6 @@ def copy_table(
             attempt,
             progress=100,
             batch_rows=tier["batch_rows"],
-            readers=tier["parallelism"],
-            writers=tier["parallelism"],
             nulls=json.dumps(result.nulls) if result.nulls else None,
             **counts,
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -14,12 +15,6 @@ from tablewharf.operators.upsert import latest_per_key
 from tablewharf.sinks.snapshots import write_version
 
 
-# Tables of this size may sit in one file that a single task has to read. Dealing
-# their rows out costs little and lets all cores clean and write them; larger
-# tables come in enough splits.
-SPREAD_ROWS = range(100_000, 10_000_000)
-
-
 @dataclass(frozen=True)
 class TableJob:
     """One table to copy.
@@ -30,16 +25,19 @@ class TableJob:
     rows with the same key is the later one. An upsert removes exact copies by
     itself; ``count_duplicates`` pays one more shuffle to report them apart
     from older rows with the same key. ``spread`` deals the rows to that many
-    tasks before the cleaning; without it, middle-sized tables that need no
-    other shuffle are dealt to all cores.
+    tasks before the cleaning, for a source in few splits; without it no row moves.
 
     ``infer_types`` replaces the numeric repairs by type recovery: text columns
-    named like dates become timestamps, wholly numeric text becomes numbers.
-    ``numeric_columns`` states the latter instead of proving it on the data.
+    named like dates become timestamps, wholly numeric text becomes numbers; key
+    columns stay as they are. ``numeric_columns`` states the latter, as types by column or as
+    names of double columns, instead of proving it on the data.
+
+    ``prepare`` completes the job when it runs, for example by landing its source, so
+    that a failure counts as a failed attempt of this table alone.
     """
 
     name: str
-    source: DataFrame
+    source: DataFrame | None
     key: tuple[str, ...] = ()
     order_by: tuple[str, ...] = ()
     key_is_unique: bool | None = None
@@ -47,15 +45,18 @@ class TableJob:
     fill_numeric: float | None = 0
     spread: int | None = None
     infer_types: bool = False
-    numeric_columns: tuple[str, ...] | None = None
+    numeric_columns: Mapping[str, str] | tuple[str, ...] | None = None
     limits: dict[str, int] = field(default_factory=dict)
+    prepare: Callable[[TableJob], TableJob] | None = None
 
 
 @dataclass(frozen=True)
 class TableResult:
-    """What happened to the rows of one table; the counts add up exactly.
+    """What happened to the rows of one table.
 
-    ``src_rows = dst_rows + duplicates + superseded + quarantined``. ``nulls``
+    ``src_rows = dst_rows + duplicates + superseded + quarantined``, counted apart
+    from each other; only where exact copies are removed, ``duplicates`` is what is left. A copy whose
+    counts do not add up fails. ``nulls``
     lists the columns of the loaded rows that hold NULLs after cleaning, with
     their number.
     """
@@ -76,8 +77,11 @@ def _needs_distinct(job: TableJob, unique: bool) -> bool:
 
 def _cleaned(job: TableJob, df: DataFrame) -> DataFrame:
     if job.infer_types:
-        texts = clean.trim_strings(infer.coerce_datetimes(df))
-        numeric = [c for c in job.numeric_columns or () if c in df.columns]
+        texts = clean.trim_strings(infer.coerce_datetimes(df, skip=job.key))
+        numeric = job.numeric_columns or {}
+        if not isinstance(numeric, Mapping):
+            numeric = dict.fromkeys(numeric, "double")
+        numeric = {c: t for c, t in numeric.items() if c in df.columns and c not in job.key}
         return clean.comparable_values(clean.null_non_finite(infer.infer_numbers(texts, numeric)))
     return clean.comparable_values(clean.clean_values(df, job.fill_numeric))
 
@@ -86,8 +90,8 @@ def _with_types(job: TableJob) -> TableJob:
     """The job with its numeric text columns found, by one pass over the source."""
     if not job.infer_types or job.numeric_columns is not None:
         return job
-    texts = clean.trim_strings(infer.coerce_datetimes(job.source))
-    return replace(job, numeric_columns=tuple(infer.numeric_columns(texts)))
+    texts = clean.trim_strings(infer.coerce_datetimes(job.source, skip=job.key))
+    return replace(job, numeric_columns=infer.number_types(texts, skip=job.key))
 
 
 def _reason_name(job: TableJob) -> str:
@@ -150,6 +154,8 @@ def run_table(job: TableJob, folder: str) -> TableResult:
     for the winners. Refused rows are written by a second, filtered pass, only
     when there are any.
     """
+    if job.prepare is not None:
+        job = replace(job.prepare(job), prepare=None)
     spark = job.source.sparkSession
     job = _with_types(job)
     if job.key and job.key_is_unique is None:
@@ -158,8 +164,6 @@ def run_table(job: TableJob, folder: str) -> TableResult:
         src_rows, unique = job.source.count(), bool(job.key and job.key_is_unique)
     if src_rows == 0:
         return TableResult(src_rows=0)
-    if unique and job.spread is None and src_rows in SPREAD_ROWS:
-        job = replace(job, spread=spark.sparkContext.defaultParallelism)
 
     reason = _reason_name(job)
     columns = job.source.columns
@@ -196,6 +200,10 @@ def run_table(job: TableJob, folder: str) -> TableResult:
     seen = loaded.get if upsert else refused.get
     accepted = (seen["merged"] or 0) if upsert else dst_rows
     missing = src_rows - accepted - quarantined
+    if missing < 0 or (missing and not _needs_distinct(job, unique)):
+        raise RuntimeError(
+            f"{job.name}: {src_rows} rows read, {accepted} loaded and {quarantined} set aside do not add up"
+        )
     return TableResult(
         src_rows=src_rows,
         dst_rows=dst_rows,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tablewharf.functions.names import snapshot_name_text
 
@@ -43,28 +45,46 @@ def write_version(df: DataFrame, folder: str, compression: str = "zstd") -> None
 def publish(spark: SparkSession, namespace: str, table: str, folder: str) -> None:
     """Point ``namespace.table`` at a written version.
 
-    Readers see the old version or the new one, never a mixture: with the same
-    columns only the location changes. Other columns mean a new table
-    definition, as a full refresh drops and re-creates the table.
+    With the same columns only the location changes: readers see the old version or
+    the new one. Other columns need a new table definition; between its drop and its
+    creation the name is missing for a moment, and when the creation fails the old definition
+    comes back.
     """
     full_name = f"{_name(namespace)}.{_name(table)}"
     written = spark.read.parquet(folder).schema
     location = _text(folder)
+    old = None
     if spark.catalog.tableExists(full_name):
         if spark.table(full_name).schema == written:
             spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{location}'")
             spark.catalog.refreshTable(full_name)
             return
+        details = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}").where("col_name = 'Location'")
+        old = (_definition(spark.table(full_name).schema), details.first()["data_type"])
         spark.sql(f"DROP TABLE {full_name}")
-    columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in written.fields)
-    spark.sql(f"CREATE TABLE {full_name} ({columns}) USING parquet LOCATION '{location}'")
+    create = "CREATE TABLE {} ({}) USING parquet LOCATION '{}'"
+    try:
+        spark.sql(create.format(full_name, _definition(written), location))
+    except Exception:
+        if old:
+            spark.sql(create.format(full_name, old[0], _text(old[1])))
+        raise
+
+
+def _definition(schema: StructType) -> str:
+    return ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def full_refresh(df: DataFrame, namespace: str, table: str, folder: str) -> DataFrame:
-    """Replace a table as a whole: write aside, then swap."""
+    """Replace a table as a whole: write a new version under ``folder``, then swap.
+
+    Every call writes into a folder of its own, so a plan that reads the table itself works and a failing write
+    leaves the old version as it is.
+    """
     spark = df.sparkSession
-    write_version(df, folder)
-    publish(spark, namespace, table, folder)
+    version = f"{folder}/version-{uuid.uuid4().hex}"
+    write_version(df, version)
+    publish(spark, namespace, table, version)
     return spark.table(f"{_name(namespace)}.{_name(table)}")
 
 
