@@ -184,6 +184,24 @@ def d7_numeric_inference(spark, folder):
     return infer.infer_numbers(texts)
 
 
+@check(
+    "SELECT o_orderkey, o_orderkey AS code, CAST(o_orderkey + 9007199254740992 AS BIGINT) AS long_code,"
+    " CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey + 9007199254740992 AS BIGINT) END AS gaps"
+    " FROM orders"
+)
+def d7_integer_columns(spark, folder):
+    """Whole numbers stay exact, with leading zeros or 16 digits, with gaps or without."""
+    key = F.col("o_orderkey")
+    long_code = (key + F.lit(9007199254740992)).cast("string")
+    texts = table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.lpad(key.cast("string"), 10, "0").alias("code"),
+        long_code.alias("long_code"),
+        F.when(key % 5 > 0, long_code).otherwise("").alias("gaps"),
+    )
+    return infer.infer_numbers(texts)
+
+
 @check(f"SELECT * REPLACE ({_SQL_FINITE.format('NULL')} AS value) FROM ({SQL_DIRTY_EVENTS})")
 def d8_non_finite_to_null(spark, folder):
     return clean.null_non_finite(dirty_events(spark, folder))

@@ -53,6 +53,23 @@ def f1_case_insensitive_key(spark, folder):
     return upsert.latest_per_key(mixed, ["event_type"], ["ts", "event_id"], collation="UNICODE_CI")
 
 
+@check(
+    "WITH t AS (SELECT CASE WHEN event_id % 3 > 0 THEN user_id END AS user_id, ts, event_id, value FROM events),"
+    " w AS (SELECT user_id, ts, event_id, value + 1 AS value FROM t WHERE event_id % 2 = 0 QUALIFY"
+    " row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)"
+    " SELECT * FROM w UNION ALL SELECT * FROM t WHERE NOT EXISTS"
+    " (SELECT 1 FROM w WHERE w.user_id IS NOT DISTINCT FROM t.user_id)"
+)
+def f1_merge_null_key(spark, folder):
+    """Rows without a key are one key: a change replaces them like any other."""
+    events = table(spark, folder, "events").select(
+        F.when(F.col("event_id") % 3 > 0, F.col("user_id")).alias("user_id"), "ts", "event_id", "value"
+    )
+    changed = events.where("event_id % 2 = 0").withColumn("value", F.col("value") + 1)
+    changed = upsert.latest_per_key(changed, ["user_id"], ["ts", "event_id"])
+    return upsert.merge_by_key(events, changed, ["user_id"])
+
+
 def _order_changes(orders):
     return orders.withColumns(
         {"o_orderkey": F.col("o_orderkey") + 5000, "o_totalprice": F.col("o_totalprice") + 1}

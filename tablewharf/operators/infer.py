@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +31,8 @@ DATETIME_FORMATS = (
 
 # A decimal number, optionally in exponent form, or an infinity. An empty text
 # counts as a missing number and does not stop a column from converting.
+WHOLE_REGEX = r"^[+-]?\d+$"
+DOUBLE_DIGITS = 15
 NUMBER_REGEX = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?inf(inity)?$"
 
 
@@ -58,6 +60,7 @@ def coerce_datetimes(
     df: DataFrame,
     columns: Iterable[str] | None = None,
     formats: Iterable[str] = DATETIME_FORMATS,
+    skip: Iterable[str] = (),
 ) -> DataFrame:
     """Turn text columns into timestamps; unreadable values become NULL.
 
@@ -65,11 +68,11 @@ def coerce_datetimes(
     the name rule alone would also hit numbers such as ``lifetime_value``.
     """
     formats = tuple(formats)
-    wanted = None if columns is None else set(columns)
+    wanted, skipped = None if columns is None else set(columns), set(skip)
 
     def chosen(f: T.StructField) -> bool:
         named = looks_like_datetime(f.name) if wanted is None else f.name in wanted
-        return named and isinstance(f.dataType, T.StringType)
+        return named and isinstance(f.dataType, T.StringType) and f.name not in skipped
 
     return df.select(
         *[
@@ -84,30 +87,68 @@ def is_number_text(name: str) -> Column:
     return ref(name).isNull() | (trimmed == "") | trimmed.rlike(NUMBER_REGEX)
 
 
-def numeric_columns(df: DataFrame) -> list[str]:
-    """Text columns in which every value is a number; one pass for all columns."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+def number_types(df: DataFrame, skip: Iterable[str] = ()) -> dict[str, str]:
+    """The number type of each text column in which every value is a number.
+
+    One pass for all columns. Whole numbers without gaps stay whole: ``bigint``, from 19
+    digits on ``decimal(38,0)``, and beyond 38 digits the column stays text. A column with
+    missing values or fractions becomes ``double``, unless it is whole and has more digits than a double keeps.
+    """
+    skipped = set(skip)
+    texts = [
+        f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skipped
+    ]
     if not texts:
-        return []
-    checks = [F.bool_and(is_number_text(name)).alias(f"c{i}") for i, name in enumerate(texts)]
+        return {}
+    checks = []
+    for i, name in enumerate(texts):
+        trimmed = X.trim_text(name)
+        blank = ref(name).isNull() | (trimmed == "")
+        digits = F.length(F.regexp_replace(trimmed, r"^[+-]?0*", ""))
+        checks += [
+            F.bool_and(is_number_text(name)).alias(f"number{i}"),
+            F.bool_and(blank | trimmed.rlike(WHOLE_REGEX)).alias(f"whole{i}"),
+            F.bool_or(blank).alias(f"gaps{i}"),
+            F.max(digits).alias(f"digits{i}"),
+        ]
     row = df.agg(*checks).first()
-    return [name for i, name in enumerate(texts) if row[f"c{i}"]]
+    found = {}
+    for i, name in enumerate(texts):
+        if not row[f"number{i}"]:
+            continue
+        digits = row[f"digits{i}"] or 0
+        exact = row[f"whole{i}"] and (not row[f"gaps{i}"] or digits > DOUBLE_DIGITS)
+        if not exact:
+            found[name] = "double"
+        elif digits <= 38:
+            found[name] = "bigint" if digits <= 18 else "decimal(38,0)"
+    return found
 
 
-def infer_numbers(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Convert wholly numeric text columns to double, leave the others alone.
+def numeric_columns(df: DataFrame) -> list[str]:
+    """Text columns that become numbers."""
+    return list(number_types(df))
+
+
+def infer_numbers(
+    df: DataFrame, columns: Mapping[str, str] | Iterable[str] | None = None
+) -> DataFrame:
+    """Convert wholly numeric text columns, leave the others alone.
 
-    ``columns`` skips the proving pass where the answer is already known.
+    ``columns`` skips the proving pass where the answer is already known: types by
+    column, or names of columns that become double.
     """
-    chosen = set(numeric_columns(df) if columns is None else columns)
+    chosen = number_types(df) if columns is None else columns
+    if not isinstance(chosen, Mapping):
+        chosen = dict.fromkeys(chosen, "double")
     return df.select(
         *[
-            _as_double(f.name).alias(f.name) if f.name in chosen else ref(f.name)
+            _as_number(f.name, chosen[f.name]).alias(f.name) if f.name in chosen else ref(f.name)
             for f in df.schema.fields
         ]
     )
 
 
-def _as_double(name: str) -> Column:
+def _as_number(name: str, dtype: str) -> Column:
     trimmed = X.trim_text(name)
-    return F.when(trimmed.rlike(NUMBER_REGEX), trimmed.try_cast("double"))
+    return F.when(trimmed.rlike(NUMBER_REGEX), trimmed.try_cast(dtype))

@@ -7,9 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tablewharf.functions.names import matches_glob, split_names
-from tablewharf.functions.text import ref
+from tablewharf.functions.text import canonical_text, ref
 
 # Columns the destination fills in by itself.
 GENERATED_COLUMNS = ("id", "loaded_at")
@@ -51,11 +52,11 @@ def matching_fields(records: DataFrame, target_columns: Sequence[str]) -> list[s
 
 
 def aligned_columns(records: DataFrame, target_columns: Sequence[str]) -> list[Column]:
-    """Matching fields as text; empty text stays, NULL stays NULL."""
+    """Matching fields as the text that tables get; texts stay as they are, NULL stays NULL."""
 
     def as_text(name: str) -> Column:
-        nested = records.schema[name].dataType.typeName() in ("array", "map", "struct", "variant")
-        return (F.to_json(ref(name)) if nested else ref(name).cast("string")).alias(name)
+        dtype = records.schema[name].dataType
+        return (ref(name) if isinstance(dtype, StringType) else canonical_text(name, dtype)).alias(name)
 
     return [as_text(name) for name in matching_fields(records, target_columns)]
 

@@ -6,10 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tablewharf.functions import text as X
 from tablewharf.functions.text import ref
 
 
+def _orderable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
 def latest_per_key(
     df: DataFrame,
     key: Sequence[str | Column],
@@ -29,7 +39,13 @@ def latest_per_key(
     of rows each winner stands for.
     """
     rest = [c for c in df.columns if c not in order_by]
-    winner = F.max(F.struct(*[ref(c) for c in [*order_by, *rest]])).alias("winner")
+    ordered = [*order_by, *rest]
+    whole = F.struct(*[ref(c) for c in ordered])
+    if all(_orderable(df.schema[c].dataType) for c in ordered):
+        winner = F.max(whole).alias("winner")
+    else:  # maps have no order of their own: their JSON decides
+        rank = [ref(c) if _orderable(df.schema[c].dataType) else F.to_json(ref(c)) for c in ordered]
+        winner = F.max_by(whole, F.struct(*rank)).alias("winner")
     keys = [ref(k) if isinstance(k, str) else k for k in key]
     groups = [
         (F.collate(k, collation) if collation else k).alias(f"key{i}") for i, k in enumerate(keys)
@@ -52,25 +68,28 @@ def merge_by_key(
 ) -> DataFrame:
     """``target`` after upserting ``changes``: replaced, added and kept rows.
 
-    A change replaces the row with its key; with ``order_by`` only where that
-    row is not newer. The target is read once in full, plus once in its key and
+    A change replaces the row with its key; a NULL in a key equals NULL, as it does among the changes. With
+    ``order_by`` it replaces only where that row is not newer. The target is read once in full, plus once in its key and
     order columns, and is not shuffled while the keys of the changes are small
     enough for Spark to broadcast by its own size check.
     """
     columns = [ref(c) for c in target.columns]
+    # A struct is never NULL, so it joins rows whose key holds NULLs like others.
+    target_key = X.spare_name(target.columns, "merge_key")
+    change_key = X.spare_name([*target.columns, target_key], "change_key")
     winners = latest_per_key(changes.select(*columns), key, order_by)
-    keys = [ref(k) for k in key]
+    whole_key = F.struct(F.lit(0).alias("all"), *[ref(k) for k in key])
+    keyed, winners = target.withColumn(target_key, whole_key), winners.withColumn(change_key, whole_key)
+    same = ref(target_key) == ref(change_key)
     if order_by:
         order = F.struct(*[ref(c) for c in order_by])
-        present = target.select(*keys, order.alias("present_order"))
-        stale = (
-            winners.select(*keys, order.alias("change_order"))
-            .join(present, list(key), "inner")
-            .where("present_order > change_order")
-        )
-        winners = winners.join(stale.select(*keys), list(key), "left_anti").select(*columns)
-    kept = target.join(winners.select(*keys), list(key), "left_anti").select(*columns)
-    return kept.unionByName(winners)
+        present = keyed.select(ref(target_key), order.alias("present_order"))
+        changed = winners.select(ref(change_key), order.alias("change_order"))
+        stale = changed.join(present, same).where("present_order > change_order")
+        stale = stale.select(ref(change_key).alias("stale_key"))
+        winners = winners.join(stale, ref(change_key) == F.col("stale_key"), "left_anti")
+    kept = keyed.join(winners.select(ref(change_key)), same, "left_anti").select(*columns)
+    return kept.unionByName(winners.select(*columns))
 
 
 def append(target: DataFrame, rows: DataFrame) -> DataFrame:
