@@ -15,6 +15,7 @@ from tablewharf.functions.text import ref
 # Slashes, dots and the "T" of ISO times are unified before. Texts with only a
 # year or only a time of day are not taken for dates.
 _TIME = "[ H:m[:s[.SSSSSS]]]"
+_HALF_DAY = " h:m[:s][ ]a"
 DATETIME_FORMATS = (
     "yyyy-M-d" + _TIME,
     "M-d-yyyy" + _TIME,
@@ -27,6 +28,12 @@ DATETIME_FORMATS = (
     "d MMM yyyy" + _TIME,
     "d MMMM yyyy" + _TIME,
     "d-MMM-yyyy" + _TIME,
+    "M-d-yy" + _TIME,
+    "d-M-yy" + _TIME,
+    "yyyy-M",
+)
+HALF_DAY_FORMATS = tuple(
+    layout.replace(_TIME, _HALF_DAY) for layout in DATETIME_FORMATS if layout.endswith(_TIME)
 )
 
 # A decimal number, optionally in exponent form, or an infinity. An empty text
@@ -36,6 +43,19 @@ DOUBLE_DIGITS = 15
 NUMBER_REGEX = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?inf(inity)?$"
 
 
+# A zone after a time of day: Z, UTC or GMT, or an offset.
+_ZONE = r"(:\d{1,2}(?:\.\d+)?)\s?(Z|UTC|GMT|[+-]\d{2}:?\d{2})$"
+
+
+def lost_datetimes(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """``(column_name, lost)``: texts of each column that no layout fits, from one aggregate."""
+    named = list(columns)
+    lost = [ref(c).isNotNull() & (X.trim_text(c) != "") & parse_datetime(c).isNull() for c in named]
+    counts = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, bad in enumerate(lost)])
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("lost")) for i, c in enumerate(named)]
+    return counts.select(F.inline(F.array(*entries)))
+
+
 def looks_like_datetime(name: str) -> bool:
     """The name rule: ``date`` or ``time`` anywhere in the column name."""
     lowered = name.lower()
@@ -45,13 +65,28 @@ def looks_like_datetime(name: str) -> bool:
 def parse_datetime(name: str, formats: Iterable[str] = DATETIME_FORMATS) -> Column:
     """The first format that fits, NULL when none does.
 
-    Values are read as UTC and re-anchored on a zone-free epoch, so no session
+    A weekday in front is left out, and fractions beyond microseconds are cut. A time
+    with a zone becomes its time in UTC. Others are read as UTC and re-anchored on a zone-free epoch, so no session
     time zone (and no daylight-saving gap) can shift them.
     """
-    dashes = F.regexp_replace(X.trim_text(name), r"^(\d+)[/.](\d+)[/.](\d+)", "$1-$2-$3")
-    unified = F.concat(F.regexp_replace(dashes, r"(?<=\d)T(?=\d)", " "), F.lit(" Z"))
-    instants = [F.try_to_timestamp(unified, F.lit(fmt + " XXX")) for fmt in formats]
-    micros = F.unix_micros(F.coalesce(*instants))
+    day = F.regexp_replace(X.trim_text(name), r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
+    dashes = F.regexp_replace(day, r"^(\d+)[/.](\d+)[/.](\d+)", "$1-$2-$3")
+    spaced = F.regexp_replace(dashes, r"(?<=\d)T(?=\d)", " ")
+    cut = F.regexp_replace(spaced, r"(\.\d{6})\d+", "$1")
+    zone = F.regexp_extract(cut, _ZONE, 2)
+    offset = F.when(zone.rlike("[0-9]"), F.regexp_replace(zone, r"([+-]\d\d):?(\d\d)", "$1:$2")).otherwise("Z")
+    plain = F.concat(F.regexp_replace(cut, _ZONE, "$1"), F.lit(" "), offset)
+    half_day = plain.rlike(r"(?i)\d\s?[ap]m ")
+    upper = F.upper(plain) if formats is DATETIME_FORMATS else plain
+
+    def first(text: Column, layouts: Iterable[str]) -> Column:
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(layout + " XXX")) for layout in layouts])
+
+    instant = first(plain, formats)
+    if formats is DATETIME_FORMATS:
+        halves = [h for h in HALF_DAY_FORMATS if "MMM" not in h]
+        instant = F.when(half_day, first(upper, halves)).otherwise(instant)
+    micros = F.unix_micros(instant)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", micros, epoch)
 
@@ -67,7 +102,7 @@ def coerce_datetimes(
     Without ``columns`` the name rule picks them. Only text columns convert:
     the name rule alone would also hit numbers such as ``lifetime_value``.
     """
-    formats = tuple(formats)
+    formats = formats if formats is DATETIME_FORMATS else tuple(formats)
     wanted, skipped = None if columns is None else set(columns), set(skip)
 
     def chosen(f: T.StructField) -> bool:

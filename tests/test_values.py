@@ -158,10 +158,17 @@ def test_datetimes_are_read_month_first(spark):
         "Jan 5, 2024": day, "January 5 2024": day, "5 January 2024": day, "05-Jan-2024": day,
         "bad": None, "": None, "2024-13-01": None, "2024-02-30": None, "0000-00-00": None,
         "2024": None, "12:30": None, None: None,
+        "2024-01-02T03:04:05Z": datetime(2024, 1, 2, 3, 4, 5), "2024-01-02T03:04:05+07:00": datetime(2024, 1, 1, 20, 4, 5),
+        "2024-01-02 03:04:05.123456789-0130": datetime(2024, 1, 2, 4, 34, 5, 123456),
+        "1/5/2024 3:04 PM": datetime(2024, 1, 5, 15, 4), "2024-01-05 12:04:05am": datetime(2024, 1, 5, 0, 4, 5),
+        "1/5/24": day, "13-01-24": datetime(2024, 1, 13), "2024-01": datetime(2024, 1, 1),
+        "Fri, 05 Jan 2024 10:11:12 GMT": datetime(2024, 1, 5, 10, 11, 12), "Friday 5 January 2024": day,
     }
     df = spark.createDataFrame([(text,) for text in expected], "UPDATED string")
     assert infer.looks_like_datetime("UPDATED") and not infer.looks_like_datetime("dat")
     assert dict(zip(expected, column(infer.coerce_datetimes(df)))) == expected
+    lost = infer.lost_datetimes(df, ["UPDATED"]).first()
+    assert lost.lost == sum(v is None for k, v in expected.items() if k)
     mixed = spark.createDataFrame([(1, "x")], "lifetime_value int, note string")
     assert infer.coerce_datetimes(mixed).schema == mixed.schema
     assert column(infer.coerce_datetimes(mixed, ["note"]).select("note")) == [None]
