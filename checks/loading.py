@@ -53,6 +53,22 @@ def f1_case_insensitive_key(spark, folder):
     return upsert.latest_per_key(mixed, ["event_type"], ["ts", "event_id"], collation="UNICODE_CI")
 
 
+@check(
+    "SELECT row_number() OVER (ORDER BY c_name) AS id, c_name AS record_id, CASE WHEN c_custkey % 3 = 0"
+    " THEN '12345678.9' WHEN c_custkey % 3 = 1 THEN '0.0001' ELSE '-0.5' END AS amount,"
+    " CASE WHEN c_custkey % 2 = 0 THEN '1' ELSE '0' END AS flag FROM customer"
+)
+def f10_registry_text_id(spark, folder):
+    """Ids count in the order of a text; numbers and booleans read as in tables."""
+    key = F.col("c_custkey")
+    found = table(spark, folder, "customer").select(
+        F.col("c_name").alias("record_id"),
+        F.when(key % 3 == 0, 12345678.9).when(key % 3 == 1, 0.0001).otherwise(-0.5).alias("amount"),
+        (key % 2 == 0).alias("flag"),
+    )
+    return registry_table(found, ["id", "record_id", "amount", "flag"], dense_by="record_id")
+
+
 @check(
     "WITH t AS (SELECT CASE WHEN event_id % 3 > 0 THEN user_id END AS user_id, ts, event_id, value FROM events),"
     " w AS (SELECT user_id, ts, event_id, value + 1 AS value FROM t WHERE event_id % 2 = 0 QUALIFY"

@@ -43,6 +43,28 @@ def a2_wide_page(spark, folder):
     return chunks.read_page(orders, "o_orderkey", 3000, 7500, rows_per_chunk=2000)
 
 
+_LINE_ORDER = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+    "l_tax", "l_shipdate", "l_returnflag", "l_linestatus",
+)
+
+
+@check(f"SELECT * FROM lineitem ORDER BY {', '.join(_LINE_ORDER)} LIMIT 20000 OFFSET 10000")
+def a2_page_composite(spark, folder):
+    """A page in the order of several columns, numbers, dates and text."""
+    return chunks.read_page(table(spark, folder, "lineitem"), _LINE_ORDER, 10000, 20000)
+
+
+@check(
+    "SELECT CAST(n * 12 // total AS BIGINT) AS chunk, count(*) AS rows_in_chunk, min(c_name) AS min_key,"
+    " max(c_name) AS max_key FROM (SELECT c_name, row_number() OVER (ORDER BY c_name) - 1 AS n,"
+    " count(*) OVER () AS total FROM customer) GROUP BY 1"
+)
+def b3_manifest_text_key(spark, folder):
+    manifest = chunks.even_manifest(table(spark, folder, "customer"), ["c_name"], 12)
+    return manifest.withColumns({"min_key": F.col("min_key.c_name"), "max_key": F.col("max_key.c_name")})
+
+
 @check(sql_counts())
 def a4_row_counts(spark, folder):
     return row_counts(all_tables(spark, folder))

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from tablewharf.functions import text as X
 from tablewharf.functions.text import percent, ref
+from tablewharf.operators.ordering import with_prefix
 
 # Size tiers as (rows below, tier, batch rows).
 SIZE_TIERS = (
@@ -51,6 +52,40 @@ def with_size_tier(df: DataFrame, total_rows: str = "total_rows") -> DataFrame:
     )
 
 
+def _is_number_key(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether ranges of the key can be cut by arithmetic: one integer, date or time."""
+    kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, kinds)
+
+
+def _placed(df: DataFrame, order_by: Sequence[str], group: Sequence[str], amount: Column) -> DataFrame:
+    """Rows as ``record`` with their number and running total in order of any keys."""
+    rows = df.select(
+        F.struct(*[ref(c) for c in df.columns]).alias("record"),
+        F.struct(F.lit(0).alias("all"), *[ref(g) for g in group]).alias("group_key"),
+        *[ref(c).alias(f"order{i}") for i, c in enumerate(order_by)],
+        amount.cast("bigint").alias("amount"),
+    )
+    return with_prefix(rows, ["group_key", *[f"order{i}" for i in range(len(order_by))]], ["amount"], "order")
+
+
+def _record(df: DataFrame) -> list[Column]:
+    return [F.col("record").getField(c).alias(c) for c in df.columns]
+
+
+def even_manifest(df: DataFrame, keys: Sequence[str], chunks: int) -> DataFrame:
+    """``(chunk, rows_in_chunk, min_key, max_key)`` in chunks of equal rows, by keys of any orderable type.
+
+    ``min_key`` and ``max_key`` are structs of the keys. Rows are numbered in key order range by range.
+    """
+    number = _placed(df.select(*[ref(k) for k in keys]), keys, (), F.lit(1))
+    key = F.struct(*[F.col("record").getField(k).alias(k) for k in keys])
+    chunk = F.call_function("div", F.col("row_index") * chunks, F.col("total_amount"))
+    return number.groupBy(chunk.cast("bigint").alias("chunk")).agg(
+        F.count(F.lit(1)).alias("rows_in_chunk"), F.min(key).alias("min_key"), F.max(key).alias("max_key")
+    )
+
+
 def key_number(df: DataFrame, key: str) -> Column:
     """An integer, date or time key as an order-preserving bigint."""
     dtype = df.schema[key].dataType
@@ -141,15 +176,24 @@ def _literal(value: object, df: DataFrame, key: str) -> Column:
 
 
 def read_page(
-    df: DataFrame, key: str, offset: int, limit: int, rows_per_chunk: int = 1_000_000
+    df: DataFrame, key: str | Sequence[str], offset: int, limit: int, rows_per_chunk: int = 1_000_000
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of the table in order of a unique key.
 
+    A key of several columns, or of text or decimals, has no arithmetic ranges: all rows are then numbered in
+    key order, range by range, and the page is cut by number.
+
     Sorting to a deep offset keeps every skipped row in memory. Chunk counts
     tell which key ranges the page touches, so only those are read (the range
     reaches the scan as a pushed filter). Their rows are numbered range by range, so
     a page of any width is cut without gathering it in one task.
     """
+    keys = [key] if isinstance(key, str) else list(key)
+    if not _is_number_key(df, keys):
+        placed = _placed(df, keys, (), F.lit(1))
+        page = placed.where(F.col("row_index").between(offset, offset + limit - 1))
+        return page.select(*_record(df)).orderBy(*[ref(k) for k in keys])
+    key = keys[0]
     low, high, rows = key_bounds(df, key)
     chunks = max(1, -(-rows // rows_per_chunk))
     key_column = ref(key)
@@ -220,19 +264,28 @@ def with_cells(df: DataFrame, key: str, rows_per_cell: int, name: str = "cell")
 def with_running_total(
     df: DataFrame,
     value: Column,
-    order_by: str,
+    order_by: str | Sequence[str],
     group: Sequence[str] = (),
     rows_per_cell: int = 1_000_000,
     name: str = "running_total",
 ) -> DataFrame:
     """Exact running sum of ``value`` by a unique ``order_by`` within ``group``.
 
+    For keys that have no arithmetic ranges (text, decimals, several columns) ``value`` must be whole.
+
     A window over a whole group would put a hot group (or, without a group, the
     whole table) into one task. Here every group is cut into key ranges; the
     range sums are small enough to accumulate by a window, and each row adds the
     sum within its own range. No task holds more than one range of one group,
     and the number of ranges grows with the table.
     """
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    if not _is_number_key(df, keys):
+        placed = _placed(df, keys, group, value)
+        first = placed.groupBy("group_key").agg(F.min("before_amount").alias("group_start"))
+        upto = F.col("before_amount") + F.col("amount") - F.col("group_start")
+        return placed.join(first, "group_key").select(*_record(df), upto.alias(name))
+    order_by = keys[0]
     columns = [ref(c) for c in df.columns]
     celled = with_cells(df, order_by, rows_per_cell, X.spare_name(df.columns, "cell"))
     cell = ref(celled.columns[-1])
@@ -264,7 +317,7 @@ def with_running_total(
 def with_byte_batches(
     df: DataFrame,
     text: Sequence[str],
-    order_by: str,
+    order_by: str | Sequence[str],
     max_bytes: int,
     group: Sequence[str] = (),
     rows_per_cell: int = 1_000_000,
@@ -280,7 +333,7 @@ def with_byte_batches(
 
 
 def with_dense_id(
-    df: DataFrame, order_by: str, rows_per_cell: int = 1_000_000, name: str = "id"
+    df: DataFrame, order_by: str | Sequence[str], rows_per_cell: int = 1_000_000, name: str = "id"
 ) -> DataFrame:
     """1, 2, 3, … in key order over the whole table, without a global sort task."""
     return with_running_total(df, F.lit(1).cast("bigint"), order_by, (), rows_per_cell, name)

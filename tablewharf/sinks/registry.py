@@ -13,7 +13,7 @@ from tablewharf.sinks.snapshots import full_refresh
 
 
 def registry_table(
-    records: DataFrame, columns: Sequence[str], dense_by: str | None = None
+    records: DataFrame, columns: Sequence[str], dense_by: str | Sequence[str] | None = None
 ) -> DataFrame:
     """Records in the shape of the registry table.
 
