@@ -79,29 +79,33 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def suffix_array(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """The sampled suffix array of documents ``(id, data)``: ``anchor, piece, id`` in order."""
+    """The sampled suffix array of documents ``(id, data)``: ``anchor, piece, id`` and ``n``,
+    how often the document has the piece."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, anchors, wholes = [], [], []
+            rows, anchors, wholes, counts = [], [], [], []
             for row, data in enumerate(batch.column(1).to_pylist()):
                 if len(data) >= length:
                     _, _, anchor, whole = pieces(data, length, gram)
-                    anchors.append(anchor)
+                    whole, first, n = np.unique(whole, return_index=True, return_counts=True)
+                    anchors.append(anchor[first])
                     wholes.append(whole)
-                    rows.append(np.full(len(anchor), row))
+                    counts.append(n)
+                    rows.append(np.full(len(whole), row))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(anchors).view(np.int64)),
                         pa.array(np.concatenate(wholes).view(np.int64)),
                         batch.column(0).take(pa.array(np.concatenate(rows))),
+                        pa.array(np.concatenate(counts), pa.int64()),
                     ],
-                    names=["anchor", "piece", "id"],
+                    names=["anchor", "piece", "id", "n"],
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(entries, f"anchor long, piece long, id {kind}")
+    return docs.mapInArrow(entries, f"anchor long, piece long, id {kind}, n long")
 
 
 def _sorted(array: DataFrame) -> DataFrame:
@@ -124,7 +128,7 @@ class SuffixIndex:
     def add(self, array: DataFrame) -> None:
         self._merge_equal()
         new = _sorted(array)
-        inside = new.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+        inside = new.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
         found = [inside]
         keys = new.select("anchor").distinct()
         for _, level in self.levels:
@@ -184,12 +188,12 @@ def repeated_passages(
         index.add(suffix_array(docs.where(share).select(key, data), length, gram))
 
     matched = store(index.matched(), "suffix-matched")
-    classes = matched.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("holder"))
+    classes = matched.groupBy("anchor", "piece").agg(F.sum("n").alias("n"), F.min("id").alias("holder"))
     anchors = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("pieces"))
     judged = classes.join(anchors, "anchor").where("n > 1 or pieces > 1")
     judged = store(judged.select("anchor", "piece", "n", "pieces", "holder"), "suffix-judged")
     whole = matched.join(judged.where("n > 1").select("anchor", "piece"), ["anchor", "piece"], "left_semi")
-    whole = whole.select("id", "piece", F.lit(0).alias("first"), F.lit(-1).alias("last"))
+    whole = whole.select("id", "piece", F.lit(0).alias("first"), F.lit(-1).alias("last")).distinct()
 
     crowded = (F.col("pieces") > CROWD).alias("crowded")
     asked = judged.where("pieces > 1").select(F.col("holder").alias("id"), F.struct("piece", crowded).alias("ask"))
@@ -201,7 +205,9 @@ def repeated_passages(
     twice = strings.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     loose = strings.join(twice, "anchor", "left_semi").select("id", "piece", "first", F.col("first").alias("last"))
     found = whole.union(part.select("id", "piece", "first", "last")).union(loose)
-    found = found.groupBy("id").agg(F.collect_list(F.struct("piece", "first", "last")).alias("found"))
+    entire = F.collect_list(F.when(F.col("last") < 0, F.col("piece"))).alias("entire")
+    parts = F.collect_list(F.when(F.col("last") >= 0, F.struct("piece", "first", "last"))).alias("parts")
+    found = found.groupBy("id").agg(entire, parts)
     rows = docs.select(key, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), data)
     return _removed(_joined(rows, found, "left"), length, gram, whole_characters)
 
@@ -331,8 +337,11 @@ def _removed(rows: DataFrame, length: int, gram: int, whole_characters: bool) ->
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, spans, kept = [], [], [], []
-            for data, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                runs = _covered(data, found, length, gram) if found else []
+            entire, parts = batch.column(2), batch.column(3).to_pylist()
+            for place, data in enumerate(batch.column(1).to_pylist()):
+                names = entire[place].values
+                names = names.to_numpy() if names is not None else np.empty(0, dtype=np.int64)
+                runs = _covered(data, names, parts[place] or [], length, gram)
                 if whole_characters:
                     runs = [run for run in (_shrunk(data, *run) for run in runs) if run[0] < run[1]]
                 sizes.append(len(data))
@@ -353,7 +362,7 @@ def _removed(rows: DataFrame, length: int, gram: int, whole_characters: bool) ->
             )
 
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.select("row", "data", "found").mapInArrow(
+    return rows.select("row", "data", "entire", "parts").mapInArrow(
         remove, f"row {kind}, n_bytes long, n_removed long, spans array<struct<first:bigint,end:bigint>>, kept binary"
     )
 
@@ -367,17 +376,26 @@ def _shrunk(data: bytes, first: int, end: int) -> tuple[int, int]:
     return first, end
 
 
-def _covered(data: bytes, found: list[dict], length: int, gram: int) -> list[tuple[int, int]]:
+def _covered(data: bytes, entire: np.ndarray, parts: list[dict], length: int, gram: int) -> list[tuple[int, int]]:
+    """Maximal runs covered by repeated strings: of entire pieces, and of parts of pieces."""
+    if not len(entire) and not parts:
+        return []
     first, last, _, piece = pieces(data, length, gram)
-    by_piece: dict[int, list[tuple[int, int]]] = {}
-    for f in found:
-        by_piece.setdefault(f["piece"], []).append((f["first"], f["last"]))
+    piece = piece.view(np.int64)
+    whole = np.isin(piece, entire)
+    starts, ends = [first[whole]], [last[whole]]
+    if parts:
+        order = np.argsort(piece, kind="stable")
+        names = np.array([p["piece"] for p in parts])
+        low = np.searchsorted(piece[order], names)
+        high = np.searchsorted(piece[order], names, side="right")
+        for part, a, b in zip(parts, low, high):
+            at = first[order[a:b]]
+            starts.append(at + part["first"])
+            ends.append(at + part["last"])
     change = np.zeros(len(data) + 1, dtype=np.int64)
-    for k, name in enumerate(piece.view(np.int64).tolist()):
-        for low, high in by_piece.get(name, ()):
-            high = int(last[k]) if high < 0 else int(first[k]) + high
-            change[int(first[k]) + low] += 1
-            change[high + length] -= 1
+    np.add.at(change, np.concatenate(starts), 1)
+    np.add.at(change, np.concatenate(ends) + length, -1)
     inside = np.concatenate([[False], np.cumsum(change[:-1]) > 0, [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
