@@ -65,31 +65,31 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     smallest reachable node, for every node of an edge.
 
     Alternates large-star and small-star steps (Kiveris et al., "Connected Components
-    in MapReduce and Beyond", 2014). Minima combine map-side and each round is stored,
-    so a hub with very many edges costs one partial minimum per task.
+    in MapReduce and Beyond", 2014) until every edge points to a root. Minima combine map-side
+    and each round is stored, so a hub with very many edges costs one partial minimum per task.
     """
     tidy = F.col("a") != F.col("b")
     pairs = edges.where(tidy).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     pairs = store(pairs, purpose)
-    state = _fingerprint(pairs)
-    while True:
+    while not _are_stars(pairs):
         both = pairs.union(pairs.select("v", "u").toDF("u", "v"))
         lowest = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
         large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = store(large.where("u <> v"), purpose)
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.col("m").alias("v"), F.explode(F.array("u", "v")).alias("w"))
         small = small.select(F.col("w").alias("u"), "v").where("u <> v").distinct()
         pairs = store(small, purpose)
-        before, state = state, _fingerprint(pairs)
-        if before == state:
-            break
     roots = pairs.select("v").distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots.select("v", "v"))
 
 
-def _fingerprint(pairs: DataFrame) -> tuple:
-    return tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether every node either points to one root or is one."""
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("out")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("out")))).alias("e"))
+    nodes = ends.groupBy("e.node").agg(F.sum("e.out").alias("points"), F.min("e.out").alias("least"))
+    return nodes.where("points > 1 or (points = 1 and least = 0)").isEmpty()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

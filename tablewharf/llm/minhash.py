@@ -15,9 +15,8 @@ from tablewharf.llm.common import components, store
 SHINGLE = 5
 SIMILARITY = 80
 BANDS, WIDTH = 24, 5
-# Rounds in which each bucket compares all members with a few centres before it
-# compares what is still apart.
-STAR_ROUNDS = 2
+# Documents of one block; two blocks meet in a task.
+BLOCK = 512
 # Bytes of text that are hashed at a time.
 WINDOW = 1 << 20
 
@@ -201,9 +200,10 @@ def near_duplicates(
     SuperMinHash registers; every link is confirmed on the full sets.
 
     Documents with equal sets are one class and enter once. In a bucket, all members are
-    compared with one centre first; then, in a last round, every two members that are
-    still in different components and whose set sizes allow a link. So a bucket of copies costs
-    its size, and no candidate is left out.
+    compared with one centre first, which costs the bucket's size. Buckets that then still hold several
+    components are finished in blocks: documents that hang together by such buckets are cut into blocks of
+    ``BLOCK``, every two blocks meet in a task, and every two members of a bucket that are in different components and whose
+    set sizes allow a link are tested there, most alike first. No candidate is left out.
 
     Documents without words, or with a null text, have no shingles, link with nothing and are kept; so are rows with a null id. Rows
     that repeat an id share its component. Texts of any length are read whole. An empty table gives no rows;
@@ -218,52 +218,121 @@ def near_duplicates(
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
     texts = store(texts.join(members.select("id").distinct(), "id", "left_semi"), "near-texts")
 
-    links: list[DataFrame] = []
-    parted = members.withColumn("component", F.col("id"))
-    for turn in range(STAR_ROUNDS + 1):
-        if turn:
-            found = _united(links, "near-parts")
-            parted = members.join(found, F.col("id") == F.col("node"), "left").select(
-                "key", "id", "n", F.coalesce("component", "id").alias("component")
-            )
-            open_keys = parted.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            parted = store(parted.join(open_keys.where("low <> high").select("key"), "key"), "near-open")
-            if parted.isEmpty():
-                break
-        pairs = _starred(parted, turn) if turn < STAR_ROUNDS else _crossed(parted)
-        close = F.lit(100) * F.least("n", "centre_n") >= F.lit(similarity) * F.greatest("n", "centre_n")
-        pairs = pairs.where(close).select("id", "centre").distinct()
-        links.append(store(confirmed(pairs, texts, shingle, similarity), "near-links"))
-
-    classes = usable.select("class_key", F.col("doc_id").alias("b")).join(
-        reps.select("class_key", F.col("r.doc_id").alias("a")), "class_key"
+    close = F.lit(100) * F.least("n", "centre_n") >= F.lit(similarity) * F.greatest("n", "centre_n")
+    pairs = _starred(members).where(close).select("id", "centre").distinct()
+    parts = components(confirmed(pairs, texts, shingle, similarity), "near-parts")
+    parted = members.join(parts, F.col("id") == F.col("node"), "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component")
     )
-    whole = _united([*links, classes.select("a", "b").where("a <> b")], "near-components")
-    component = F.coalesce(F.col("component"), F.col("doc_id"))
-    return sketches.join(whole, F.col("doc_id") == F.col("node"), "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")
+    several = parted.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("first"))
+    parted = store(parted.join(several.where("low <> high").select("key", "first"), "key"), "near-open")
+    if not parted.isEmpty():
+        bands_of = reps.select(F.col("r.doc_id").alias("id"), F.col("r.band_keys").alias("band_keys"))
+        parts = _united(parts, _finished(parted, bands_of, texts, shingle, similarity))
+
+    # A class is named by its smallest id, and so is a component of classes: the ids that
+    # one class shares with another through repeated rows are joined at last.
+    classes = reps.select("class_key", F.col("r.doc_id").alias("rep")).join(parts, F.col("rep") == F.col("node"), "left")
+    named = classes.select("class_key", F.coalesce("component", "rep").alias("component_id"))
+    rows = sketches.join(named, "class_key", "left")
+    component = F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("component_id"))
+    rows = rows.select("doc_id", "n_shingles", component.alias("component_id"))
+    lowest = rows.groupBy("doc_id").agg(F.min("component_id").alias("low"))
+    lowest = lowest.where("low <> doc_id")
+    return rows.join(lowest.withColumnRenamed("doc_id", "low_id"), F.col("doc_id") == F.col("low_id"), "left").select(
+        "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id"), F.col("low").isNull().alias("kept")
     )
 
 
-def _united(links: list[DataFrame], purpose: str) -> DataFrame:
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.union(more.select("a", "b"))
-    return components(edges, purpose)
-
-
-def _starred(parted: DataFrame, turn: int) -> DataFrame:
-    """Every member of a bucket with the bucket's centre, if they are still apart."""
-    centre = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), "id", "n", "component")).alias("c")
-    centres = parted.groupBy("key").agg(centre)
-    named = [F.col("c.id").alias("centre"), F.col("c.n").alias("centre_n"), F.col("c.component").alias("centre_component")]
-    return parted.join(centres.select("key", *named), "key").where("component <> centre_component")
-
-
-def _crossed(parted: DataFrame) -> DataFrame:
-    """Every two members of a bucket that are still apart."""
-    other = parted.select("key", *[F.col(c).alias(f"centre_{c}") for c in ("n", "component")], F.col("id").alias("centre"))
-    return parted.join(other, "key").where("component < centre_component")
+def _united(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Components ``(node, component)`` after more links, which are followed between components only."""
+    label = parts.select(F.col("node").alias("a"), F.col("component").alias("label_a"))
+    other = parts.select(F.col("node").alias("b"), F.col("component").alias("label_b"))
+    edges = links.join(label, "a", "left").join(other, "b", "left").select(
+        F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")
+    )
+    joint = components(edges, "near-joint").select("node", F.col("component").alias("joint"))
+    moved = parts.select("node", F.col("component").alias("old")).join(
+        joint.select(F.col("node").alias("old"), "joint"), "old", "left"
+    )
+    moved = moved.select("node", F.coalesce("joint", "old").alias("component"))
+    new = joint.join(parts.select("node"), "node", "left_anti").select("node", F.col("joint").alias("component"))
+    return store(moved.union(new), "near-parts")
+
+
+def _starred(members: DataFrame) -> DataFrame:
+    """Every member of a bucket with the bucket's centre."""
+    centre = F.min(F.struct(F.xxhash64("id").alias("order"), "id", "n")).alias("c")
+    centres = members.groupBy("key").agg(centre)
+    named = centres.select("key", F.col("c.id").alias("centre"), F.col("c.n").alias("centre_n"))
+    return members.join(named, "key").where("id <> centre")
+
+
+def _finished(parted: DataFrame, bands_of: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """Links between members of open buckets that are still in different components, as ``(a, b)``."""
+    chains = components(parted.select(F.col("first").alias("a"), F.col("id").alias("b")), "near-chains")
+    clusters = chains.select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    nodes = parted.select("id", "component").distinct().join(clusters, "id")
+    sizes = nodes.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    nodes = nodes.join(sizes, "cluster").withColumn("block", F.expr("pmod(xxhash64(id), blocks)"))
+    nodes = nodes.join(bands_of, "id").join(texts, "id")
+    partner = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("partner")
+    met = nodes.select("cluster", "block", partner, "id", "component", "band_keys", "text")
+    met = met.withColumns({"one": F.least("block", "partner"), "two": F.greatest("block", "partner")})
+    kind = nodes.schema["id"].dataType.simpleString()
+
+    def test(table: pa.Table) -> pa.Table:
+        found = _tested(table, shingle, similarity)
+        return pa.table({name: pa.array(ids, table.schema.field("id").type) for name, ids in zip("ab", found)})
+
+    chosen = met.select("cluster", "one", "two", "block", "id", "component", "band_keys", "text")
+    return store(chosen.groupBy("cluster", "one", "two").applyInArrow(test, f"a {kind}, b {kind}"), "near-links")
+
+
+def _tested(table: pa.Table, shingle: int, similarity: int) -> tuple[list, list]:
+    ids, named = table.column("id").to_pylist(), table.column("component").to_pylist()
+    blocks, first = table.column("block").to_numpy(), table.column("one")[0].as_py()
+    bands = np.array(table.column("band_keys").to_pylist(), dtype=np.int64)
+    texts = table.column("text").to_pylist()
+    sets = [shingle_keys(text, shingle) for text in texts]
+    sizes = np.array([len(s) for s in sets])
+    label = np.unique(np.array(named), return_inverse=True)[1]
+    left = np.flatnonzero(blocks == first)
+    right = left if table.column("two")[0].as_py() == first else np.flatnonzero(blocks != first)
+    alike = np.zeros((len(left), len(right)), dtype=np.int16)
+    for band in range(bands.shape[1]):
+        alike += bands[left, band][:, None] == bands[right, band][None, :]
+    small = np.minimum(sizes[left][:, None], sizes[right][None, :])
+    large = np.maximum(sizes[left][:, None], sizes[right][None, :])
+    alike[(label[left][:, None] == label[right][None, :]) | (100 * small < similarity * large)] = 0
+    rows, columns = np.nonzero(alike)
+    order = np.argsort(-alike[rows, columns], kind="stable")
+    root = list(range(int(label.max()) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found: tuple[list, list] = ([], [])
+    for i, j in zip(left[rows[order]].tolist(), right[columns[order]].tolist()):
+        a, b = find(int(label[i])), find(int(label[j]))
+        if a == b:
+            continue
+        one, two = sets[i], sets[j]
+        place = np.searchsorted(two, one)
+        place[place == len(two)] = 0
+        common = int(np.count_nonzero(two[place] == one))
+        if 100 * common < similarity * (len(one) + len(two) - common):
+            continue
+        ours, theirs = shingle_set(texts[i], shingle), shingle_set(texts[j], shingle)
+        common = len(ours & theirs)
+        if 100 * common >= similarity * len(ours | theirs):
+            root[max(a, b)] = min(a, b)
+            found[0].append(ids[i])
+            found[1].append(ids[j])
+    return found
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
