@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewharf.llm import language, minhash, mixing, packing, suffix_index
-from tablewharf.llm.common import store, table
+from tablewharf.llm.common import ship, store, table
 from tablewharf.llm.queries import tokenizer_path
 
 # A text whose best cosine is below this resembles no language that was learned.
@@ -15,6 +15,7 @@ LEAST_SCORE = 0.05
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose text resembles a language that the labels teach."""
+    ship(spark)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
     predicted = language.predict(rows, language.learn(docs))
     good = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)

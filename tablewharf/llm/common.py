@@ -1,65 +1,22 @@
-"""Helpers that several operators share: stored tables, ordered prefix sums, components."""
+"""Helpers that several operators share: components, input tables, the package on the workers."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import shutil
+import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewharf.sinks.workspace import new_folder
+from tablewharf.operators.ordering import store, with_prefix
+
+__all__ = ["WORD", "components", "ship", "store", "table", "with_prefix"]
 
 # Words of the contracts: everything between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def store(rows: DataFrame, purpose: str) -> DataFrame:
-    """Write rows to the shared folder and read them back, which cuts lineage and
-    survives lost executors."""
-    folder = new_folder(rows.sparkSession, purpose)
-    rows.write.parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
-
-
-def with_prefix(rows: DataFrame, order: Sequence[str | Column], measures: Sequence[str], purpose: str) -> DataFrame:
-    """Rows in a total order, numbered and with running totals.
-
-    Adds ``row_index`` (from 0) and, for every measure ``m`` (a whole number, not
-    null), ``before_m`` (the sum over all earlier rows) and ``total_m``. Rows are cut
-    into key ranges; the totals of the ranges, one row for each, give every range its
-    start, so no task holds more than one range. Rows that repeat in all order columns
-    are told apart by their place in the input, so even they spread over ranges.
-    """
-    tied = rows.withColumn("__tie", F.monotonically_increasing_id())
-    keys = [F.col(c) if isinstance(c, str) else c for c in order]
-    named = {f"__key{i}": key for i, key in enumerate(keys)}
-    tied = tied.withColumns(named) if named else tied
-    order_by = [*named, "__tie"]
-    placed = store(tied.repartitionByRange(*order_by).withColumn("__range", F.spark_partition_id()), purpose)
-    sums = [F.sum(m).alias(f"__sum_{m}") for m in measures]
-    ranges = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"), *sums)
-    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    starts = ranges.select(
-        "__range",
-        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__first"),
-        *[F.coalesce(F.sum(f"__sum_{m}").over(earlier), F.lit(0)).alias(f"__start_{m}") for m in measures],
-        *[F.sum(f"__sum_{m}").over(everything).alias(f"total_{m}") for m in measures],
-    )
-    inside = Window.partitionBy("__range").orderBy(*order_by)
-    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = placed.withColumns(
-        {"__place": F.row_number().over(inside)} | {f"__upto_{m}": F.sum(m).over(running) for m in measures}
-    )
-    joined = numbered.join(starts, "__range")
-    return joined.select(
-        *rows.columns,
-        (F.col("__first") + F.col("__place") - 1).cast("long").alias("row_index"),
-        *[(F.col(f"__start_{m}") + F.col(f"__upto_{m}") - F.col(m)).cast("long").alias(f"before_{m}") for m in measures],
-        *[F.col(f"total_{m}").cast("long") for m in measures],
-    )
-
-
 def components(edges: DataFrame, purpose: str) -> DataFrame:
     """Connected components of an edge list ``(a, b)``: ``(node, component)`` with the
     smallest reachable node, for every node of an edge.
@@ -92,5 +49,20 @@ def _are_stars(pairs: DataFrame) -> bool:
     return nodes.where("points > 1 or (points = 1 and least = 0)").isEmpty()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless their path has it already."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    application = spark.sparkContext.applicationId
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or application in _shipped:
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="package-"), "tablewharf")
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, "tablewharf"))
+    _shipped.add(application)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
