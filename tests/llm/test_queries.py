@@ -116,19 +116,22 @@ def test_op8(spark, small, rows):
     found = queries.op8_entropy_mix(spark, small).collect()
     size = {i: len(brute.WORDS.findall(t or "")) for i, t in rows("documents", "doc_id", "text")}
     assert {r.doc_id: r["size"] for r in found} == size
-    taken, target = Counter(), {}
+    taken, target, largest = Counter(), {}, Counter()
     for r in found:
         assert 0 <= r.taken <= 3 * r["size"]
         taken[r.source] += r.taken
         target[r.source] = r.target
+        largest[r.source] = max(largest[r.source], r["size"])
     assert sum(target.values()) == pytest.approx(sum(size.values()))
-    assert all(abs(taken[s] - target[s]) <= max(0.02 * target[s], 30) for s in target)
+    # Whole copies: a source of some ten documents misses by half of its largest one at most.
+    assert all(abs(taken[s] - target[s]) <= largest[s] / 2 for s in target)
+    assert sum(abs(taken[s] - target[s]) for s in target) <= 0.02 * sum(target.values())
 
 
 def test_op9(spark, small, rows):
     found = queries.op9_byte_shards(spark, small).collect()
     texts = dict(rows("documents", "doc_id", "text"))
-    assert Counter(r.doc_id for r in found) == Counter(texts)
+    assert Counter(r.doc_id for r in found) == Counter(list(texts))
     total, slots = Counter(), defaultdict(list)
     for r in found:
         data = (texts[r.doc_id] or "").encode()
