@@ -13,7 +13,6 @@ from tablewharf.llm.common import WORD, store, with_prefix
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 NEWTON_STEPS = 60
-REPAIRS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -33,7 +32,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MOST_COPIE
     ``min(cap, exp(lambda * x))``, one multiplier for each source. Newton steps on the convex
     dual, kept in brackets, find all multipliers at once; each step is one aggregate over
     the table of (source, size) counts. Rates become whole copies by rounding running
-    totals, largest documents first, and up to three single copies per source then mend what rounding left.
+    totals, largest documents first; what rounding left in words is then spread over documents that can hold it,
+    until it is less than the smallest that can still change.
 
     Returns ``doc_id, source, size, source_size, target, copies, taken`` for every row
     (``taken = copies * size``). Documents without words keep one copy and take nothing; null texts
@@ -111,7 +111,7 @@ def _multipliers(cells: DataFrame, sources: DataFrame, cap: int) -> DataFrame:
             F.when(gap < 0, F.col("lam")).otherwise(F.col("lo")).alias("lo"),
             F.when(gap > 0, F.col("lam")).otherwise(F.col("hi")).alias("hi"),
             "lam",
-            (F.col("lam") - gap / F.col("slope")).alias("step"),
+            (F.col("lam") - F.try_divide(gap, F.col("slope"))).alias("step"),
             near.alias("done"),
         )
         inside = (F.col("step") > F.col("lo")) & (F.col("step") < F.col("hi")) & ~F.isnan("step")
@@ -130,19 +130,78 @@ def _copies(cells: DataFrame, multipliers: DataFrame, sources: DataFrame, cap: i
     total = F.sum("due").over(upto)
     last = F.floor(total - F.col("due") + 0.5)
     whole = F.greatest(F.lit(0), F.least(F.floor(total + 0.5) - last, cap * F.col("n"))).cast("long")
-    cells = store(due.select("sid", "size", "n", whole.alias("copies")), "mix-copies")
-    for _ in range(REPAIRS):
-        got = cells.groupBy("sid").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
-        rest = sources.join(got, "sid").select("sid", (F.col("target") - F.col("got")).alias("rest"))
-        open_cells = cells.join(rest, "sid").where(
-            ((F.col("rest") > 0) & (F.col("copies") < cap * F.col("n"))) | ((F.col("rest") < 0) & (F.col("copies") > 0))
-        )
-        left = F.abs(F.abs("rest") - F.col("size"))
-        best = open_cells.where(left < F.abs("rest")).groupBy("sid").agg(
-            F.min(F.struct(left.alias("left"), "size", F.signum("rest").alias("sign"))).alias("best")
-        )
-        step = best.select("sid", F.col("best.size").alias("size"), F.col("best.sign").cast("long").alias("change"))
-        cells = cells.join(step, ["sid", "size"], "left").select(
-            "sid", "size", "n", (F.col("copies") + F.coalesce("change", F.lit(0))).alias("copies")
-        )
-    return store(cells, "mix-copies")
+    return _mended(store(due.select("sid", "size", "n", whole.alias("copies")), "mix-copies"), sources, cap)
+
+
+def _mended(cells: DataFrame, sources: DataFrame, cap: int) -> DataFrame:
+    """Copies added or taken away until what a source lacks is less than its smallest document that can still change.
+
+    Two turns in three spread the rest evenly over all documents that it can hold; the third fills
+    the largest of them first, which halves the rest at least, so the turns end. At last single
+    copies are exchanged for some of other sizes while that halves what a source still misses.
+    """
+    source = Window.partitionBy("sid")
+    order = source.orderBy(F.desc("size"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turn = 0
+    while True:
+        size, rest, room = F.col("size"), F.abs("rest"), F.col("room")
+        usable = _open(cells, sources, cap).where(size <= rest)
+        if turn % 3 < 2:
+            part = F.least(F.lit(1.0), rest / F.sum(room * size).over(source))
+            whole = usable.withColumn("part", part).withColumn("whole", F.floor(F.sum(room * F.col("part")).over(upto) + 1e-9))
+            more = F.least(room, F.col("whole") - F.coalesce(F.lag("whole").over(order), F.lit(0)))
+        else:
+            whole = usable.withColumn("before", F.sum(room * size).over(upto) - room * size)
+            more = F.greatest(F.lit(0), F.least(room, F.floor((rest - F.col("before")) / size)))
+        moves = whole.select("sid", "size", (more * F.signum("rest")).cast("long").alias("change"))
+        moves = store(moves.where("change <> 0"), "mix-moves")
+        if moves.isEmpty():
+            break
+        cells = _changed(cells, moves)
+        turn += 1
+    while True:
+        moves = store(_exchanges(cells, sources, cap), "mix-moves")
+        if moves.isEmpty():
+            return cells
+        cells = _changed(cells, moves)
+
+
+def _open(cells: DataFrame, sources: DataFrame, cap: int) -> DataFrame:
+    """Cells with the words that their source lacks (``rest``) and the copies (``room``) that they can still change by."""
+    got = cells.groupBy("sid").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
+    rest = sources.join(got, "sid").select("sid", (F.col("target") - F.col("got")).alias("rest"))
+    room = F.when(F.col("rest") > 0, cap * F.col("n") - F.col("copies")).otherwise(F.col("copies"))
+    return cells.join(rest, "sid").select("sid", "size", "rest", room.alias("room")).where("room > 0 and rest <> 0")
+
+
+def _exchanges(cells: DataFrame, sources: DataFrame, cap: int) -> DataFrame:
+    """For each source the copy to add, to take away, or to take away for another, that leaves least, if that is half of its rest at most.
+
+    A removed size and the rest name the size to add; sorted together, the nearest sizes stand beside it.
+    """
+    got = cells.groupBy("sid").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
+    rest = sources.join(got, "sid").select("sid", (F.col("target") - F.col("got")).alias("rest"))
+    size, none = F.col("size"), F.lit(None).cast("long")
+    nothing = rest.select("sid", F.lit(0).cast("long").alias("size"), F.lit(True).alias("less"), F.lit(True).alias("more"))
+    cells = cells.select("sid", "size", (F.col("copies") > 0).alias("less"), (F.col("copies") < cap * F.col("n")).alias("more"))
+    both = cells.union(nothing).join(rest, "sid")
+    added = both.where("more").select("sid", size.cast("double").alias("at"), none.alias("gone"), "size", "rest")
+    asked = both.where("less").select("sid", (size + F.col("rest")).alias("at"), size.alias("gone"), none.alias("size"), "rest")
+    order = Window.partitionBy("sid").orderBy("at")
+    below = F.last("size", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    above = F.first("size", ignorenulls=True).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    beside = added.union(asked).withColumn("pair", F.array(below, above)).where("gone is not null")
+    beside = beside.select("*", F.explode("pair").alias("new")).where("new is not null")
+    left = F.abs(F.col("at") - F.col("new"))
+    best = beside.where(left <= F.abs("rest") / 2).groupBy("sid").agg(F.min(F.struct(left.alias("left"), "gone", "new")).alias("best"))
+    change = F.array(
+        F.struct(F.col("best.gone").alias("size"), F.lit(-1).cast("long").alias("change")),
+        F.struct(F.col("best.new").alias("size"), F.lit(1).cast("long").alias("change")),
+    )
+    return best.where("best.gone <> best.new").select("sid", F.explode(change).alias("c")).select("sid", "c.*").where("size > 0")
+
+
+def _changed(cells: DataFrame, moves: DataFrame) -> DataFrame:
+    copies = F.col("copies") + F.coalesce("change", F.lit(0))
+    return store(cells.join(moves, ["sid", "size"], "left").select("sid", "size", "n", copies.alias("copies")), "mix-copies")

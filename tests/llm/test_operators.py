@@ -195,6 +195,21 @@ def test_mixing_comes_near_targets(spark):
     assert all(abs(taken[s] - target[s]) <= 0.01 * target[s] for s in target)
 
 
+def test_mixing_mends_a_long_document(spark):
+    """What rounding leaves of one long document is made up by many copies of short ones, evenly."""
+    docs = [(0, 100_000, "a"), *[(i, 300 + i % 7, "a") for i in range(1, 101)], (200, 31_000, "b"), (201, 31_000, "b")]
+    docs += [(300, 5000, "c"), *[(300 + i, 40, "c") for i in range(1, 20)], (400, 90_000, "d")]
+    frame = spark.createDataFrame([(i, "w " * n, s) for i, n, s in docs], "doc_id long, text string, source string")
+    found = mixing.mix(frame).collect()
+    taken, target = Counter(), {}
+    for r in found:
+        assert 0 <= r.copies <= 3
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    least = {"a": 300, "b": 31_000, "c": 40, "d": 90_000}
+    assert all(abs(taken[s] - target[s]) <= least[s] / 2 for s in target)
+
+
 def test_shards(odd, odd_rows, none):
     found = sharding.byte_shards(odd, shards=3).collect()
     sizes = Counter((r[0], len((r[1] or "").encode()) + 1) for r in odd_rows)
