@@ -22,10 +22,24 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return predicted.where(good).select("row.*")
 
 
+def numbered(docs: DataFrame, purpose: str) -> DataFrame:
+    """The rows as ``row``, each with a number ``row_id`` that is stored, since ids may be null or repeat."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return store(rows.withColumn("row_id", F.monotonically_increasing_id()), purpose)
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first document of each group of near duplicates (5 words, similarity 0.8)."""
-    removed = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(removed, "doc_id", "left_anti").select(docs.columns)
+    """Keep one row of each group of near duplicates (5 words, similarity 0.8): that of the first id, null last.
+
+    Rows are compared, not ids: of a repeated row and of copies whose id is null one stays, and
+    different texts under one id both stay.
+    """
+    rows = numbered(docs, "near-rows")
+    found = minhash.near_duplicates(rows.select(F.col("row_id").alias("doc_id"), F.col("row.text").alias("text")))
+    grouped = found.select(F.col("doc_id").alias("row_id"), "component_id").join(rows.select("row_id", "row.doc_id"), "row_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id")
+    first = grouped.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.row_id").alias("row_id"))
+    return rows.join(first, "row_id", "left_semi").select("row.*")
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -186,6 +186,21 @@ def test_pipeline(spark, small, tokenizer):
     check_packing(final, [(r.doc_id, r.text) for r in docs.collect()], tokenizer, 2048)
 
 
+def test_pipeline_keeps_one_row_of_each_text(spark, small):
+    """Repeated rows and copies with null ids leave one row, whose text the next stage keeps; other texts of an id stay."""
+    text = {k: " ".join(f"{k}{i}" for i in range(80)) for k in "abcd"}
+    rows = [(1, "a"), (1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, "c"), (2, "d"), (None, "c")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = store(spark.createDataFrame([(i, text[k], "en", "s", len(text[k])) for i, k in rows], schema), "pipeline-test")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = store(stages["minhash_near_dedup"](spark, docs, small), "pipeline-test")
+    expected = Counter([(1, text["a"]), (None, text["b"]), (2, text["c"]), (2, text["d"])])
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == expected
+    left = stages["suffix_array_dedup"](spark, kept, small).collect()
+    assert Counter((r.doc_id, r.text) for r in left) == expected
+
+
 def test_language_threshold_spares_short_texts(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     predicted = language.identify(docs, language.learn(docs)).where("lang_pred <> 'und'")
