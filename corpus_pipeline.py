@@ -52,14 +52,12 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or drop documents so that sources have their target sizes.
-
-    Rows that repeat an id share the smallest number of copies among them.
-    """
-    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("mixed_id")).agg(F.min("copies").cast("int").alias("mixed_copies"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    joined = rows.join(copies, F.col("row.doc_id").eqNullSafe(F.col("mixed_id")))
-    repeated = joined.where("mixed_copies > 0").select("row", F.explode(F.sequence(F.lit(1), "mixed_copies")))
+    """Repeat or drop documents so that sources have their target sizes; each row has its own number of copies."""
+    rows = numbered(docs, "mixed-rows")
+    texts = rows.select("row_id", "row.doc_id", "row.source", "row.text")
+    copies = mixing.mix(texts, row_id="row_id").select("row_id", F.col("copies").cast("int").alias("mixed_copies"))
+    joined = rows.join(copies.where("mixed_copies > 0"), "row_id")
+    repeated = joined.select("row", F.explode(F.sequence(F.lit(1), "mixed_copies")))
     return repeated.select("row.*")
 
 

@@ -20,7 +20,7 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD + "+")), F.lit(0)).cast("long")
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MOST_COPIES) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MOST_COPIES, row_id: str | None = None) -> DataFrame:
     """How often each document enters a mix in which sources have target sizes.
 
     Size is the number of words. Sources in code point order, null last, weigh
@@ -38,23 +38,24 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = MOST_COPIE
     Returns ``doc_id, source, size, source_size, target, copies, taken`` for every row
     (``taken = copies * size``). Documents without words keep one copy and take nothing; null texts
     have no words; a null source is a source; repeated rows count each; an empty table gives no
-    rows; other columns are ignored. Equal input gives equal results.
+    rows; other columns are ignored, except that of the name ``row_id``, which is returned first. Equal input gives equal results.
     """
-    sized = store(docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size")), "mix-sizes")
+    named = ["doc_id"] if row_id is None else [row_id, "doc_id"]
+    sized = store(docs.select(*named, F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size")), "mix-sizes")
     sources = store(_targets(sized, weights, cap), "mix-sources")
     same = sized["source"].eqNullSafe(sources["source"])
     rows = sized.join(sources.select("source", "sid", "source_size", "target"), same).drop(sources["source"])
     cells = store(rows.where("size > 0").groupBy("sid", "size").agg(F.count(F.lit(1)).alias("n")), "mix-cells")
     copies = _copies(cells, _multipliers(cells, sources, cap), sources, cap)
 
-    order = ["sid", "size", F.xxhash64("doc_id"), "doc_id"]
+    order = ["sid", "size", F.xxhash64("doc_id"), *reversed(named)]
     ranked = with_prefix(rows, order, [], "mix-ranks")
     first = ranked.groupBy("sid", "size").agg(F.min("row_index").alias("first_index"))
     plan = first.join(copies, ["sid", "size"], "left")
     extra = (F.col("row_index") - F.col("first_index") < F.col("copies") % F.col("n")).cast("long")
     each = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.expr("copies div n") + extra).cast("long")
     return ranked.join(plan, ["sid", "size"]).select(
-        "doc_id", "source", "size", "source_size", "target", each.alias("copies"), (each * F.col("size")).alias("taken")
+        *named, "source", "size", "source_size", "target", each.alias("copies"), (each * F.col("size")).alias("taken")
     )
 
 

@@ -201,6 +201,22 @@ def test_pipeline_keeps_one_row_of_each_text(spark, small):
     assert Counter((r.doc_id, r.text) for r in left) == expected
 
 
+def test_pipeline_mixes_row_by_row(spark, small):
+    """Null ids, and an id with several texts and sources, do not share the lowest number of copies."""
+    rng = np.random.default_rng(2)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "w " * int(rng.integers(5, 60)), "abc"[i // 100]) for i in range(300)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = store(spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], schema), "pipeline-test")
+    mixed = dict(corpus_pipeline.STAGES)["source_mixing"](spark, docs, small)
+    assert mixed.columns == docs.columns
+    words = Counter()
+    for r in mixed.collect():
+        words[r.source] += len(r.text.split())
+    total = sum(len(t.split()) for _, t, _ in rows)
+    assert sum(words.values()) == pytest.approx(total, rel=0.01)
+    assert words["a"] > words["b"] > words["c"] > 0
+
+
 def test_language_threshold_spares_short_texts(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     predicted = language.identify(docs, language.learn(docs)).where("lang_pred <> 'und'")
