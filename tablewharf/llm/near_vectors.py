@@ -20,7 +20,7 @@ SHARDS, SHARD_ROWS = 8, 32_768
 BLOCK_ROWS = 65_536
 # Links of a node, the beam to start with, and nodes that a beam opens at a time.
 DEGREE, BEAM, OPENED = 16, 32, 4
-# Share of true links that a sample of queries must find; beams widen until it does.
+# Share of sampled queries that must find all their true links, and how many with links to sample; beams widen until they do.
 RECALL, AUDITED = 0.98, 64
 CHUNK = 512
 
@@ -192,7 +192,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     Equal vectors are one class and enter once. Classes are dealt into shards, each with a
     graph that is built once and stored; every class queries every shard. Beams widen while they are
-    full of hits, and until a sample of queries finds the share ``RECALL`` of what brute force finds. Every
+    full of hits, and until the share ``RECALL`` of a sample of queries that have links finds all that brute force finds. Every
     link is verified in double precision, against all nodes of the shard that hang together with a
     query's hits. A task keeps counts and a spanning forest of its links, not the links of a dense group.
 
@@ -261,13 +261,13 @@ def _searched(graphs: DataFrame, asked: DataFrame, cosine: float) -> DataFrame:
     def search(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out: tuple[list, list, list] = ([], [], [])
         if left.num_rows and right.num_rows:
-            order = np.argsort(left.column("c").to_numpy())
-            left = left.take(pa.array(order))
+            left, right = (side.take(pa.array(np.argsort(side.column("c").to_numpy()))) for side in (left, right))
+            names = right.column("c").to_numpy()
             nodes, weights = left.column("c").to_numpy(), left.column("n").to_numpy()
             exact, queries = units(_matrix(left.column("v"))), units(_matrix(right.column("v")))
             world = _restored(exact.astype(np.float32), left.column("links").to_pylist())
-            names = right.column("c").to_numpy()
-            hits = _audited(world, queries, exact, cosine)
+            place = np.minimum(np.searchsorted(nodes, names), len(nodes) - 1)
+            hits = _audited(world, queries, exact, cosine, np.where(nodes[place] == names, place, -1))
             for group, near in _together(*hits, len(queries), len(nodes)):
                 counts = np.zeros(len(group), dtype=np.int64)
                 forest = _Forest(np.concatenate([names[group], nodes[near]]))
@@ -304,21 +304,66 @@ def _restored(points: np.ndarray, links: list[list[list[int]]]) -> SmallWorld:
     return SmallWorld(points, levels, layers)
 
 
-def _audited(world: SmallWorld, queries: np.ndarray, exact: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs; the beam widens until an even sample of queries finds enough."""
-    few = np.arange(0, len(queries), max(1, len(queries) // AUDITED))
-    true = queries[few] @ exact.T >= cosine
+def _audited(
+    world: SmallWorld, queries: np.ndarray, exact: np.ndarray, cosine: float, own: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs; ``own`` is each query's own node, or -1.
+
+    Queries are drawn until ``AUDITED`` with few true links other than themselves are known, or all are. The
+    beam widens until the share ``RECALL`` of these, and of those drawn with many links, hang together
+    with every one of their links. Links found in drawing are candidates too, so that where all queries
+    were drawn those with few links miss nothing; no audit without true links passes for found.
+    """
+    own = np.full(len(queries), -1) if own is None else own
+    order = np.random.default_rng(len(queries)).permutation(len(queries))
+    few, many, drawn = [np.empty((0, 2), dtype=np.int64)], [np.empty((0, 2), dtype=np.int64)], 0
+    known, crowded = 0, 0
+    while drawn < len(order) and known < AUDITED:
+        some = order[drawn : drawn + CHUNK]
+        drawn += len(some)
+        true = queries[some] @ exact.T >= cosine
+        inside = np.flatnonzero(own[some] >= 0)
+        true[inside, own[some][inside]] = False
+        counts = true.sum(axis=1)
+        for rows, pairs in ((np.flatnonzero((counts > 0) & (counts <= DEGREE)), few), (np.flatnonzero(counts > DEGREE)[: max(0, AUDITED - crowded)], many)):
+            row, node = np.nonzero(true[rows])
+            pairs.append(np.column_stack([some[rows][row], node]))
+        known += int(((counts > 0) & (counts <= DEGREE)).sum())
+        crowded += int((counts > DEGREE).sum())
+    few, many = np.concatenate(few), np.concatenate(many)
+    if drawn == len(order) and not len(many):
+        return few[:, 0], few[:, 1]
     near, width = queries.astype(np.float32), BEAM
+    sample = np.unique(np.concatenate([few[:, 0], many[:, 0]]))
     while True:
-        _, hits = world.within(near[few], cosine - 1e-4, width)
-        if len(hits) >= RECALL * true.sum() or width >= len(world.points):
+        row, node = world.within(near[sample], cosine - 1e-4, width)
+        label = _labels(sample[row], node, len(queries), len(exact))
+        if all(_complete(pairs, label, len(queries)) >= RECALL for pairs in (few, many)):
+            row, node = world.within(near, cosine - 1e-4, width)
+            break
+        if width >= len(exact):
+            row, node = _exhaustive(near, world.points, cosine - 1e-4)
             break
         width *= 2
-    return world.within(near, cosine - 1e-4, width)
+    return np.concatenate([row, few[:, 0]]), np.concatenate([node, few[:, 1]])
 
 
-def _together(query: np.ndarray, node: np.ndarray, queries: int, nodes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Queries and nodes that hang together by candidate pairs, group by group."""
+def _complete(true: np.ndarray, label: np.ndarray, queries: int) -> float:
+    """Share of the queries in true links that hang together with all of theirs."""
+    asked, place = np.unique(true[:, 0], return_inverse=True)
+    missed = np.bincount(place, weights=label[true[:, 0]] != label[true[:, 1] + queries], minlength=len(asked))
+    return float((missed == 0).mean()) if len(asked) else 1.0
+
+
+def _exhaustive(queries: np.ndarray, points: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs, for a graph whose widest beam does not reach enough."""
+    found = [np.nonzero(queries[low : low + CHUNK] @ points.T >= cosine) for low in range(0, len(queries), CHUNK)]
+    rows = np.concatenate([row + k * CHUNK for k, (row, _) in enumerate(found)])
+    return rows, np.concatenate([node for _, node in found])
+
+
+def _labels(query: np.ndarray, node: np.ndarray, queries: int, nodes: int) -> np.ndarray:
+    """The group of every query, then of every node, by candidate pairs."""
     label = np.arange(queries + nodes)
     a, b = query, node + queries
     while len(a):
@@ -329,6 +374,13 @@ def _together(query: np.ndarray, node: np.ndarray, queries: int, nodes: int) ->
         label = label[label]
         if (label == before).all():
             break
+    return label
+
+
+def _together(query: np.ndarray, node: np.ndarray, queries: int, nodes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Queries and nodes that hang together by candidate pairs, group by group."""
+    label = _labels(query, node, queries, nodes)
+    a, b = query, node + queries
     touched = np.unique(np.concatenate([a, b])) if len(a) else np.empty(0, dtype=np.int64)
     order = touched[np.argsort(label[touched], kind="stable")]
     edges = np.flatnonzero(np.diff(label[order])) + 1

@@ -301,6 +301,31 @@ def test_near_vectors(spark):
     assert near_vectors.near_vectors(spark.createDataFrame([], VECTORS)).isEmpty()
 
 
+@pytest.mark.parametrize("dense", [0, 1000])
+@pytest.mark.parametrize("blind", [256, 1 << 30])
+def test_audit_judges_each_query(dense, blind):
+    """Narrow beams that see a dense group, but no isolated pair, do not pass."""
+    rng = np.random.default_rng(8)
+    points = near_vectors.units(rng.normal(size=(3000, 32)))
+    points[:dense] = near_vectors.units(points[0] + rng.normal(scale=0.01, size=(dense, 32)))
+    queries = near_vectors.units(rng.normal(size=(3000, 32)))
+    queries[:dense] = points[:dense][::-1]
+    pairs = np.arange(2001, 3000, 58)
+    queries[pairs] = near_vectors.units(points[pairs - 500] + rng.normal(scale=0.01, size=(len(pairs), 32)))
+
+    class Blind:
+        def __init__(self):
+            self.points = points.astype(np.float32)
+
+        def within(self, asked, cosine, width):
+            row, node = np.nonzero(asked @ self.points.T >= cosine)
+            seen = (node < dense) | (width >= blind)
+            return row[seen], node[seen]
+
+    found = set(zip(*(x.tolist() for x in near_vectors._audited(Blind(), queries, points, 0.95))))
+    assert {(i, i - 500) for i in pairs.tolist()} <= found
+
+
 PAGES = "page_id long, url string, html string, text string, n_chars int"
 
 
