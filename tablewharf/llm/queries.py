@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewharf.llm import html_text, language, minhash, mixing, near_vectors, packing, sharding, suffix_index, token_count, vector_search
+from tablewharf.llm import hard_negatives, html_text, language, minhash, mixing, near_vectors, packing, resampling, sharding, suffix_index, token_count, twins, vector_search, warc
 from tablewharf.llm.common import table
+from tablewharf.sinks.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,5 +70,43 @@ def op10_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_token_counts, op2_language, op3_kd_trees, op4_main_text, op5_small_worlds, op6_superminhash, op7_packing, op8_entropy_mix, op9_byte_shards, op10_suffix_levels)}
-SQL: dict[str, str] = {}
+def op11_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    found = warc.read_archives(spark, folder, with_payload=False)
+    page_id, refers_to = F.col("record_id").cast("long").alias("page_id"), F.col("refers_to").cast("long").alias("refers_to")
+    return found.select(page_id, "payload_bytes", "payload_digest", "record_type", refers_to)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+_ALL = (
+    op1_token_counts,
+    op2_language,
+    op3_kd_trees,
+    op4_main_text,
+    op5_small_worlds,
+    op6_superminhash,
+    op7_packing,
+    op8_entropy_mix,
+    op9_byte_shards,
+    op10_suffix_levels,
+    op11_dictionary_warc,
+    op12_importance_resampling,
+    op13_hard_negatives,
+)
+QUERIES: dict[str, Query] = {query.__name__: query for query in _ALL}
+SQL: dict[str, str] = {
+    "op3_kd_trees": twins.OP3,
+    "op11_dictionary_warc": twins.OP11,
+    "op12_importance_resampling": twins.OP12,
+    "op13_hard_negatives": twins.OP13,
+}

@@ -11,7 +11,7 @@ import brute
 import duckdb
 import numpy as np
 import pytest
-from test_operators import check_packing
+from test_llm_operators import check_packing
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -35,7 +35,7 @@ def rows(small):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_op1(spark, small, rows, tokenizer):
