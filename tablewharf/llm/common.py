@@ -5,13 +5,15 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewharf.operators.ordering import store, with_prefix
 
-__all__ = ["WORD", "components", "ship", "store", "table", "with_prefix"]
+__all__ = ["WORD", "components", "only_one", "ship", "store", "table", "with_prefix"]
 
 # Words of the contracts: everything between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,6 +51,18 @@ def _are_stars(pairs: DataFrame) -> bool:
     return nodes.where("points > 1 or (points = 1 and least = 0)").isEmpty()
 
 
+_kept: dict[tuple, Any] = {}
+
+
+def only_one(name: tuple, make: Callable[[], Any]) -> Any:
+    """A large object that a worker process keeps between tasks. Workers are used again by later
+    stages, so asking for another object lets the former go."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
 _shipped: set[str] = set()
 
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablewharf.llm.common import only_one
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -18,6 +21,8 @@ TRAINING_ROWS = 20_000
 UNIT = 1 << 14
 # Code points of a long text that are turned into n-grams at a time.
 WINDOW = 1 << 20
+# Rows of a batch that are turned into Python texts at a time.
+BATCH_ROWS = 500
 UNKNOWN = "und"
 SEED = 20_240_601
 
@@ -32,13 +37,14 @@ class Grams:
     """Vectors of n-grams: each letter's random vector of signs, rotated by its place and multiplied."""
 
     KEPT = 40_000
+    AT_ONCE = 4_096
 
     def __init__(self, dimensions: int) -> None:
         self.dimensions = dimensions
         self.signs: dict[int, np.ndarray] = {}
         self.codes = np.empty(0, dtype=np.int64)
         self.places = np.empty(0, dtype=np.int64)
-        self.vectors = np.empty((0, dimensions), dtype=np.float32)
+        self.vectors = np.empty((0, dimensions), dtype=np.int8)
 
     def letter(self, point: int) -> np.ndarray:
         found = self.signs.get(point)
@@ -46,11 +52,11 @@ class Grams:
             if len(self.signs) >= 8192:
                 self.signs.clear()
             bits = np.random.default_rng([SEED, point]).integers(0, 2, self.dimensions)
-            found = self.signs[point] = (2 * bits - 1).astype(np.float32)
+            found = self.signs[point] = (2 * bits - 1).astype(np.int8)
         return found
 
     def build(self, codes: np.ndarray) -> np.ndarray:
-        rows = np.empty((len(codes), self.dimensions), dtype=np.float32)
+        rows = np.empty((len(codes), self.dimensions), dtype=np.int8)
         for row, code in zip(rows, codes.tolist()):
             row[:] = self.letter(code & 0x1FFFFF)
             for place in range(1, GRAM):
@@ -79,7 +85,7 @@ class Grams:
         needed = int(fresh[-1]) + 1
         vectors = self.vectors
         if needed > len(vectors):
-            vectors = np.empty((min(self.KEPT, max(needed, 2 * len(vectors), 1024)), self.dimensions), dtype=np.float32)
+            vectors = np.empty((min(self.KEPT, max(needed, 2 * len(vectors), 1024)), self.dimensions), dtype=np.int8)
             vectors[: fresh[0]] = self.vectors[: fresh[0]]
         vectors[fresh] = rows
         return vectors
@@ -92,10 +98,10 @@ class Grams:
             part = points[max(0, start - GRAM + 1) : start + WINDOW]
             codes, counts = gram_codes(part)
             found = found or bool(letters()[part].any())
-            for low in range(0, len(codes), self.KEPT // 4):
-                some = slice(low, low + self.KEPT // 4)
+            for low in range(0, len(codes), self.AT_ONCE):
+                some = slice(low, low + self.AT_ONCE)
                 places = self.find(codes[some])
-                total += counts[some].astype(np.float32) @ self.vectors[places]
+                total += counts[some].astype(np.float32) @ self.vectors[places].astype(np.float32)
         return total if found else None
 
 
@@ -113,9 +119,8 @@ def gram_codes(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(codes, return_counts=True)
 
 
-@functools.lru_cache(maxsize=2)
 def grams(dimensions: int) -> Grams:
-    return Grams(dimensions)
+    return only_one(("grams", dimensions), lambda: Grams(dimensions))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -169,8 +174,13 @@ def identify(docs: DataFrame, prototypes: list[tuple[str, np.ndarray]], dimensio
     return predict(kept, prototypes, dimensions).drop("text")
 
 
-def predict(rows: DataFrame, prototypes: list[tuple[str, np.ndarray]], dimensions: int = DIMENSIONS) -> DataFrame:
-    """Append ``lang_pred, score`` to rows that have a column ``text``.
+def predict(
+    rows: DataFrame,
+    prototypes: list[tuple[str, np.ndarray]],
+    dimensions: int = DIMENSIONS,
+    text: Callable[[pa.RecordBatch], pa.Array] = lambda batch: batch.column("text"),
+) -> DataFrame:
+    """Append ``lang_pred, score`` to rows; ``text`` finds the texts in a batch of them.
 
     The language is the prototype of greatest cosine with the bundle of the whole
     text's n-grams; the score is that cosine, 0 where negative. Without letters, with a null
@@ -179,26 +189,27 @@ def predict(rows: DataFrame, prototypes: list[tuple[str, np.ndarray]], dimension
     """
     names = [lang for lang, _ in prototypes]
     matrix = np.array([v for _, v in prototypes]).reshape(len(names), dimensions)
-    place = rows.columns.index("text")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, scores = [], []
-            for text in batch.column(place).to_pylist():
-                vector = grams(dimensions).document(text) if text and names else None
-                if vector is None:
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                cosines = np.round(matrix @ vector / max(np.linalg.norm(vector), 1e-12), 9)
-                best = int(np.argmax(cosines))
-                langs.append(names[best])
-                scores.append(float(min(1.0, max(0.0, cosines[best]))))
-            arrays = [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "lang_pred", "score"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(predict, f"{fields}, lang_pred string, score double")
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                langs, scores = [], []
+                for body in text(batch).to_pylist():
+                    vector = grams(dimensions).document(body) if body and names else None
+                    if vector is None:
+                        langs.append(UNKNOWN)
+                        scores.append(0.0)
+                        continue
+                    cosines = np.round(matrix @ vector / max(np.linalg.norm(vector), 1e-12), 9)
+                    best = int(np.argmax(cosines))
+                    langs.append(names[best])
+                    scores.append(float(min(1.0, max(0.0, cosines[best]))))
+                arrays = [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "lang_pred", "score"])
+
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    return rows.mapInArrow(predict, T.StructType([*rows.schema.fields, *added]))
 
 
 def language_of_documents(docs: DataFrame) -> DataFrame:

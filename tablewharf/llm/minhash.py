@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -70,7 +71,7 @@ def _word_keys(data: bytes) -> np.ndarray:
         edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
         starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         if len(starts):
-            found.append(_poly_keys(part, starts, ends))
+            found.append(_place_keys(part, starts, ends))
         at = end
     return np.concatenate(found) if found else np.empty(0, dtype=np.uint64)
 
@@ -80,20 +81,18 @@ def _next_gap(data: bytes, at: int) -> int:
     return found.start() if found else len(data)
 
 
-_POWERS: list[np.ndarray] = []
+def _place_keys(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Keys of byte ranges: sums of the scrambled pairs of place and byte, with the length."""
+    sizes = ends - starts
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+    pairs = mixed((place + 1).astype(np.uint64) * BASE + part[place + np.repeat(starts, sizes)])
+    return mixed(np.add.reduceat(pairs, first) + sizes.astype(np.uint64))
 
 
-def _poly_keys(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Keys of byte ranges: polynomials modulo 2**64, told apart by length and scrambled."""
-    if not _POWERS or len(_POWERS[0]) <= len(part):
-        size = max(len(part), WINDOW) + 1
-        ups, downs = np.full(size, BASE), np.full(size, np.uint64(pow(int(BASE), -1, 1 << 64)))
-        ups[0] = downs[0] = 1
-        _POWERS[:] = [np.multiply.accumulate(ups), np.multiply.accumulate(downs)]
-    ups, downs = _POWERS
-    sums = np.zeros(len(part) + 1, dtype=np.uint64)
-    np.cumsum((part.astype(np.uint64) + np.uint64(1)) * ups[: len(part)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * downs[starts] + (ends - starts).astype(np.uint64))
+def same_words(text: str | None) -> str:
+    """A cryptographic digest of the words of a text in order."""
+    return hashlib.blake2b(b" ".join((text or "").encode().lower().split()), digest_size=20).hexdigest()
 
 
 def signatures(sets: list[np.ndarray], registers: int) -> np.ndarray:
@@ -138,7 +137,7 @@ def signatures(sets: list[np.ndarray], registers: int) -> np.ndarray:
 def sketch(docs: DataFrame, shingle: int, bands: int, width: int) -> DataFrame:
     """``row, doc_id, n_shingles, class_key, band_keys`` for each document.
 
-    ``class_key`` names the shingle set: two independent sums of all its keys.
+    ``class_key`` is the digest of the words in order, so a class holds equal sets.
     ``band_keys`` holds one key per band, none for a set without shingles.
     """
     registers = bands * width
@@ -157,10 +156,7 @@ def sketch(docs: DataFrame, shingle: int, bands: int, width: int) -> DataFrame:
                     keys = mixed(keys * BASE + found[:, :, place])
                 for i, row in zip(group, keys.view(np.int64)):
                     bits[i] = row.tolist()
-            names = [
-                f"{len(s)}:{int(mixed(s).sum(dtype=np.uint64)):016x}{int(mixed(s ^ SECOND).sum(dtype=np.uint64)):016x}"
-                for s in sets
-            ]
+            names = [same_words(text) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -199,7 +195,7 @@ def near_duplicates(
     their sets share at least ``similarity`` percent of their union. Candidates share the key of a band of
     SuperMinHash registers; every link is confirmed on the full sets.
 
-    Documents with equal sets are one class and enter once. In a bucket, all members are
+    Documents with the same words in the same order are one class and enter once. In a bucket, all members are
     compared with one centre first, which costs the bucket's size. Buckets that then still hold several
     components are finished in blocks: documents that hang together by such buckets are cut into blocks of
     ``BLOCK``, every two blocks meet in a task, and every two members of a bucket that are in different components and whose

@@ -1,8 +1,9 @@
 """Byte-level BPE over whole texts, counted by distinct pre-token.
 
 A byte-level BPE model cuts a text into pre-tokens and merges inside each of them. Here a
-batch of texts is cut with array operations on code points, pre-tokens are told apart by
-64-bit keys, and every distinct pre-token is encoded once. The library remains the authority: it
+batch of texts is cut with array operations on code points, pre-tokens are looked up by
+64-bit keys, and every distinct pre-token is encoded once. A key only finds: the code points of each pre-token
+are compared with those of the one it found, and where they differ it is encoded by itself. The library remains the authority: it
 encodes all pre-tokens that are not proven whole tokens, and it takes over a text entirely if the text holds
 a special string or a code point that Unicode tables of different versions class differently.
 """
@@ -16,15 +17,19 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from tablewharf.llm.common import only_one
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Code points cut at a time; a longer text is cut in windows of this size.
 WINDOW = 1 << 20
 # Merged pre-tokens that a worker remembers; beyond it, the memory starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 800_000
 
 SPACE, LETTER, NUMBER, OTHER, UNSURE = range(5)
 BASE = np.uint64(0x9E3779B97F4A7C15)
+FIRST = np.uint64(0xBF58476D1CE4E5B9)
+SECOND = np.uint64(0x94D049BB133111EB)
 
 # The contractions that the pre-tokenizer splits off, without the apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -56,15 +61,6 @@ def byte_signs() -> dict[int, str]:
     return {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-@functools.cache
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-    ups = np.full(2 * WINDOW + 2, BASE, dtype=np.uint64)
-    downs = np.full(2 * WINDOW + 2, inverse, dtype=np.uint64)
-    ups[0] = downs[0] = 1
-    return np.multiply.accumulate(ups), np.multiply.accumulate(downs)
-
-
 def token_starts(points: np.ndarray, kinds: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     """Where pre-tokens start in texts that stand one after the other.
 
@@ -106,6 +102,12 @@ def token_starts(points: np.ndarray, kinds: np.ndarray, text_starts: np.ndarray)
     return np.flatnonzero(starts)
 
 
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(30))) * FIRST
+    values = (values ^ (values >> np.uint64(27))) * SECOND
+    return values ^ (values >> np.uint64(31))
+
+
 class PreTokens:
     """Encodes batches of texts with a tokenizer file; keeps what it has merged."""
 
@@ -125,61 +127,74 @@ class PreTokens:
         return [(text, i) for (i, text), found in zip(known, alone) if found.ids == [i]]
 
     def _restart(self) -> None:
+        """Know the proven whole tokens only. Entry number ``e`` has ``counts[e]`` ids from ``first[e]`` and ``sizes[e]``
+        code points from ``at[e]``; ``keys`` in order name ``entries``."""
+        none = np.empty(0, dtype=np.int64)
+        self.counts, self.first, self.sizes, self.at = none, none, none, none
+        self.ids, self.points = np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.uint32)
+        self.keys, self.entries = np.empty(0, dtype=np.uint64), none
         texts = [text for text, _ in self.proven]
-        keys = self._keys_of(texts)
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.counts = np.ones(len(keys), dtype=np.int64)
-        self.first = np.arange(len(keys), dtype=np.int64)
-        self.ids = np.array([i for _, i in self.proven], dtype=np.uint32)[order]
-
-    def _keys_of(self, texts: list[str]) -> np.ndarray:
-        points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
-        ends = np.cumsum([len(t) for t in texts])
-        return self._keys(points, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends)
+        numbers = self._enter(texts, [[i] for _, i in self.proven])
+        keys, first = np.unique(self._keys(self.points, self.at, self.at + self.sizes), return_index=True)
+        self.keys, self.entries = keys, numbers[first]
 
     @staticmethod
     def _keys(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        ups, downs = _powers()
-        if len(points) >= len(ups):
-            raise ValueError("window too long")
-        sums = np.zeros(len(points) + 1, dtype=np.uint64)
-        np.cumsum((points.astype(np.uint64) + np.uint64(1)) * ups[: len(points)], out=sums[1:])
-        key = (sums[ends] - sums[starts]) * downs[starts]
-        key ^= key >> np.uint64(32)
-        return (key + (ends - starts).astype(np.uint64)) * BASE
-
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        """Merge pre-tokens that are not known yet; their keys come in order."""
-        table, merge = byte_signs(), self.tokenizer.model.tokenize
-        encoded = [[t.id for t in merge(text.encode().decode("latin-1").translate(table))] for text in texts]
+        """Keys of pre-tokens that adjoin: sums of the scrambled pairs of place and code point."""
+        place = np.arange(1, len(points) + 1) - np.repeat(starts, ends - starts)
+        pairs = _mixed(place.astype(np.uint64) * BASE + points)
+        return _mixed(np.add.reduceat(pairs, starts) + (ends - starts).astype(np.uint64))
+
+    def _enter(self, texts: list[str], encoded: list[list[int]]) -> np.ndarray:
+        """Append entries; their numbers."""
         counts = np.array([len(e) for e in encoded], dtype=np.int64)
-        first = len(self.ids) + np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        number = len(self.counts) + np.arange(len(texts))
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(counts) - counts])
+        self.at = np.concatenate([self.at, len(self.points) + np.cumsum(sizes) - sizes])
+        self.counts, self.sizes = np.concatenate([self.counts, counts]), np.concatenate([self.sizes, sizes])
         self.ids = np.concatenate([self.ids, np.array([i for e in encoded for i in e], dtype=np.uint32)])
-        place = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, place, keys)
-        self.counts = np.insert(self.counts, place, counts)
-        self.first = np.insert(self.first, place, first)
+        self.points = np.concatenate([self.points, np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)])
+        return number
+
+    def _merged(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Entries for pre-tokens that the model merges now."""
+        table, merge = byte_signs(), self.tokenizer.model.tokenize
+        texts = [points[a:b].tobytes().decode("utf-32-le") for a, b in zip(starts, ends)]
+        return self._enter(texts, [[t.id for t in merge(text.encode().decode("latin-1").translate(table))] for text in texts])
 
     def _find(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The place of every pre-token among the known ones."""
+        """The entry of every pre-token; pre-tokens adjoin and fill ``points``."""
         keys = self._keys(points, starts, ends)
         distinct, sample, inverse = np.unique(keys, return_index=True, return_inverse=True)
 
         def known() -> np.ndarray:
-            place = np.searchsorted(self.keys, distinct)
-            return np.where(self.keys[np.minimum(place, len(self.keys) - 1)] == distinct, place, -1)
+            place = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
+            return np.where(self.keys[place] == distinct, self.entries[place], -1)
 
-        place = known()
-        if (place < 0).any() and len(self.keys) + len(distinct) > REMEMBERED + len(self.proven):
+        found = known()
+        if (found < 0).any() and len(self.counts) + len(distinct) > REMEMBERED + len(self.proven):
             self._restart()
-            place = known()
-        new = np.flatnonzero(place < 0)
+            found = known()
+        new = np.flatnonzero(found < 0)
         if len(new):
-            texts = [points[starts[s] : ends[s]].tobytes().decode("utf-32-le") for s in sample[new]]
-            self._learn(distinct[new], texts)
-            place = known()
-        return place[inverse]
+            found[new] = self._merged(points, starts[sample[new]], ends[sample[new]])
+            place = np.searchsorted(self.keys, distinct[new])
+            self.keys, self.entries = np.insert(self.keys, place, distinct[new]), np.insert(self.entries, place, found[new])
+        entries = found[inverse]
+        wrong = np.flatnonzero(self._differs(entries, points, starts, ends - starts))
+        if len(wrong):
+            entries[wrong] = self._merged(points, starts[wrong], ends[wrong])
+        return entries
+
+    def _differs(self, entries: np.ndarray, points: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether the code points of a pre-token are not those of its entry."""
+        wrong = self.sizes[entries] != sizes
+        there = np.repeat(self.at[entries] - starts, sizes) + np.arange(len(points))
+        if wrong.any():
+            there = np.minimum(there, len(self.points) - 1)
+        other = self.points[there] != points
+        return wrong | np.logical_or.reduceat(other, starts) if other.any() else wrong
 
     def encode(self, texts: list[str], want_ids: bool) -> Iterator[tuple[int, int, np.ndarray | None]]:
         """``(index of the text, tokens, ids)`` for parts of texts in order; long texts come in several parts."""
@@ -247,7 +262,6 @@ class PreTokens:
             at, width = at + len(part), WINDOW
 
 
-@functools.lru_cache(maxsize=2)
 def pre_tokens(path: str) -> PreTokens:
     """One encoder for each worker process and file."""
-    return PreTokens(path)
+    return only_one(("pre-tokens", path), lambda: PreTokens(path))

@@ -4,20 +4,25 @@ A suffix array over every byte would take eight bytes for each byte of text and
 arrays here hold a sample that cannot miss a long match: every string of ``LENGTH`` bytes has one
 anchor, the place of its smallest key of ``GRAM`` bytes, and equal strings have equal anchors. All
 strings with the same anchor form one covered piece of text. An array holds, in order, for each anchor the key
-of its first ``GRAM`` bytes and the key of its piece: about one entry for 85 bytes.
+of its first ``GRAM`` bytes and the digest of its piece: about one entry for 85 bytes. Keys of anchors only
+bring pieces together. What decides that bytes are equal is a cryptographic digest under a secret of the
+run, or the bytes themselves.
 """
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewharf.llm.common import store
-from tablewharf.llm.minhash import BASE, SECOND, mixed
+from tablewharf.llm.minhash import BASE, mixed
 
 LENGTH = 200
 GRAM = 32
@@ -42,8 +47,13 @@ def _sums(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, _POWERS[1]
 
 
-def pieces(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """``(first start, last start, anchor key, piece key)`` of the strings of ``length``
+def digest(data: bytes, secret: bytes) -> int:
+    """64 bits of a keyed cryptographic digest: without the secret nobody can make two texts agree."""
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8, key=secret).digest(), "little", signed=True)
+
+
+def pieces(data: bytes, length: int = LENGTH, gram: int = GRAM, secret: bytes = b"") -> tuple[np.ndarray, ...]:
+    """``(first start, last start, anchor key, piece digest)`` of the strings of ``length``
     bytes, by anchor; a piece runs from its first start to ``length`` bytes after its last."""
     found = []
     width = length - gram + 1
@@ -57,12 +67,11 @@ def pieces(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndar
         anchors = (_sliding_min(marked, width)[:starts] & np.uint64(0xFFFFFF)).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
         last = np.append(first[1:], starts) - 1
-        whole = mixed((sums[last + length] - sums[first]) * downs[first])
-        shape = ((anchors[first] - first) * 4096 + last - first).astype(np.uint64)
-        found.append((first + at, last + at, keys[anchors[first]], mixed(whole + shape * SECOND)))
+        whole = [digest(data[a:b], secret) for a, b in zip((first + at).tolist(), (last + at + length).tolist())]
+        found.append((first + at, last + at, keys[anchors[first]].view(np.int64), np.array(whole, dtype=np.int64)))
     if not found:
         none = np.empty(0, dtype=np.int64)
-        return none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, none
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -78,7 +87,7 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def suffix_array(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def suffix_array(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, secret: bytes = b"") -> DataFrame:
     """The sampled suffix array of documents ``(id, data)``: ``anchor, piece, id`` and ``n``,
     how often the document has the piece."""
 
@@ -87,7 +96,7 @@ def suffix_array(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
             rows, anchors, wholes, counts = [], [], [], []
             for row, data in enumerate(batch.column(1).to_pylist()):
                 if len(data) >= length:
-                    _, _, anchor, whole = pieces(data, length, gram)
+                    _, _, anchor, whole = pieces(data, length, gram, secret)
                     whole, first, n = np.unique(whole, return_index=True, return_counts=True)
                     anchors.append(anchor[first])
                     wholes.append(whole)
@@ -96,8 +105,8 @@ def suffix_array(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate(anchors).view(np.int64)),
-                        pa.array(np.concatenate(wholes).view(np.int64)),
+                        pa.array(np.concatenate(anchors)),
+                        pa.array(np.concatenate(wholes)),
                         batch.column(0).take(pa.array(np.concatenate(rows))),
                         pa.array(np.concatenate(counts), pa.int64()),
                     ],
@@ -172,20 +181,22 @@ def repeated_passages(
 
     Batches of documents enter the index one after the other. Pieces that occur twice repeat as a
     whole. Where one anchor stands in different pieces, their strings are compared byte by byte in a
-    suffix array of the pieces around that anchor; where very many pieces share an anchor, by the keys
+    suffix array of the pieces around that anchor; where very many pieces share an anchor, by the digests
     of their strings, which spread over all tasks. With ``whole_characters``, spans shrink to whole characters,
     so that the kept bytes are a text again.
 
-    Null texts are empty; texts shorter than ``length`` keep everything; longer ones are read whole, in
-    windows. Null ids and repeated ids are ordinary rows. An empty table gives no rows.
+    Rows go by a hash of id and text, so neither null ids nor repeated ones gather; what two rows with one hash share are lists of
+    pieces, which are told by their bytes. Null texts are empty; texts shorter than ``length`` keep everything; longer
+    ones are read whole, in windows. Null ids and repeated ids are ordinary rows. An empty table gives no rows.
     """
-    key = F.col(id_column).alias("id")
+    key = F.xxhash64(id_column, F.col("text").cast("string")).alias("id")
     data = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("data")
     texts = docs.select(key, data)
+    secret = secrets.token_bytes(32)
     index = SuffixIndex()
     for number in range(batches):
-        share = F.pmod(F.xxhash64(id_column), F.lit(batches)) == number
-        index.add(suffix_array(docs.where(share).select(key, data), length, gram))
+        share = texts.where(F.pmod("id", F.lit(batches)) == number)
+        index.add(suffix_array(share, length, gram, secret))
 
     matched = store(index.matched(), "suffix-matched")
     classes = matched.groupBy("anchor", "piece").agg(F.sum("n").alias("n"), F.min("id").alias("holder"))
@@ -198,7 +209,8 @@ def repeated_passages(
     crowded = (F.col("pieces") > CROWD).alias("crowded")
     asked = judged.where("pieces > 1").select(F.col("holder").alias("id"), F.struct("piece", crowded).alias("ask"))
     asked = asked.groupBy("id").agg(F.collect_list("ask").alias("asks"))
-    cut = store(_cut(_joined(texts, asked, "inner"), length, gram), "suffix-pieces")
+    holders = _joined(texts.withColumn("check", F.xxhash64(F.lit(1), "data")), asked, "inner").dropDuplicates(["id", "check"])
+    cut = store(_cut(holders, length, gram, secret), "suffix-pieces")
     calm = cut.where("data is not null").repartition("anchor").sortWithinPartitions("anchor")
     part = _compared(calm, length)
     strings = cut.where("data is null")
@@ -209,23 +221,22 @@ def repeated_passages(
     parts = F.collect_list(F.when(F.col("last") >= 0, F.struct("piece", "first", "last"))).alias("parts")
     found = found.groupBy("id").agg(entire, parts)
     rows = docs.select(key, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), data)
-    return _removed(_joined(rows, found, "left"), length, gram, whole_characters)
+    return _removed(_joined(rows, found, "left"), length, gram, whole_characters, secret)
 
 
 def _joined(rows: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     named = lists.withColumnRenamed("id", "list_id")
-    return rows.join(named, F.col("id").eqNullSafe(F.col("list_id")), how).drop("list_id")
+    return rows.join(named, F.col("id") == F.col("list_id"), how).drop("list_id")
 
 
-def _cut(asked: DataFrame, length: int, gram: int) -> DataFrame:
+def _cut(asked: DataFrame, length: int, gram: int, secret: bytes) -> DataFrame:
     """The bytes of the asked pieces, by anchor; of crowded ones, the key of every string."""
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
             for row, (data, asks) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                first, last, anchor, piece = pieces(data, length, gram)
-                piece, anchor = piece.view(np.int64), anchor.view(np.int64)
+                first, last, anchor, piece = pieces(data, length, gram, secret)
                 calm = {a["piece"] for a in asks if not a["crowded"]}
                 crowded = {a["piece"] for a in asks if a["crowded"]}
                 for k in range(len(piece)):
@@ -235,7 +246,7 @@ def _cut(asked: DataFrame, length: int, gram: int) -> DataFrame:
                         _append(out, row, int(anchor[k]), name, 0, data[first[k] : last[k] + length])
                     elif name in crowded:
                         crowded.discard(name)
-                        for start, string in enumerate(_string_keys(data[first[k] : last[k] + length], length)):
+                        for start, string in enumerate(_string_digests(data[first[k] : last[k] + length], length, secret)):
                             _append(out, row, string, name, start, None)
             rows, anchors, names, starts, texts = out
             yield pa.RecordBatch.from_arrays(
@@ -259,11 +270,8 @@ def _append(out: tuple[list, ...], *values: object) -> None:
         column.append(value)
 
 
-def _string_keys(data: bytes, length: int) -> list[int]:
-    part = np.frombuffer(data, dtype=np.uint8)
-    sums, downs = _sums(part)
-    n = len(part) - length + 1
-    return mixed((sums[length:] - sums[:n]) * downs[:n]).view(np.int64).tolist()
+def _string_digests(data: bytes, length: int, secret: bytes) -> list[int]:
+    return [digest(data[at : at + length], secret) for at in range(len(data) - length + 1)]
 
 
 def _compared(calm: DataFrame, length: int) -> DataFrame:
@@ -331,7 +339,7 @@ def _repeats(batches: list[pa.RecordBatch], length: int) -> pa.RecordBatch:
     )
 
 
-def _removed(rows: DataFrame, length: int, gram: int, whole_characters: bool) -> DataFrame:
+def _removed(rows: DataFrame, length: int, gram: int, whole_characters: bool, secret: bytes) -> DataFrame:
     """Turn what was found into removed spans and kept bytes."""
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +349,7 @@ def _removed(rows: DataFrame, length: int, gram: int, whole_characters: bool) ->
             for place, data in enumerate(batch.column(1).to_pylist()):
                 names = entire[place].values
                 names = names.to_numpy() if names is not None else np.empty(0, dtype=np.int64)
-                runs = _covered(data, names, parts[place] or [], length, gram)
+                runs = _covered(data, names, parts[place] or [], length, gram, secret)
                 if whole_characters:
                     runs = [run for run in (_shrunk(data, *run) for run in runs) if run[0] < run[1]]
                 sizes.append(len(data))
@@ -361,10 +369,9 @@ def _removed(rows: DataFrame, length: int, gram: int, whole_characters: bool) ->
                 names=["row", "n_bytes", "n_removed", "spans", "kept"],
             )
 
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.select("row", "data", "entire", "parts").mapInArrow(
-        remove, f"row {kind}, n_bytes long, n_removed long, spans array<struct<first:bigint,end:bigint>>, kept binary"
-    )
+    found = T.StructType().add("n_bytes", "long").add("n_removed", "long").add("spans", "array<struct<first:bigint,end:bigint>>")
+    schema = T.StructType([rows.schema["row"], *found.add("kept", "binary")])
+    return rows.select("row", "data", "entire", "parts").mapInArrow(remove, schema)
 
 
 def _shrunk(data: bytes, first: int, end: int) -> tuple[int, int]:
@@ -376,12 +383,11 @@ def _shrunk(data: bytes, first: int, end: int) -> tuple[int, int]:
     return first, end
 
 
-def _covered(data: bytes, entire: np.ndarray, parts: list[dict], length: int, gram: int) -> list[tuple[int, int]]:
+def _covered(data: bytes, entire: np.ndarray, parts: list[dict], length: int, gram: int, secret: bytes) -> list[tuple[int, int]]:
     """Maximal runs covered by repeated strings: of entire pieces, and of parts of pieces."""
     if not len(entire) and not parts:
         return []
-    first, last, _, piece = pieces(data, length, gram)
-    piece = piece.view(np.int64)
+    first, last, _, piece = pieces(data, length, gram, secret)
     whole = np.isin(piece, entire)
     starts, ends = [first[whole]], [last[whole]]
     if parts:

@@ -42,17 +42,11 @@ def test_pre_tokens_on_random_text(tokenizer, monkeypatch):
     for window, remembered in ((1 << 20, 1_500_000), (40, 1_500_000), (1 << 20, 50)):
         monkeypatch.setattr(pretokens, "WINDOW", window)
         monkeypatch.setattr(pretokens, "REMEMBERED", remembered)
-        pretokens._powers.cache_clear()
-        encoder, found = pretokens.PreTokens.__new__(pretokens.PreTokens), defaultdict(list)
-        monkeypatch.setattr(pretokens, "WINDOW", 1 << 20)
-        pretokens._powers.cache_clear()
-        encoder.__init__(tokenizer_path())
-        monkeypatch.setattr(pretokens, "WINDOW", window)
+        encoder, found = pretokens.PreTokens(tokenizer_path()), defaultdict(list)
         for index, count, ids in encoder.encode(texts, want_ids=True):
             assert count == len(ids)
             found[index] += ids.tolist()
         assert [found[i] for i in range(len(texts))] == expected
-    pretokens._powers.cache_clear()
 
 
 def test_language(spark, odd, none):
