@@ -14,10 +14,13 @@ LEAST_SCORE = 0.05
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose text resembles a language that the labels teach."""
+    """Keep documents whose text resembles a language that the labels teach; without labels, keep all."""
     ship(spark)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    predicted = language.predict(rows, language.learn(docs))
+    prototypes = language.learn(docs)
+    if not prototypes:
+        return docs
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    predicted = language.predict(rows, prototypes, text=lambda batch: batch.column(0).field("text"))
     good = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
     return predicted.where(good).select("row.*")
 
