@@ -369,7 +369,8 @@ def _removed(rows: DataFrame, length: int, gram: int, whole_characters: bool, se
                 names=["row", "n_bytes", "n_removed", "spans", "kept"],
             )
 
-    found = T.StructType().add("n_bytes", "long").add("n_removed", "long").add("spans", "array<struct<first:bigint,end:bigint>>")
+    spans = T.ArrayType(T.StructType().add("first", "long").add("end", "long"))
+    found = T.StructType().add("n_bytes", "long").add("n_removed", "long").add("spans", spans)
     schema = T.StructType([rows.schema["row"], *found.add("kept", "binary")])
     return rows.select("row", "data", "entire", "parts").mapInArrow(remove, schema)
 
