@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewharf.llm.common import store, with_prefix
+from tablewharf.llm.run_hashes import run_hashes
 
 BUCKETS = 10_000
 GRAMS = 2
@@ -15,37 +20,38 @@ LEAST_WORDS = 20
 SEED = 7
 # The share of the documents that is drawn, as a fraction.
 SHARE = (25, 100)
-# Words: letters, digits and all signs beyond ASCII, after A-Z became a-z.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Rows of a batch that are hashed at a time.
+BATCH_ROWS = 500
 # Entries of the quantile sketch, the first half-width of the bracket in ranks, and how it grows.
 ACCURACY = 10_000
 MARGIN = 2 / ACCURACY
 WIDER = 8
 
 
-def _lowered(text: Column) -> Column:
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.translate(F.coalesce(text.cast("string"), F.lit("")), upper, upper.lower())
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
 
 
-def with_buckets(docs: DataFrame, grams: int = GRAMS, buckets: int = BUCKETS) -> DataFrame:
-    """Add ``n_words`` and ``buckets``: the bucket of every run of 1 to ``grams`` words of the whole text, repeats included."""
-    words = docs.withColumn("words", F.regexp_extract_all(_lowered(F.col("text")), F.lit(WORD), F.lit(0)))
-    words = words.withColumn("n_words", F.size("words").cast("long"))
-    runs, names = words.withColumn("run1", F.col("words")), ["run1"]
-    for n in range(2, grams + 1):
-        count = F.greatest(F.size("words") - (n - 1), F.lit(0))
-        earlier, last = F.slice(names[-1], F.lit(1), count), F.slice("words", F.lit(n), count)
-        names.append(f"run{n}")
-        runs = runs.withColumn(names[-1], F.zip_with(earlier, last, lambda a, b: F.concat(a, F.lit(" "), b)))
-    hashed = F.transform(F.concat(*names), lambda run: (F.crc32(run.cast("binary")) % buckets).cast("int"))
-    return runs.withColumn("buckets", hashed).drop("words", *names)
+def bucket_counts(docs: DataFrame, grams: int = GRAMS, buckets: int = BUCKETS) -> DataFrame:
+    """``bucket, n``: how many features of all documents fall into each bucket; a task reports each bucket once."""
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets, dtype=np.int64)
+        for texts, _ in _some(batches, "text"):
+            for _, _, crc in run_hashes(texts, grams):
+                total += np.bincount(crc % np.uint32(buckets), minlength=buckets)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], names=["bucket", "n"])
+
+    found = docs.select(_text()).mapInArrow(counted, "bucket int, n long")
+    return found.groupBy("bucket").agg(F.sum("n").alias("n"))
 
-def bucket_counts(docs: DataFrame, grams: int = GRAMS, buckets: int = BUCKETS) -> DataFrame:
-    """``bucket, n``: how many features of all documents fall into each bucket; counts combine before the shuffle."""
-    found = with_buckets(docs.select("text"), grams, buckets).select(F.explode("buckets").alias("bucket"))
-    return found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+def _some(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, BATCH_ROWS):
+            batch = whole.slice(at, BATCH_ROWS)
+            yield batch.column(column).to_pylist(), batch
 
 
 def gains(source: DataFrame, target: DataFrame, grams: int = GRAMS, buckets: int = BUCKETS) -> list[int]:
@@ -62,17 +68,29 @@ def gains(source: DataFrame, target: DataFrame, grams: int = GRAMS, buckets: int
 def scored(docs: DataFrame, gain: list[int], seed: int = SEED, grams: int = GRAMS) -> DataFrame:
     """``doc_id, n_words, n_features, weight, score`` of every row.
 
-    The gains are one array of constant size in the plan, in which every feature looks up its own.
+    The gains are one array of constant size, in which every feature looks up its own.
     """
-    array = F.split(F.lit(",".join(map(str, gain))), ",").cast("array<bigint>")
-    rows = with_buckets(docs.select("doc_id", "text"), grams, len(gain)).withColumn("n_features", F.size("buckets").cast("long"))
-    total = F.aggregate("buckets", F.lit(0).cast("bigint"), lambda acc, b: acc + array[b])
-    rows = rows.select("doc_id", "n_words", "n_features", total.alias("total"))
-    n = F.greatest("n_features", F.lit(1).cast("bigint"))
+    array = np.array(gain, dtype=np.float64)  # whole numbers whose sums stay exact
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts, batch in _some(batches, "text"):
+            n_words, n_features, total = (np.zeros(len(texts), dtype=np.int64) for _ in range(3))
+            for words, owner, crc in run_hashes(texts, grams):
+                n_words += words
+                n_features += np.bincount(owner, minlength=len(texts))
+                sums = np.bincount(owner, weights=array[crc % np.uint32(len(array))], minlength=len(texts))
+                total += sums.astype(np.int64)
+            columns = [batch.column("doc_id"), *(pa.array(x) for x in (n_words, n_features, total))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_features", "total"])
+
+    rows = docs.select("doc_id", _text())
+    sums = T.StructType().add("n_words", "long").add("n_features", "long").add("total", "long")
+    rows = rows.mapInArrow(summed, T.StructType([rows.schema["doc_id"], *sums]))
     weight = F.expr("(total - pmod(total, n)) div n")
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)
     h = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     noise = F.floor(-1000 * F.log(-F.log((h + F.lit(0.5)) / F.lit(4294967296.0)))).cast("bigint")
+    n = F.greatest("n_features", F.lit(1).cast("bigint"))
     weighed = rows.withColumn("n", n).withColumn("weight", weight)
     return weighed.select("doc_id", "n_words", "n_features", "weight", (F.col("weight") + noise).alias("score"))
 
@@ -99,7 +117,7 @@ def bracket(rows: DataFrame, k: int, total: int, margin: float = MARGIN) -> tupl
         above, below = rows.agg(F.count_if(F.col("score") > high), F.count_if(F.col("score") < low)).first()
         if above < k <= total - below:
             return low, high, above
-        margin *= WIDER
+        margin = max(margin, MARGIN) * WIDER
 
 
 def drawn(rows: DataFrame, k: int, total: int, margin: float = MARGIN) -> Column:
