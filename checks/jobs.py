@@ -28,6 +28,7 @@ from tablewharf.sources import records
 from tablewharf.sources.catalog import catalog_tables
 from tablewharf.sources.files import row_counts
 from tablewharf.streaming import incremental, progress
+from tablewharf.streaming.buckets import BucketedTable
 
 _SENTINELS = "('nan', 'inf', '-inf', 'null', 'none')"
 
@@ -280,3 +281,49 @@ def s2_stream_progress(spark, folder):
     target = new_folder(spark, "progress")
     progress.progress_stream(_event_stream(spark, folder), target, ["event_type"], "ts")
     return progress.latest_progress(spark, target)
+
+
+def _arrivals(spark, rows, spread_by, parts=4):
+    """Rows written as that many files, to arrive one by one."""
+    incoming = new_folder(spark, "incoming")
+    rows.repartition(parts, spread_by).write.parquet(incoming)
+    return incoming
+
+
+@check(
+    "SELECT *, 'current' AS state FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
+    " UNION ALL SELECT *, 'first' FROM events WHERE event_id % 3 > 0 QUALIFY row_number() OVER"
+    " (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
+)
+def s1_bucketed_compaction(spark, folder):
+    """Two thirds of the events arrive and are compacted, then the rest; the first base stays readable."""
+    events = table(spark, folder, "events")
+    target, key, order = new_folder(spark, "stream"), ("user_id",), ("ts", "event_id")
+    incoming = _arrivals(spark, events.where("event_id % 3 > 0"), "event_id")
+    kept = BucketedTable(spark, target, key, order, buckets=16)
+
+    def run():
+        stream = incremental.file_stream(spark, incoming, events.schema, files_per_batch=2)
+        incremental.upsert_stream(stream, target, key, order)
+
+    run()
+    kept.compact()
+    events.where("event_id % 3 = 0").coalesce(1).write.mode("append").parquet(incoming)
+    run()
+    kept.compact()
+    now, first = kept.current(), kept.current(version=1)
+    return now.withColumn("state", F.lit("current")).unionByName(first.withColumn("state", F.lit("first")))
+
+
+@check("SELECT DISTINCT user_id, event_type, CAST(floor(value / 100) AS BIGINT) AS hundreds FROM events")
+def s1_keyless_distinct(spark, folder):
+    """Rows without a key that repeat within and across the files of a stream are kept once."""
+    rows = table(spark, folder, "events").select(
+        "user_id", "event_type", F.floor(F.col("value") / 100).cast("bigint").alias("hundreds"), "event_id"
+    )
+    incoming, target = _arrivals(spark, rows, "event_id"), new_folder(spark, "stream")
+    schema = rows.drop("event_id").schema
+    for _ in range(2):  # the second run finds nothing new
+        stream = incremental.file_stream(spark, incoming, schema, files_per_batch=1)
+        incremental.distinct_stream(stream, target)
+    return incremental.distinct_table(spark, target)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import check
 from checks.data import SQL_DIRTY_ORDERS, dirty_orders, table
-from tablewharf.operators import chunks, quality, upsert
+from tablewharf.operators import batches, chunks, quality, upsert
 from tablewharf.sinks.registry import registry_table
 from tablewharf.sources import records
 
@@ -180,6 +180,21 @@ def f5_byte_batch_summary(spark, folder):
     )
 
 
+@check(
+    "WITH RECURSIVE s AS (SELECT doc_id, lang, strlen(text) AS n, row_number() OVER (ORDER BY lang, doc_id) AS i FROM documents),"
+    " b AS (SELECT i, doc_id, lang, n AS held, CAST(0 AS BIGINT) AS batch_id FROM s WHERE i = 1 UNION ALL"
+    " SELECT s.i, s.doc_id, s.lang, CASE WHEN s.lang = b.lang AND b.held + s.n <= 65536 THEN b.held + s.n ELSE s.n END,"
+    " b.batch_id + CASE WHEN s.lang = b.lang AND b.held + s.n <= 65536 THEN 0 ELSE 1 END FROM b JOIN s ON s.i = b.i + 1)"
+    " SELECT doc_id, batch_id FROM b"
+)
+def f5_bounded_batches(spark, folder):
+    """Each batch takes rows of one language, in order, as long as they stay within the limit."""
+    documents = table(spark, folder, "documents")
+    size = batches.byte_size(["text"])
+    found = batches.with_bounded_batches(documents, size, "doc_id", 65536, ["lang"])
+    return found.select("doc_id", "batch_id")
+
+
 _REGISTRY = ["id", "record_id", "hn", "postcode", "event_id", "event_type", "k", "visit_date", "loaded_at"]
 
 

@@ -51,8 +51,11 @@ def upsert_stream(
     """Process all files that have arrived, then stop (run it on a schedule).
 
     A restart with the same ``folder`` goes on where the last run ended. Rows
-    that a keyed target refuses go to ``refused`` with their reason.
+    that a keyed target refuses go to ``refused`` with their reason. A table without a key
+    is for :func:`distinct_stream`; an empty ``key`` is refused.
     """
+    if not key:
+        raise ValueError("a table without a key has no winners: use distinct_stream")
     reason = X.spare_name(stream.columns, "refusal_reason")
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -74,6 +77,33 @@ def upsert_stream(
     query.awaitTermination()
 
 
+def distinct_stream(stream: DataFrame, folder: str, fill_numeric: float | None = 0) -> None:
+    """Process all files that have arrived of a table without a key: each distinct row is kept once.
+
+    The rows seen so far live in the state store, spread over its partitions; a row that comes again in any later
+    batch or run is left out. Distinct is judged before cleaning, as in whole copies. A batch writes what is new under its batch
+    id, and a replay writes the same again. For very many distinct rows set
+    ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider, which keeps state on disk.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        write_version(clean.clean_values(batch, fill_numeric), f"{folder}/changes/batch={batch_id:010d}")
+
+    query = (
+        stream.dropDuplicates()
+        .writeStream.foreachBatch(load)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def distinct_table(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows that :func:`distinct_stream` has kept."""
+    return changes(spark, folder).drop("batch")
+
+
 def changes(
     spark: SparkSession, folder: str, after_batch: int = -1, up_to: int | None = None
 ) -> DataFrame:
