@@ -33,6 +33,18 @@ def f1_composite_key(spark, folder):
     )
 
 
+@check(
+    "SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber"
+    " ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,"
+    " l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) = 1"
+)
+def f1_split_upsert(spark, folder):
+    """As the composite key, but rows whose key occurs once are not shuffled."""
+    return upsert.split_upsert(
+        table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"]
+    )
+
+
 @check("SELECT DISTINCT quality, toxic FROM labels")
 def f1_key_only_table(spark, folder):
     labels = table(spark, folder, "labels").select("quality", "toxic")

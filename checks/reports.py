@@ -8,7 +8,7 @@ from checks import check
 from checks.data import KEYS, TABLES, all_tables, sql_counts, table
 from tablewharf.functions import names
 from tablewharf.functions import text as X
-from tablewharf.operators import chunks, ledger, upsert
+from tablewharf.operators import chunks, clean, fingerprints, ledger, upsert
 from tablewharf.sources.files import row_counts
 
 _SQL_LEDGER = """
@@ -61,7 +61,8 @@ def h1_current_status(spark, folder):
 
 
 @check(
-    "WITH s AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey < 4000),"
+    "WITH m AS (SELECT (min(o_orderkey) + max(o_orderkey)) // 2 AS middle FROM orders),"
+    " s AS (SELECT o_orderkey AS k FROM orders, m WHERE o_orderkey < middle),"
     " b AS (SELECT min(k) AS lo, (max(k) - min(k) + 8) // 8 AS w FROM s),"
     " x AS (SELECT CAST((k - lo) // w AS BIGINT) AS chunk, count(*) AS n FROM s, b GROUP BY 1),"
     " y AS (SELECT CAST((o_orderkey - lo) // w AS BIGINT) AS chunk, count(*) AS n FROM orders, b GROUP BY 1)"
@@ -71,9 +72,10 @@ def h1_current_status(spark, folder):
     " ELSE 'running' END AS status FROM x FULL JOIN y USING (chunk)"
 )
 def h2_surplus_rows(spark, folder):
-    """Rows loaded beyond the source's keys show up as surplus."""
+    """Rows loaded beyond the source's keys, the lower half of the key range, show up as surplus."""
     orders = table(spark, folder, "orders")
-    return chunks.chunk_progress(orders.where("o_orderkey < 4000"), orders, "o_orderkey", 8)
+    low, high, _ = chunks.key_bounds(orders, "o_orderkey")
+    return chunks.chunk_progress(orders.where(F.col("o_orderkey") < (low + high) // 2), orders, "o_orderkey", 8)
 
 
 @check(
@@ -220,3 +222,41 @@ def fn_scalars(spark, folder):
         X.duration_text(F.col("event_id")).alias("duration"),
         X.percent(F.col("user_id"), F.col("event_id")).alias("share"),
     )
+
+
+def _spoiled_copy(orders):
+    """Orders loaded as text, with some lost, changed and doubled, and some that are not in the source."""
+    rest = F.col("o_orderkey") % 997
+    price = F.when(rest == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice")
+    copies = F.explode(F.when(rest == 2, F.array(F.lit(0), F.lit(0))).when(rest == 3, F.array(F.lit(0), F.lit(90_000_000))).otherwise(F.array(F.lit(0))))
+    changed = orders.where(rest > 0).select(*[price if c == "o_totalprice" else F.col(c) for c in orders.columns], copies.alias("shift"))
+    return clean.text_table(changed.withColumn("o_orderkey", F.col("o_orderkey") + F.col("shift")).drop("shift"))
+
+
+_SQL_SPOILED = """
+    SELECT o_orderkey AS k, CASE o_orderkey % 997 WHEN 0 THEN 'lost' WHEN 1 THEN 'changed' ELSE 'doubled' END AS kind,
+           CAST(1 AS BIGINT) AS source_rows, CAST(CASE o_orderkey % 997 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS BIGINT) AS destination_rows
+    FROM orders WHERE o_orderkey % 997 < 3
+    UNION ALL SELECT o_orderkey + 90000000, 'surplus', 0, 1 FROM orders WHERE o_orderkey % 997 = 3
+"""
+
+
+@check(f"SELECT CAST(k AS VARCHAR) AS o_orderkey, kind, source_rows, destination_rows FROM ({_SQL_SPOILED})")
+def h5_content_differences(spark, folder):
+    """The rows of a copy that are lost, changed, doubled or surplus, found through chunk fingerprints."""
+    orders = table(spark, folder, "orders")
+    return fingerprints.reconcile_content(orders, _spoiled_copy(orders), ["o_orderkey"])[1]
+
+
+@check(
+    f"WITH x AS ({_SQL_SPOILED}), b AS (SELECT min(o_orderkey) AS lo, (max(o_orderkey) - min(o_orderkey) + 4096) // 4096 AS w"
+    " FROM orders), f AS (SELECT DISTINCT CASE WHEN k >= 90000000 THEN 4096 ELSE (k - lo) // w END AS chunk FROM x, b),"
+    " s AS (SELECT (o_orderkey - lo) // w AS chunk, count(*) AS n FROM orders, b GROUP BY 1),"
+    " e AS (SELECT CASE WHEN k >= 90000000 THEN 4096 ELSE (k - lo) // w END AS chunk, sum(destination_rows - source_rows) AS more"
+    " FROM x, b GROUP BY 1) SELECT CAST(chunk AS BIGINT) AS chunk, coalesce(n, 0) AS source_rows,"
+    " CAST(coalesce(n, 0) + coalesce(more, 0) AS BIGINT) AS destination_rows FROM f LEFT JOIN s USING (chunk) LEFT JOIN e USING (chunk)"
+)
+def h5_chunk_fingerprints(spark, folder):
+    """The chunks of a copy whose fingerprints differ; where a row was only changed the counts agree."""
+    orders = table(spark, folder, "orders")
+    return fingerprints.reconcile_content(orders, _spoiled_copy(orders), ["o_orderkey"])[0]

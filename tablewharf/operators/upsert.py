@@ -10,6 +10,12 @@ from pyspark.sql import types as T
 
 from tablewharf.functions import text as X
 from tablewharf.functions.text import ref
+from tablewharf.operators.ordering import store
+
+# Bits of the map of repeated keys: at most so many divided by 8 bytes reach every task (4 MiB).
+BITMAP_BITS = 1 << 25
+# Fixed value: bits that Spark's bitmap functions keep in one value.
+PAGE_BITS = 32_768
 
 
 def _orderable(dtype: T.DataType) -> bool:
@@ -60,6 +66,50 @@ def latest_per_key(
     return picked.select(*columns)
 
 
+def _repeated_keys_bitmap(keys: DataFrame, bits: int) -> DataFrame:
+    """``page, bitmap``: a bit for the hash of every key that occurs more than once, in pages of ``PAGE_BITS``.
+
+    Stored, so that what reads it does not count the keys again; at most ``bits / 8`` bytes.
+    """
+    repeated = keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    bit = F.pmod(F.xxhash64(*[ref(k) for k in keys.columns]), F.lit(bits))
+    placed = repeated.select(bit.alias("bit")).selectExpr(f"bit div {PAGE_BITS} AS page", f"bit % {PAGE_BITS} AS place")
+    return store(placed.groupBy("page").agg(F.bitmap_construct_agg("place").alias("bitmap")), "repeated-keys")
+
+
+def split_by_repetition(df: DataFrame, key: Sequence[str | Column], bits: int = BITMAP_BITS) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key certainly occurs once, and all others.
+
+    The keys are counted on their own columns. Those that repeat are marked in a bitmap of constant size, which every task
+    gets; a row whose bit is clear cannot have a repeated key. Rows move nowhere. Where so many keys repeat that the
+    bitmap fills, more single rows are among the others, which costs time but is never wrong.
+    """
+    keys = [ref(k) if isinstance(k, str) else k for k in key]
+    names = [f"k{i}" for i in range(len(keys))]
+    bitmap = _repeated_keys_bitmap(df.select(*[k.alias(n) for k, n in zip(keys, names)]), bits)
+    page, held, place = (X.spare_name(df.columns, n) for n in ("key_page", "key_bitmap", "key_place"))
+    bit = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    marked = df.withColumns({page: F.call_function("div", bit, F.lit(PAGE_BITS).cast("bigint")), place: (bit % PAGE_BITS).cast("int")})
+    bitmap = bitmap.select(F.col("page").alias(page), F.col("bitmap").alias(held))
+    marked = marked.join(F.broadcast(bitmap), page, "left")
+    byte = F.conv(F.hex(F.substring(ref(held), F.shiftright(ref(place), 3) + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), ref(place) % 8)) > 0, F.lit(False))
+    columns = [ref(c) for c in df.columns]
+    return marked.where(~is_set).select(*columns), marked.where(is_set).select(*columns)
+
+
+def split_upsert(
+    df: DataFrame, key: Sequence[str | Column], order_by: Sequence[str] = (), bits: int = BITMAP_BITS
+) -> DataFrame:
+    """The rows of :func:`latest_per_key`, of which only those with repeated keys are shuffled in full.
+
+    One narrow shuffle counts the keys; rows whose key occurs once pass as they are read. The table is read once for
+    its keys and twice for its rows, so this pays where few keys repeat or rows are wide.
+    """
+    single, repeated = split_by_repetition(df, key, bits)
+    return single.unionByName(latest_per_key(repeated, key, order_by))
+
+
 def merge_by_key(
     target: DataFrame,
     changes: DataFrame,
