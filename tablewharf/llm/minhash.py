@@ -18,6 +18,8 @@ SIMILARITY = 80
 BANDS, WIDTH = 24, 5
 # Documents of one block; two blocks meet in a task.
 BLOCK = 512
+# Rows of a batch that are turned into Python objects at a time.
+SLICE_ROWS = 500
 # Bytes of text that are hashed at a time.
 WINDOW = 1 << 20
 
@@ -143,7 +145,7 @@ def sketch(docs: DataFrame, shingle: int, bands: int, width: int) -> DataFrame:
     registers = bands * width
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = batch.column(1).to_pylist()
             sets = [shingle_keys(text, shingle) for text in texts]
             bits: list[list[int] | None] = [None] * len(sets)
@@ -172,6 +174,13 @@ def sketch(docs: DataFrame, shingle: int, bands: int, width: int) -> DataFrame:
     return rows.mapInArrow(sketched, f"doc_id {kind}, n_shingles long, class_key string, band_keys array<bigint>")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of batches whose texts are held as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def _groups(some: list[int], sets: list[np.ndarray]) -> Iterator[list[int]]:
     """Runs of sets that together stay small enough for the permutation table."""
     group, size = [], 0
@@ -340,7 +349,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[str, set] = ("", set())
-        for batch in batches:
+        for batch in _slices(batches):
             keep = []
             for ours, theirs in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if theirs != last[0]:

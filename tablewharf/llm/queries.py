@@ -106,6 +106,9 @@ _ALL = (
 QUERIES: dict[str, Query] = {query.__name__: query for query in _ALL}
 SQL: dict[str, str] = {
     "op3_kd_trees": twins.OP3,
+    "op5_small_worlds": twins.OP5,
+    "op6_superminhash": twins.OP6,
+    "op10_suffix_levels": twins.OP10,
     "op11_dictionary_warc": twins.OP11,
     "op12_importance_resampling": twins.OP12,
     "op13_hard_negatives": twins.OP13,

@@ -102,3 +102,58 @@ OP13 = f"""
     WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
     WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) QUALIFY row_number() OVER w <= 10
 """
+
+# Components: the smallest id that links reach, by following links from every node.
+_COMPONENTS = """
+    edges AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach AS (SELECT a AS node, a AS other FROM edges UNION SELECT r.node, l.b FROM reach r JOIN edges l ON l.a = r.other),
+    parts AS (SELECT node, min(other) AS component FROM reach GROUP BY node)
+"""
+
+OP5 = f"""
+    WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS MATERIALIZED (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id < y.vec_id AND len(x.v) = len(y.v)
+        AND list_inner_product(x.v, y.v) / sqrt(list_inner_product(x.v, x.v)) / sqrt(list_inner_product(y.v, y.v)) >= 0.95),
+    {_COMPONENTS},
+    degree AS (SELECT a, count(*) AS n FROM edges GROUP BY a)
+    SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(component, e.vec_id) AS component_id,
+           coalesce(component, e.vec_id) = e.vec_id AS kept
+    FROM embeddings e LEFT JOIN degree ON degree.a = e.vec_id LEFT JOIN parts ON parts.node = e.vec_id
+"""
+
+OP6 = f"""
+    WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    sets AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w ELSE
+        list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS shingle FROM words WHERE len(w) > 0),
+    sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+    common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_n FROM sets x JOIN sets y
+        ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL),
+    links AS MATERIALIZED (SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+        WHERE 100 * both_n >= 80 * (s.n + t.n - both_n)),
+    {_COMPONENTS}
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id,
+           coalesce(component, d.doc_id) = d.doc_id AS kept
+    FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN parts ON parts.node = d.doc_id
+"""
+
+# Two hexadecimal digits stand for each byte.
+OP10 = """
+    WITH t AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits, strlen(coalesce(text, '')) AS n FROM documents),
+    strings AS MATERIALIZED (SELECT doc_id, s, md5_number(substr(digits, 2 * s + 1, 400)) AS string
+        FROM (SELECT doc_id, digits, unnest(range(n - 199)) AS s FROM t WHERE n >= 200)),
+    twice AS (SELECT doc_id, s FROM strings WHERE string IN (SELECT string FROM strings GROUP BY string HAVING count(*) > 1)),
+    marked AS (SELECT doc_id, s, s - 200 > lag(s, 1, -1000) OVER (PARTITION BY doc_id ORDER BY s) AS opens FROM twice),
+    numbered AS (SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM marked),
+    spans AS MATERIALIZED (SELECT doc_id, span, min(s) AS first, max(s) + 200 AS last FROM numbered GROUP BY ALL),
+    gaps AS (SELECT doc_id, coalesce(lag(last) OVER w, 0) AS first, first AS last FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY span)
+             UNION ALL SELECT doc_id, max(last), CAST(1000000000 AS BIGINT) FROM spans GROUP BY doc_id),
+    kept AS (SELECT doc_id, string_agg(substr(digits, 2 * first + 1, 2 * (last - first)), '' ORDER BY first) AS digits
+             FROM gaps JOIN t USING (doc_id) GROUP BY doc_id),
+    totals AS (SELECT doc_id, sum(last - first) AS removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+    SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(kept.digits, t.digits))) AS kept_sha256
+    FROM t LEFT JOIN totals USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
