@@ -327,3 +327,30 @@ def s1_keyless_distinct(spark, folder):
         stream = incremental.file_stream(spark, incoming, schema, files_per_batch=1)
         incremental.distinct_stream(stream, target)
     return incremental.distinct_table(spark, target)
+
+
+def _keyless_events(events):
+    """Events by their number, of which some have none, among them one with number 0."""
+    number = F.when(F.col("event_id") % 10 == 3, None).otherwise(F.col("event_id") % 1000)
+    return events.select(number.alias("number"), F.concat(F.lit(" "), F.col("event_type")).alias("kind"), "event_id", "ts")
+
+
+@check(
+    "SELECT CAST(event_id % 1000 AS VARCHAR) AS number, event_type AS kind, CAST(event_id AS VARCHAR) AS event_id,"
+    " strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events WHERE event_id % 10 <> 3"
+    " QUALIFY row_number() OVER (PARTITION BY event_id % 1000 ORDER BY event_id DESC) = 1"
+)
+def g2_null_keys(spark, folder):
+    """Rows without a key are set aside; none of them is loaded as the row with key 0."""
+    job = TableJob("events", _keyless_events(table(spark, folder, "events")), ("number",), ("event_id",))
+    return spark.read.parquet(run_table(job, new_folder(spark, "copy")).location)
+
+
+@check(
+    "SELECT CAST(NULL AS VARCHAR) AS number, ' ' || event_type AS kind, CAST(event_id AS VARCHAR) AS event_id,"
+    " strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, 'key number is null' AS refusal_reason FROM events WHERE event_id % 10 = 3"
+)
+def f4_raw_quarantine(spark, folder):
+    """What is set aside keeps the values of the source: padding stays, NULL stays NULL."""
+    job = TableJob("events", _keyless_events(table(spark, folder, "events")), ("number",), ("event_id",))
+    return spark.read.parquet(run_table(job, new_folder(spark, "copy")).quarantine)

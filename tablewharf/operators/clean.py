@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,16 +98,19 @@ def null_non_finite(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_values(df: DataFrame, fill_numeric: float | None = 0) -> DataFrame:
+def clean_values(df: DataFrame, fill_numeric: float | None = 0, keys: Sequence[str] = ()) -> DataFrame:
     """Trim, null-fill and NaN/Inf repair of all columns in a single projection.
 
-    ``fill_numeric=None`` keeps numeric NULLs.
+    ``fill_numeric=None`` keeps numeric NULLs. Columns in ``keys`` are only trimmed: a row without a key must
+    not become the row whose key is 0.
     """
 
     def cleaned(field: T.StructField):
         c, dtype = ref(field.name), field.dataType
         if isinstance(dtype, T.StringType):
             return X.trim_text(field.name).alias(field.name)
+        if field.name in keys:
+            return c
         if X.is_integer(dtype) and fill_numeric is not None:
             return X.fill_null_number(c, dtype, fill_numeric).alias(field.name)
         if X.is_float(dtype):

@@ -83,7 +83,7 @@ def _cleaned(job: TableJob, df: DataFrame) -> DataFrame:
             numeric = dict.fromkeys(numeric, "double")
         numeric = {c: t for c, t in numeric.items() if c in df.columns and c not in job.key}
         return clean.comparable_values(clean.null_non_finite(infer.infer_numbers(texts, numeric)))
-    return clean.comparable_values(clean.clean_values(df, job.fill_numeric))
+    return clean.comparable_values(clean.clean_values(df, job.fill_numeric, job.key))
 
 
 def _with_types(job: TableJob) -> TableJob:
@@ -111,6 +111,21 @@ def _marked_rows(job: TableJob, unique: bool) -> DataFrame:
     )
 
 
+def _refused_rows(job: TableJob, unique: bool) -> DataFrame:
+    """The source values of refused rows as text, as they came: neither trimmed nor filled; with the reason."""
+    rows = clean.distinct_rows(job.source) if _needs_distinct(job, unique) else job.source
+    reason, held = _reason_name(job), X.spare_name([*rows.columns, _reason_name(job)], "source_row")
+    texts = [
+        (ref(f.name) if f.dataType.typeName() == "string" else X.canonical_text(f.name, f.dataType)).cast("string").alias(f.name)
+        for f in rows.schema.fields
+    ]
+    whole = rows.select(*[ref(c) for c in rows.columns], F.struct(*texts).alias(held))
+    cleaned = _cleaned(job, whole)
+    why = quality.refusal_reason(cleaned.drop(held).schema, job.key, **job.limits)
+    marked = cleaned.withColumn(reason, why).where(ref(reason).isNotNull())
+    return marked.select(*[ref(held).getField(c).alias(c) for c in rows.columns], ref(reason))
+
+
 def _destination_key(job: TableJob, df: DataFrame) -> list[Column]:
     """The key as the destination tells rows apart.
 
@@ -152,7 +167,7 @@ def run_table(job: TableJob, folder: str) -> TableResult:
     table is then copied in one pass without any shuffle. Otherwise a table
     without a key takes one shuffle for distinct, and one with a key takes one
     for the winners. Refused rows are written by a second, filtered pass, only
-    when there are any.
+    when there are any, with the values of the source. A row whose key is NULL is one of them.
     """
     if job.prepare is not None:
         job = replace(job.prepare(job), prepare=None)
@@ -194,8 +209,7 @@ def run_table(job: TableJob, folder: str) -> TableResult:
     quarantined, quarantine = 0, None
     if refused.get["refused"]:
         quarantine = f"{folder}/{job.name}/quarantined"
-        bad = _marked_rows(job, unique).where(ref(reason).isNotNull())
-        write_version(clean.text_table(bad), quarantine)
+        write_version(_refused_rows(job, unique), quarantine)
         quarantined = spark.read.parquet(quarantine).count()
     seen = loaded.get if upsert else refused.get
     accepted = (seen["merged"] or 0) if upsert else dst_rows

@@ -59,7 +59,7 @@ def upsert_stream(
     reason = X.spare_name(stream.columns, "refusal_reason")
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = clean.clean_values(batch, fill_numeric)
+        rows = clean.clean_values(batch, fill_numeric, key)
         rows = quality.with_refusal_reason(rows, key, name=reason, **limits)
         # One winner per key also removes exact copies; no distinct is needed.
         good = rows.where(ref(reason).isNull()).drop(reason)

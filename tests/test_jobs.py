@@ -38,17 +38,38 @@ def test_upsert_copy_orders_by_typed_values(spark, people):
     job = TableJob("people", people, ("id",), ("seen",), count_duplicates=True, limits={"max_text_bytes": 20})
     result = run_table(job, new_folder(spark, "t"))
     assert loaded(spark, result) == [
-        ("0", "zero", "3.0", None), ("1", "anna", "2.0", "2024-01-01 00:00:00"), ("2", None, "0.0", None),
+        ("1", "anna", "2.0", "2024-01-01 00:00:00"), ("2", None, "0.0", None),
     ]
-    assert (result.src_rows, result.dst_rows, result.duplicates, result.superseded, result.quarantined) == (6, 3, 1, 1, 1)
-    assert result.nulls == {"seen": 2}  # 'null' is still text when NULLs are counted
-    refused = spark.read.parquet(result.quarantine).first()
-    assert (refused.id, refused.refusal_reason) == ("3", "name exceeds 20 bytes")
+    assert (result.src_rows, result.dst_rows, result.duplicates, result.superseded, result.quarantined) == (6, 2, 1, 1, 2)
+    assert result.nulls == {"seen": 1}  # 'null' is still text when NULLs are counted
+    refused = {(r.id, r.refusal_reason) for r in spark.read.parquet(result.quarantine).collect()}
+    assert refused == {("3", "name exceeds 20 bytes"), (None, "key id is null")}
 
 
 def test_copies_count_as_superseded_when_not_told_apart(spark, people):
     result = run_table(TableJob("people", people, ("id",), ("seen",)), new_folder(spark, "t"))
-    assert (result.duplicates, result.superseded, result.quarantined, result.quarantine) == (0, 2, 0, None)
+    assert (result.duplicates, result.superseded, result.quarantined) == (0, 2, 1)
+
+
+def test_rows_without_a_key_never_become_key_zero(spark):
+    """NULL and NaN keys are refused, whatever fills other columns; what is set aside is the source as it was."""
+    df = spark.createDataFrame([(0, 1, " x "), (None, 2, "null"), (None, None, None)], "id int, v int, s string")
+    for unique in (None, False):
+        result = run_table(TableJob("t", df, ("id",), key_is_unique=unique), new_folder(spark, "t"))
+        assert loaded(spark, result) == [("0", "1", "x")]
+        assert (result.quarantined, result.superseded) == (2, 0)
+        bad = sorted(map(tuple, spark.read.parquet(result.quarantine).collect()), key=repr)
+        assert bad == [(None, "2", "null", "key id is null"), (None, None, None, "key id is null")]
+    floats = spark.createDataFrame([(0.0, "a"), (float("nan"), "b"), (None, "c")], "k double, s string")
+    result = run_table(TableJob("t", floats, ("k",)), new_folder(spark, "t"))
+    assert loaded(spark, result) == [("0.0", "a")] and result.quarantined == 2
+
+
+def test_quarantine_keeps_source_values(spark):
+    df = spark.createDataFrame([("null", " pad "), (" x ", "y" * 30), ("ok", "v")], "k string, s string")
+    result = run_table(TableJob("t", df, ("k",), limits={"max_text_bytes": 20}), new_folder(spark, "t"))
+    bad = {tuple(r) for r in spark.read.parquet(result.quarantine).collect()}
+    assert bad == {("null", " pad ", "key k is null"), (" x ", "y" * 30, "s exceeds 20 bytes")}
 
 
 def test_copy_without_key_keeps_padded_copies(spark):
@@ -59,11 +80,11 @@ def test_copy_without_key_keeps_padded_copies(spark):
 
 
 def test_key_is_checked_as_the_destination_sees_it(spark):
-    """'a' and 'a ' differ in the source, 0 and NULL too, but not after cleaning."""
+    """'a' and 'a ' differ in the source, but not after cleaning; NULL never becomes the key 0."""
     texts = spark.createDataFrame([("a", 1), ("a ", 2)], "k string, v int")
     assert run_table(TableJob("t", texts, ("k",), ("v",)), new_folder(spark, "t")).dst_rows == 1
     numbers = spark.createDataFrame([(0, 1), (None, 2)], "k int, v int")
-    assert loaded(spark, run_table(TableJob("t", numbers, ("k",), ("v",)), new_folder(spark, "t"))) == [("0", "2")]
+    assert loaded(spark, run_table(TableJob("t", numbers, ("k",), ("v",)), new_folder(spark, "t"))) == [("0", "1")]
     times = spark.createDataFrame(
         [(datetime(2024, 1, 1, 0, 0, 0, 1), 1), (datetime(2024, 1, 1, 0, 0, 0, 2), 2)], "k timestamp_ntz, v int"
     )
