@@ -146,6 +146,43 @@ def d5_null_profile_of_text(spark, folder):
     return quality.null_profile(clean.text_table(clean.clean_values(dirty_orders(spark, folder))))
 
 
+# Layouts in which event times are written, and what of the time each of them keeps.
+_MIXED = (
+    ("MMM d, yyyy h:mm a", "date_trunc('minute', ts)"),
+    ("d MMMM yyyy hh:mm a", "date_trunc('minute', ts)"),
+    ("yyyyMMddHHmmss", "date_trunc('second', ts)"),
+    ("yyyy-MM-dd'T'HH:mm'+07'", "date_trunc('minute', ts) - INTERVAL 7 HOUR"),
+    ("EEE MMM d HH:mm:ss yyyy", "date_trunc('second', ts)"),
+    ("yyyy/MM/dd HH:mm:ss", "date_trunc('second', ts)"),
+    ("MM/dd/yyyy hh:mm:ssa", "date_trunc('second', ts)"),
+    ("'on' yyyy-MM-dd", "NULL"),
+)
+
+
+@check(
+    "SELECT event_id, CAST(CASE event_id % 8 "
+    + " ".join(f"WHEN {i} THEN {kept}" for i, (_, kept) in enumerate(_MIXED))
+    + " END AS TIMESTAMP) AS seen_time FROM events"
+)
+def d6_mixed_layouts(spark, folder):
+    """One column in eight layouts: half days, digits alone, hour offsets, a year at the end, and one that is no time."""
+    case = F.when(F.lit(False), F.lit(""))
+    for i, (layout, _) in enumerate(_MIXED):
+        case = case.when(F.col("event_id") % len(_MIXED) == i, F.date_format("ts", layout))
+    return infer.coerce_datetimes(table(spark, folder, "events").select("event_id", case.alias("seen_time")))
+
+
+@check(
+    "SELECT 'seen_time' AS column_name, count(*) FILTER (event_id % 8 = 7) AS lost FROM events"
+)
+def d6_lost_datetimes(spark, folder):
+    """How many texts of a column no layout fits."""
+    layout = F.when(F.col("event_id") % 8 == 7, F.date_format("ts", "'on' yyyy-MM-dd")).otherwise(
+        F.date_format("ts", "MMM d, yyyy h:mm a")
+    )
+    return infer.lost_datetimes(table(spark, folder, "events").select(layout.alias("seen_time")), ["seen_time"])
+
+
 @check(
     "SELECT o_orderkey, o_totalprice, coalesce(try_strptime(d, '%Y-%m-%d %H:%M:%S'),"
     " try_strptime(d, '%Y-%m-%d'), try_strptime(d, '%m/%d/%Y')) AS order_date FROM"

@@ -354,3 +354,66 @@ def f4_raw_quarantine(spark, folder):
     """What is set aside keeps the values of the source: padding stays, NULL stays NULL."""
     job = TableJob("events", _keyless_events(table(spark, folder, "events")), ("number",), ("event_id",))
     return spark.read.parquet(run_table(job, new_folder(spark, "copy")).quarantine)
+
+
+def _run_with_failure(spark, folder):
+    """All tables in one run, of which orders cannot be read; its ledger."""
+
+    def unreadable(job):
+        raise RuntimeError("injected")
+
+    jobs = [
+        TableJob(name, df, KEYS[name], prepare=unreadable if name == "orders" else None)
+        for name, df in all_tables(spark, folder).items()
+    ]
+    return copy_tables(
+        spark, jobs, new_folder(spark, "run"), at_once=8, max_attempts=2, retry_seconds=0, reconciled=True
+    )
+
+
+def _sql_loaded(name: str) -> str:
+    return (
+        f"SELECT '{name}' AS table_name, count(*) AS s, count(DISTINCT ({', '.join(KEYS[name])})) AS d FROM {name}"
+    )
+
+
+_SQL_LOADED = " UNION ALL ".join(_sql_loaded(t) for t in TABLES if t != "orders")
+
+
+@check(
+    f"SELECT table_name, d AS src_rows, d AS dst_rows, 'completed' AS status, '[OK]' AS mark FROM ({_SQL_LOADED})"
+    " UNION ALL SELECT 'orders', 0, 0, 'failed', '[X]'"
+)
+def g3_run_reconciled(spark, folder):
+    """What a run says it loaded against what its tables hold, with one table that failed."""
+    return _run_with_failure(spark, folder).reconciliation()
+
+
+@check(
+    f"WITH t AS ({_SQL_LOADED}) SELECT 'INFO' AS level, table_name, 'started, attempt 1' AS message FROM t"
+    " UNION ALL SELECT 'INFO', table_name, 'loaded ' || d || ' of ' || s || ' rows' ||"
+    " CASE WHEN s > d THEN ', ' || (s - d) || ' superseded' ELSE '' END FROM t"
+    " UNION ALL SELECT 'INFO', table_name, '[OK] ' || d || ' of ' || d || ' rows' FROM t"
+    " UNION ALL SELECT * FROM (VALUES ('INFO', 'orders', 'started, attempt 1'), ('ERROR', 'orders', 'failed: injected'),"
+    " ('WARNING', 'orders', 'trying again, 2 of 2'), ('INFO', 'orders', 'started, attempt 2'),"
+    " ('ERROR', 'orders', 'failed: injected'), ('WARNING', 'orders', '[X] 0 of 0 rows'))"
+)
+def h6_run_messages(spark, folder):
+    """The log of a run: every attempt, failure and reconciled table as a line."""
+    lines = _run_with_failure(spark, folder).messages(reconciled=True)
+    return lines.select("level", "table_name", "message")
+
+
+@check(
+    "WITH t AS (SELECT CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE event_type END AS kind, event_id FROM events)"
+    " SELECT kind, CAST(event_id AS VARCHAR) AS event_id FROM t"
+    " QUALIFY row_number() OVER (PARTITION BY lower(kind) ORDER BY event_id DESC) = 1"
+)
+def g2_copy_case_insensitive(spark, folder):
+    """A copy into a destination whose text keys do not tell cases apart."""
+    kind = F.col("event_type")
+    events = table(spark, folder, "events").select(
+        F.when(F.col("event_id") % 2 == 0, F.upper(kind)).otherwise(kind).alias("kind"), "event_id"
+    )
+    job = TableJob("events", events, ("kind",), ("event_id",), collation="UNICODE_CI")
+    return spark.read.parquet(run_table(job, new_folder(spark, "copy")).location)

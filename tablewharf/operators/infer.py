@@ -44,7 +44,10 @@ NUMBER_REGEX = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?inf(inity)?$"
 
 
 # A zone after a time of day: Z, UTC or GMT, or an offset.
-_ZONE = r"(:\d{1,2}(?:\.\d+)?)\s?(Z|UTC|GMT|[+-]\d{2}:?\d{2})$"
+_ZONE = r"(?i)(:\d{1,2}(?:\.\d+)?(?:\s?[ap]m)?)\s?(Z|UTC|GMT|[+-]\d{2}(?::?\d{2})?)$"
+# Times written without separators, and with the year at the end, in the order of the layouts above.
+_COMPACT = r"^(\d{8})[T ]?(\d{2})(\d{2})(\d{2})(\.\d+)?(?=$|Z|[ +-])"
+_YEAR_LAST = r"^([A-Za-z]{3,9} +\d{1,2}) +(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?) (?:(UTC|GMT) )?(\d{4})$"
 
 
 def lost_datetimes(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -65,27 +68,31 @@ def looks_like_datetime(name: str) -> bool:
 def parse_datetime(name: str, formats: Iterable[str] = DATETIME_FORMATS) -> Column:
     """The first format that fits, NULL when none does.
 
-    A weekday in front is left out, and fractions beyond microseconds are cut. A time
+    A weekday in front is left out, and fractions beyond microseconds are cut. Half days may follow any layout, times may
+    be digits alone after such a date, and a year may stand after its time. A time
     with a zone becomes its time in UTC. Others are read as UTC and re-anchored on a zone-free epoch, so no session
     time zone (and no daylight-saving gap) can shift them.
     """
     day = F.regexp_replace(X.trim_text(name), r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
     dashes = F.regexp_replace(day, r"^(\d+)[/.](\d+)[/.](\d+)", "$1-$2-$3")
     spaced = F.regexp_replace(dashes, r"(?<=\d)T(?=\d)", " ")
+    spaced = F.regexp_replace(F.regexp_replace(spaced, _COMPACT, "$1 $2:$3:$4$5"), _YEAR_LAST, "$1 $4 $2 $3")
+    spaced = F.regexp_replace(F.rtrim(spaced), r" {2,}", " ")
     cut = F.regexp_replace(spaced, r"(\.\d{6})\d+", "$1")
     zone = F.regexp_extract(cut, _ZONE, 2)
-    offset = F.when(zone.rlike("[0-9]"), F.regexp_replace(zone, r"([+-]\d\d):?(\d\d)", "$1:$2")).otherwise("Z")
+    hours = F.regexp_replace(zone, r"^([+-]\d\d)$", "$1:00")
+    offset = F.when(zone.rlike("[0-9]"), F.regexp_replace(hours, r"([+-]\d\d):?(\d\d)", "$1:$2")).otherwise("Z")
     plain = F.concat(F.regexp_replace(cut, _ZONE, "$1"), F.lit(" "), offset)
     half_day = plain.rlike(r"(?i)\d\s?[ap]m ")
-    upper = F.upper(plain) if formats is DATETIME_FORMATS else plain
+    # The half day in capitals; names of months keep their case.
+    halved = F.regexp_replace(F.regexp_replace(plain, r"(?i)(?<=\d)\s?am ", " AM "), r"(?i)(?<=\d)\s?pm ", " PM ")
 
     def first(text: Column, layouts: Iterable[str]) -> Column:
         return F.coalesce(*[F.try_to_timestamp(text, F.lit(layout + " XXX")) for layout in layouts])
 
     instant = first(plain, formats)
     if formats is DATETIME_FORMATS:
-        halves = [h for h in HALF_DAY_FORMATS if "MMM" not in h]
-        instant = F.when(half_day, first(upper, halves)).otherwise(instant)
+        instant = F.when(half_day, first(halved, HALF_DAY_FORMATS)).otherwise(instant)
     micros = F.unix_micros(instant)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", micros, epoch)

@@ -21,6 +21,8 @@ LEDGER_SCHEMA = (
     " location string, error string"
 )
 
+RECONCILED_SCHEMA = "table_name string, src_rows bigint, dst_rows bigint, status string, mark string"
+
 # Table states and the mark each gets in a reconciliation.
 MATCH, MISMATCH, FAILED, OPEN = "[OK]", "[!]", "[X]", "[ ]"
 
@@ -132,3 +134,31 @@ def recent_messages(
     """The newest messages first; ``level`` keeps one severity."""
     chosen = log if level is None else log.where(F.col("level") == level)
     return chosen.orderBy(*[F.col(c).desc() for c in order_by]).limit(keep)
+
+
+def run_messages(ledger: DataFrame) -> DataFrame:
+    """``logged_at, level, table_name, message``: each status change as a line of the run's log."""
+    status, attempt = F.col("status"), F.col("attempt")
+    level = F.when(status == "failed", "ERROR").when(status == "retrying", "WARNING").otherwise("INFO")
+    counts = [
+        F.when(F.col(c) > 0, F.concat(F.lit(", "), F.col(c), F.lit(f" {c}"))).otherwise("")
+        for c in ("duplicates", "superseded", "quarantined")
+    ]
+    loaded = F.concat(F.lit("loaded "), F.col("dst_rows"), F.lit(" of "), F.col("src_rows"), F.lit(" rows"), *[F.coalesce(c, F.lit("")) for c in counts])
+    message = (
+        F.when(status == "failed", F.concat(F.lit("failed: "), F.coalesce("error", F.lit("unknown error"))))
+        .when(status == "retrying", F.coalesce("error", F.lit("trying again")))
+        .when(status == "processing", F.concat(F.lit("started, attempt "), attempt))
+        .when(status == "empty", "nothing to load")
+        .when((status == "completed") & (attempt > 0), loaded)
+        .otherwise(status)
+    )
+    return ledger.select("logged_at", level.alias("level"), "table_name", message.alias("message"))
+
+
+def reconciliation_messages(reconciled: DataFrame, ledger: DataFrame) -> DataFrame:
+    """A line for each reconciled table, at the end of the run; what does not match is a warning."""
+    ended = ledger.agg(F.max("logged_at").alias("logged_at"))
+    level = F.when(F.col("mark").isin(MATCH, OPEN), "INFO").otherwise("WARNING").alias("level")
+    message = F.concat(F.col("mark"), F.lit(" "), F.col("dst_rows"), F.lit(" of "), F.col("src_rows"), F.lit(" rows")).alias("message")
+    return reconciled.join(F.broadcast(ended)).select("logged_at", level, "table_name", message)

@@ -32,6 +32,7 @@ def catalog_jobs(
     globs: bool = False,
     keys: Keys | None = None,
     order_by: Keys | None = None,
+    collation: str | None = None,
 ) -> list[TableJob]:
     """Jobs for the base tables of a namespace, or of the newest ``LATEST:`` match."""
     namespace = catalog.resolve_namespace(spark, source)
@@ -42,6 +43,7 @@ def catalog_jobs(
             spark.table(f"`{namespace}`.`{name}`"),
             tuple((keys or {}).get(name, ())),
             tuple((order_by or {}).get(name, ())),
+            collation=collation,
         )
         for name in names
     ]
@@ -103,10 +105,11 @@ def copy_database(
 ) -> tuple[str, Ledger]:
     """Copy tables into one namespace, named from the start of the run in the session's time zone.
 
-    ``registry`` loads registry records into that namespace first; its failure
-    does not stop the tables. Returns the namespace and the ledger.
+    ``registry`` loads registry records into that namespace first; its outcome is in the ledger, and its failure
+    does not stop the tables. At the end the loaded tables are counted and reconciled. Returns the namespace and the ledger.
     """
     namespace = run_namespace(spark, destination, started or local_now(spark), dated, folder)
     before = None if registry is None else lambda: registry(namespace)
-    ledger = copy_tables(spark, jobs, f"{folder}/{namespace}", namespace, before=before, **options)
+    options = {"reconciled": True, **options}
+    ledger = copy_tables(spark, jobs, f"{folder}/{namespace}", namespace, before=before, step="registry", **options)
     return namespace, ledger

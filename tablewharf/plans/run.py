@@ -10,13 +10,21 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewharf.operators.chunks import size_tier
-from tablewharf.operators.ledger import LEDGER_SCHEMA
+from tablewharf.operators.ledger import (
+    LEDGER_SCHEMA,
+    RECONCILED_SCHEMA,
+    current_status,
+    reconcile,
+    reconciliation_messages,
+    run_messages,
+)
 from tablewharf.plans.table_job import TableJob, TableResult, run_table
 from tablewharf.sinks.snapshots import publish
 
@@ -63,10 +71,40 @@ class Ledger:
         # they appended to one folder, so every entry has a folder of its own.
         row.write.mode("overwrite").parquet(f"{self.folder}/{self.run_id}/{table}-{attempt}-{status}")
 
-    def rows(self, all_runs: bool = False) -> DataFrame:
-        """Entries of this run, or of all runs that share the folder."""
+    def rows(self, all_runs: bool = False, steps: bool = False) -> DataFrame:
+        """Entries of this run, or of all runs that share the folder.
+
+        ``steps`` adds those of the steps before the tables; their attempt is 0.
+        """
         reader = self.spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "true")
-        return reader.parquet(self.folder if all_runs else f"{self.folder}/{self.run_id}")
+        rows = reader.parquet(self.folder if all_runs else f"{self.folder}/{self.run_id}")
+        return rows if steps else rows.where("attempt > 0")
+
+    def final(self) -> DataFrame:
+        """The last entry of each table of this run."""
+        return current_status(self.rows(), order_by=["attempt", "logged_at"])
+
+    def reconcile(self) -> None:
+        """Count what the completed tables hold now, compare it with what the run says it loaded, and keep the result."""
+        final = self.final()
+        left = "src_rows - coalesce(duplicates, 0) - coalesce(superseded, 0) - coalesce(quarantined, 0) AS total_rows"
+        counts = [
+            self.spark.read.parquet(row["location"]).agg(F.lit(row["table_name"]).alias("table_name"), F.count(F.lit(1)).alias("total_rows"))
+            for row in final.where("location IS NOT NULL").select("table_name", "location").collect()
+        ]
+        nothing = final.limit(0).select("table_name", F.lit(0).cast("bigint").alias("total_rows"))
+        destination = reduce(DataFrame.union, counts, nothing)
+        found = reconcile(final.selectExpr("table_name", left), destination, final)
+        found.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}-reconciled/{self.run_id}")
+
+    def reconciliation(self) -> DataFrame:
+        """``table_name, src_rows, dst_rows, status, mark``: rows that a table should hold, and those it was found to hold."""
+        return self.spark.read.schema(RECONCILED_SCHEMA).parquet(f"{self.folder}-reconciled/{self.run_id}")
+
+    def messages(self, reconciled: bool = False) -> DataFrame:
+        """What happened in this run, as log lines; with those of its reconciliation."""
+        lines = run_messages(self.rows(steps=True))
+        return lines.union(reconciliation_messages(self.reconciliation(), self.rows())) if reconciled else lines
 
 
 def copy_table(
@@ -120,21 +158,26 @@ def copy_tables(
     folder: str,
     namespace: str | None = None,
     at_once: int = 1,
-    before: Callable[[], None] | None = None,
+    before: Callable[[], object] | None = None,
+    step: str = "preparation",
+    reconciled: bool = False,
     **options,
 ) -> Ledger:
     """Copy all tables and return the ledger of the run.
 
     ``at_once`` tables share the cluster, so that small tables do not leave it
-    idle. ``before`` is a step such as a registry load whose failure is noted
-    without stopping the run.
+    idle. ``before`` is a step such as a registry load; its outcome goes to the ledger under the name ``step``, and
+    its failure does not stop the run. ``reconciled`` counts all loaded tables at the end.
     """
+    jobs = list(jobs)
     ledger = Ledger(spark, f"{folder}/ledger")
     if before is not None:
         try:
-            before()
+            done = before()
+            ledger.add(step, "empty" if done is False else "completed", 0, progress=100)
         except Exception as error:
-            log.warning("preparatory step failed, continuing: %s", error)
+            log.warning("%s failed, continuing: %s", step, error)
+            ledger.add(step, "failed", 0, progress=0, error=str(error))
 
     # A folder per run: versions that are still published stay untouched.
     target = f"{folder}/{ledger.run_id}"
@@ -148,4 +191,6 @@ def copy_tables(
     else:
         with ThreadPoolExecutor(max_workers=at_once) as pool:
             list(pool.map(inheritable_thread_target(spark)(one), jobs))
+    if reconciled and jobs:
+        ledger.reconcile()
     return ledger

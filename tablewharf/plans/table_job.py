@@ -29,7 +29,8 @@ class TableJob:
 
     ``infer_types`` replaces the numeric repairs by type recovery: text columns
     named like dates become timestamps, wholly numeric text becomes numbers; key
-    columns stay as they are. ``numeric_columns`` states the latter, as types by column or as
+    columns stay as they are. ``collation`` (such as ``UNICODE_CI``) compares text keys as a case-insensitive
+    destination would. ``numeric_columns`` states the latter, as types by column or as
     names of double columns, instead of proving it on the data.
 
     ``prepare`` completes the job when it runs, for example by landing its source, so
@@ -48,6 +49,7 @@ class TableJob:
     numeric_columns: Mapping[str, str] | tuple[str, ...] | None = None
     limits: dict[str, int] = field(default_factory=dict)
     prepare: Callable[[TableJob], TableJob] | None = None
+    collation: str | None = None
 
 
 @dataclass(frozen=True)
@@ -136,7 +138,8 @@ def _destination_key(job: TableJob, df: DataFrame) -> list[Column]:
     for name in job.key:
         dtype = df.schema[name].dataType
         same = X.is_integer(dtype) or dtype.typeName() == "string"
-        columns.append(ref(name) if same else X.canonical_text(name, dtype))
+        key = ref(name) if same else X.canonical_text(name, dtype)
+        columns.append(F.collate(key, job.collation) if job.collation and dtype.typeName() == "string" else key)
     return columns
 
 

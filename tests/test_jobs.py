@@ -243,3 +243,35 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
     assert TableResult(src_rows=0).dst_rows == 0
+
+
+def test_registry_step_is_part_of_the_run(spark, capsys, tmp_path):
+    """Its outcome is in the ledger and the messages; its failure stops no table."""
+    base = new_folder(spark, "cli")
+    source = snapshots.run_namespace(spark, "registry_source", datetime(2024, 1, 1), dated=False, folder=base)
+    rows = spark.createDataFrame([("A", 1), ("a", 2), ("b", 1)], "k string, o int")
+    snapshots.full_refresh(rows, source, "visits", f"{base}/source/visits")
+    records = tmp_path / "records.json"
+    records.write_text('{"record_id": "7", "hn": "x"}\n{"record_id": "8", "other": 1}\n')
+    common = ["--source", "registry_source", "--folder", base, "--static", "--destination", "registry_copy"]
+    common += ["--keys", '{"visits": ["k"]}', "--order-by", '{"visits": ["o"]}', "--collation", "UNICODE_CI"]
+    registry = ["--registry-records", str(records), "--registry-columns", "id, record_id, hn", "--registry-table", "reg"]
+    assert main([*common, *registry], spark) == 0
+    assert "[OK] visits 2 of 2" in capsys.readouterr().out
+    assert sorted((r.record_id, r.hn) for r in spark.table("registry_copy.reg").collect()) == [("7", "x"), ("8", None)]
+    assert sorted(map(tuple, spark.table("registry_copy.visits").collect())) == [("a", "2"), ("b", "1")]
+    registry[1] = str(tmp_path / "missing.json")
+    assert main([*common, *registry], spark) == 0
+    assert "ERROR registry failed:" in capsys.readouterr().out
+
+
+def test_reconciliation_sees_rows_that_went_missing(spark):
+    """A table that lost rows after it was loaded no longer matches what the run says."""
+    book = run.copy_tables(spark, [TableJob(n, spark.range(5)) for n in ("good", "bad")], new_folder(spark, "run"), reconciled=True)
+    assert {r.table_name: r.mark for r in book.reconciliation().collect()} == {"good": "[OK]", "bad": "[OK]"}
+    location = book.final().where("table_name = 'bad'").first()["location"]
+    snapshots.write_version(spark.range(4).selectExpr("cast(id as string) id"), location)
+    book.reconcile()
+    assert {r.table_name: (r.dst_rows, r.mark) for r in book.reconciliation().collect()} == {"good": (5, "[OK]"), "bad": (4, "[!]")}
+    lines = {(r.level, r.table_name, r.message) for r in book.messages(reconciled=True).where("message like '[%'").collect()}
+    assert lines == {("INFO", "good", "[OK] 5 of 5 rows"), ("WARNING", "bad", "[!] 4 of 5 rows")}
