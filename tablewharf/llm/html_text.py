@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import html
 import math
 import re
@@ -45,10 +46,16 @@ APART_WORDS = frozenset(
 )
 # Words that turn such a name into one of the layout around the article.
 LAYOUT_WORDS = frozenset("has with no without layout".split())
-NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+# Words of such names that speak for the article, and those that never do.
+CONTENT_WORDS = frozenset("article articles content main post entry story page body text blog news".split())
+NEVER_WORDS = frozenset("comment comments reply replies respond disqus discussion cookie cookies consent gdpr".split())
+NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 INVISIBLE = re.compile(r"""\s(?:hidden(?=[\s=>/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
+# A quote opens a value only after an equals sign, as in HTML's own rules; one that is never closed opens nothing.
 PARTS = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
+    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)(?:>|\Z)",
+    re.S,
 )
 WORDS = re.compile(r"\S+")
 
@@ -57,63 +64,145 @@ def _words(name: str) -> set[str]:
     return {w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w}
 
 
-def _names_apart(names: str) -> bool:
-    found = (_words(name) for name in names.split())
-    return any(APART_WORDS & words and not LAYOUT_WORDS & words for words in found)
+def _names_apart(names: str) -> tuple[bool, bool]:
+    """Whether names of a class, id or role tell a part apart from the article, and whether they may still wrap it."""
+    found = [_words(name) for name in names.split()]
+    apart = any(APART_WORDS & words and not LAYOUT_WORDS & words for words in found)
+    words = set().union(*found)
+    return apart, bool(CONTENT_WORDS & words) and not NEVER_WORDS & words
 
 
-def tokens(page: str, by_name: bool = True) -> Iterator[tuple[str, str, bool]]:
+# How an element stands to the article by its markup alone.
+OPEN, GONE, ASIDE, WRAPS = range(4)
+
+
+class _Stack:
+    """Open elements; each step costs the elements it closes, however deep the page is."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.numbers: list[int] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, name: str, number: int) -> None:
+        place = len(self.names)
+        self.names.append(name)
+        self.numbers.append(number)
+        self.places.setdefault(name, []).append(place)
+        if name in BLOCK:
+            self.blocks.append(place)
+
+    def close(self, name: str, past_blocks: bool) -> None:
+        """Close the innermost element of that name and all inside it; ``past_blocks`` tells whether blocks inside stop it."""
+        places = self.places.get(name)
+        if not places or (not past_blocks and self.blocks and self.blocks[-1] > places[-1]):
+            return
+        place = places[-1]
+        while len(self.names) > place:
+            self.places[self.names.pop()].pop()
+            self.numbers.pop()
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
+
+    def current(self) -> int:
+        return self.numbers[-1] if self.numbers else 0
+
+
+class _Elements:
+    """Elements in the order of their starts; number 0 is the page."""
+
+    def __init__(self) -> None:
+        self.parents, self.kinds, self.words, self.heads = [0], [OPEN], [0], [0]
+
+    def add(self, parent: int, kind: int, is_head: bool) -> int:
+        self.parents.append(parent)
+        self.kinds.append(kind)
+        self.words.append(0)
+        self.heads.append(int(is_head))
+        return len(self.parents) - 1
+
+    def apart(self) -> list[bool]:
+        """Which elements are never the article. One that is so by its name or kind, but holds most words of the page outside
+        of links, and a heading, an ``article`` or a fitting name besides, is a wrapper around it."""
+        words, heads = self.words[:], self.heads[:]
+        for number in range(len(words) - 1, 0, -1):
+            if self.kinds[number] != GONE:
+                words[self.parents[number]] += words[number]
+                heads[self.parents[number]] += heads[number]
+        found = [False] * len(words)
+        for number in range(1, len(words)):
+            kind, parent = self.kinds[number], self.parents[number]
+            own = kind == GONE or kind in (ASIDE, WRAPS) and not (2 * words[number] > words[0] and (kind == WRAPS or heads[number]))
+            found[number] = found[parent] or own
+        return found
+
+
+def _kind(name: str, rest: str, by_name: bool) -> int:
+    if name in HIDDEN or INVISIBLE.search(" " + rest):
+        return GONE
+    if name in APART:
+        return WRAPS if name in ("form", "header") else ASIDE
+    if by_name and rest and name not in ("body", "html", "main", "article"):
+        for a, b, c in NAMES.findall(rest):
+            apart, content = _names_apart(a or b or c)
+            if apart:
+                return WRAPS if content else ASIDE
+    return OPEN
+
+
+def tokens(page: str, by_name: bool = True) -> list[tuple[str, str, bool]]:
     """``(kind, value, apart)``: kind ``tag`` with its name, ``break`` at a block's edge,
     or ``text`` with decoded text; ``apart`` inside parts that are never the article, by their
     element or (``by_name``) by their class, id or role."""
-    stack: list[tuple[str, bool]] = []
-    apart = False
-    at = 0
+    found: list[tuple[str, str, int]] = []
+    stack, elements, linked, at = _Stack(), _Elements(), 0, 0
     while at < len(page):
-        found = PARTS.search(page, at)
-        text = page[at : found.start()] if found else page[at:]
+        part = PARTS.search(page, at)
+        text = page[at : part.start()] if part else page[at:]
         if text:
-            yield "text", html.unescape(text), apart
-        if not found:
-            return
-        at = found.end()
-        closing, name, rest = found.group(1), (found.group(2) or "").lower(), found.group(3) or ""
+            found.append(("text", html.unescape(text), stack.current()))
+            if not linked:
+                elements.words[stack.current()] += len(WORDS.findall(text))
+        if not part:
+            break
+        at = part.end()
+        closing, name, rest = part.group(1), (part.group(2) or "").lower(), part.group(3) or ""
         if not name:
             continue
         if closing:
             if name in BLOCK:
-                yield "break", name, apart
-            yield "tag", "/" + name, apart
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
-            if place >= 0 and not (name not in BLOCK and any(open_name in BLOCK for open_name, _ in stack[place + 1 :])):
-                del stack[place:]
-                apart = stack[-1][1] if stack else False
+                found.append(("break", name, stack.current()))
+            found.append(("tag", "/" + name, stack.current()))
+            linked = max(0, linked - 1) if name == "a" else linked
+            stack.close(name, past_blocks=name in BLOCK)
             continue
-        if name in CLOSES_P and any(open_name == "p" for open_name, _ in stack):
-            place = max(i for i, (open_name, _) in enumerate(stack) if open_name == "p")
-            if not any(n in BLOCK for n, _ in stack[place + 1 :]):
-                del stack[place:]
-                apart = stack[-1][1] if stack else False
+        if name in CLOSES_P:
+            stack.close("p", past_blocks=False)
         if name in BLOCK:
-            yield "break", name, apart
-        own = name in HIDDEN or name in APART or bool(INVISIBLE.search(" " + rest))
-        if by_name and not own and rest and name not in ("body", "html", "main", "article"):
-            own = any(_names_apart(a or b or c) for a, b, c in NAMES.findall(rest))
-        yield "tag", name, apart or own
+            found.append(("break", name, stack.current()))
+        number = elements.add(stack.current(), _kind(name, rest, by_name), name in ("h1", "article", "main"))
+        found.append(("tag", name, number))
+        linked += name == "a"
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
+            end = _raw_end(name).search(page, at)
             at = end.end()
-            continue
-        if name not in VOID and not rest.endswith("/"):
-            stack.append((name, apart or own))
-            apart = apart or own
+        elif name not in VOID and not rest.endswith("/"):
+            stack.push(name, number)
+    apart = elements.apart()
+    return [(kind, value, apart[number]) for kind, value, number in found]
+
+
+@functools.cache
+def _raw_end(name: str) -> re.Pattern[str]:
+    return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>|\Z", re.I)
 
 
 def label(page: str) -> tuple[Counter, Counter]:
     """Counts inside and outside the one ``article`` of a labelled page: words by their
     enclosing element, and tags. A page without exactly one article is no label."""
     inside, outside = Counter(), Counter()
-    found = list(tokens(page))
+    found = tokens(page)
     starts = [i for i, (kind, value, _) in enumerate(found) if kind == "tag" and value == "article"]
     ends = [i for i, (kind, value, _) in enumerate(found) if kind == "tag" and value == "/article"]
     if len(starts) != 1 or len(ends) != 1 or ends[0] < starts[0]:
@@ -202,14 +291,14 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     """The blocks of the best contiguous region, one per line.
 
     Words score by where they stand (1 unless learned otherwise), tags below zero; parts
-    that are never the article score nothing. The region of greatest total wins, the
+    that are never the article score nothing, unless they hold most of the page's words and so wrap it. The region of greatest total wins, the
     first one among equals. Where names of classes leave nothing, only elements count as such parts.
     """
     return _best_region(page or "", weights, True) or _best_region(page or "", weights, False)
 
 
 def _best_region(page: str, weights: dict[str, float], by_name: bool) -> str:
-    found = list(tokens(page, by_name))
+    found = tokens(page, by_name)
     best, best_range, total, start = 0.0, (0, 0), 0.0, 0
     for i, ((kind, _, apart), (feature, count)) in enumerate(zip(found, _features(found))):
         if feature is None or apart:
