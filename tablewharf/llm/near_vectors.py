@@ -20,7 +20,8 @@ SHARDS, SHARD_ROWS = 8, 32_768
 BLOCK_ROWS = 65_536
 # Links of a node, the beam to start with, and nodes that a beam opens at a time.
 DEGREE, BEAM, OPENED = 16, 32, 4
-# Share of sampled queries that must find all their true links, and how many with links to sample; beams widen until they do.
+# Share of audited vectors that must find all their true links, or beams widen; and how many queries, and planted vectors,
+# each task audits.
 RECALL, AUDITED = 0.98, 64
 CHUNK = 512
 
@@ -304,48 +305,40 @@ def _restored(points: np.ndarray, links: list[list[list[int]]]) -> SmallWorld:
     return SmallWorld(points, levels, layers)
 
 
+def _planted(exact: np.ndarray, cosine: float, rng: np.random.Generator) -> np.ndarray:
+    """Queries a little above the threshold from some stored vectors, at most ``AUDITED``."""
+    stored = exact[rng.choice(len(exact), min(AUDITED, len(exact)), replace=False)]
+    noise = rng.normal(size=stored.shape)
+    noise = units(noise - (noise * stored).sum(axis=1, keepdims=True) * stored)
+    near = rng.uniform(cosine, min(1.0, cosine + 0.02), size=(len(stored), 1))
+    return units(near * stored + np.sqrt(1 - near**2) * noise)
+
+
 def _audited(
     world: SmallWorld, queries: np.ndarray, exact: np.ndarray, cosine: float, own: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs; ``own`` is each query's own node, or -1.
+    """Candidate pairs from the graph; ``own`` is each query's own node, or -1.
 
-    Queries are drawn until ``AUDITED`` with few true links other than themselves are known, or all are. The
-    beam widens until the share ``RECALL`` of these, and of those drawn with many links, hang together
-    with every one of their links. Links found in drawing are candidates too, so that where all queries
-    were drawn those with few links miss nothing; no audit without true links passes for found.
+    The audit compares a bounded number of vectors with all nodes: ``AUDITED`` of the queries and as many planted
+    ones, which have a link even where the queries' links are rare. The beam widens until the share ``RECALL`` of
+    the audited vectors with links hang together with every one of theirs.
     """
     own = np.full(len(queries), -1) if own is None else own
-    order = np.random.default_rng(len(queries)).permutation(len(queries))
-    few, many, drawn = [np.empty((0, 2), dtype=np.int64)], [np.empty((0, 2), dtype=np.int64)], 0
-    known, crowded = 0, 0
-    while drawn < len(order) and known < AUDITED:
-        some = order[drawn : drawn + CHUNK]
-        drawn += len(some)
-        true = queries[some] @ exact.T >= cosine
-        inside = np.flatnonzero(own[some] >= 0)
-        true[inside, own[some][inside]] = False
-        counts = true.sum(axis=1)
-        for rows, pairs in ((np.flatnonzero((counts > 0) & (counts <= DEGREE)), few), (np.flatnonzero(counts > DEGREE)[: max(0, AUDITED - crowded)], many)):
-            row, node = np.nonzero(true[rows])
-            pairs.append(np.column_stack([some[rows][row], node]))
-        known += int(((counts > 0) & (counts <= DEGREE)).sum())
-        crowded += int((counts > DEGREE).sum())
-    few, many = np.concatenate(few), np.concatenate(many)
-    if drawn == len(order) and not len(many):
-        return few[:, 0], few[:, 1]
-    near, width = queries.astype(np.float32), BEAM
-    sample = np.unique(np.concatenate([few[:, 0], many[:, 0]]))
+    rng = np.random.default_rng(len(queries))
+    asked = rng.choice(len(queries), min(AUDITED, len(queries)), replace=False)
+    sample = np.concatenate([queries[asked], _planted(exact, cosine, rng)])
+    true = sample @ exact.T >= cosine
+    inside = np.flatnonzero(own[asked] >= 0)
+    true[inside, own[asked][inside]] = False
+    true = np.column_stack(np.nonzero(true))
+    near, width = sample.astype(np.float32), BEAM
     while True:
-        row, node = world.within(near[sample], cosine - 1e-4, width)
-        label = _labels(sample[row], node, len(queries), len(exact))
-        if all(_complete(pairs, label, len(queries)) >= RECALL for pairs in (few, many)):
-            row, node = world.within(near, cosine - 1e-4, width)
-            break
+        row, node = world.within(near, cosine - 1e-4, width)
+        if _complete(true, _labels(row, node, len(sample), len(exact)), len(sample)) >= RECALL:
+            return world.within(queries.astype(np.float32), cosine - 1e-4, width)
         if width >= len(exact):
-            row, node = _exhaustive(near, world.points, cosine - 1e-4)
-            break
+            return _exhaustive(queries.astype(np.float32), world.points, cosine - 1e-4)
         width *= 2
-    return np.concatenate([row, few[:, 0]]), np.concatenate([node, few[:, 1]])
 
 
 def _complete(true: np.ndarray, label: np.ndarray, queries: int) -> float:
@@ -389,23 +382,20 @@ def _together(query: np.ndarray, node: np.ndarray, queries: int, nodes: int) ->
 
 
 class _Forest:
-    """Union-find over names; keeps the links that join two trees."""
+    """Labels of trees over names; keeps the links that join two trees."""
 
     def __init__(self, names: np.ndarray) -> None:
-        self.root = {int(n): int(n) for n in names}
+        self.names = np.unique(names)
+        self.label = np.arange(len(self.names))
         self.kept: list[tuple[int, int]] = []
 
-    def _find(self, name: int) -> int:
-        while self.root[name] != name:
-            self.root[name] = self.root[self.root[name]]
-            name = self.root[name]
-        return name
-
     def add(self, left: np.ndarray, right: np.ndarray, links: np.ndarray) -> None:
-        for row, name in enumerate(left.tolist()):
-            linked = right[links[row]]
-            for other in linked.tolist():
-                a, b = self._find(name), self._find(other)
-                if a != b:
-                    self.root[max(a, b)] = min(a, b)
-                    self.kept.append((name, other))
+        places = np.searchsorted(self.names, right)
+        for row, own in enumerate(np.searchsorted(self.names, left)):
+            linked = places[links[row]]
+            trees, first = np.unique(self.label[linked], return_index=True)
+            other = trees != self.label[own]
+            if not other.any():
+                continue
+            self.kept += [(int(left[row]), int(self.names[place])) for place in linked[first[other]]]
+            self.label[np.isin(self.label, trees)] = self.label[own]
