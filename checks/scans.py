@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from checks import check
 from checks.data import KEYS, TABLES, all_tables, sql_counts, table
 from tablewharf.functions.names import snapshot_name
-from tablewharf.operators import chunks, quality, selection
-from tablewharf.sources import catalog, records
+from tablewharf.operators import chunks, keys, quality, selection
+from tablewharf.sources import catalog, jdbc, records
 from tablewharf.sources.files import read_table, row_counts
 
 
@@ -43,6 +44,10 @@ def a2_wide_page(spark, folder):
     return chunks.read_page(orders, "o_orderkey", 3000, 7500, rows_per_chunk=2000)
 
 
+_LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
 _LINE_ORDER = (
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
     "l_tax", "l_shipdate", "l_returnflag", "l_linestatus",
@@ -248,3 +253,70 @@ def c3_aligned_records(spark, folder):
 def c3_unmatched_fields(spark, folder):
     parsed = records.parse_records(table(spark, folder, "events"), "props", "k bigint, note string")
     return selection.unmatched_fields(parsed, _TARGET_COLUMNS)
+
+
+_KEY_TABLES = {
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+    "labels": ("doc_id", "quality", "toxic"),
+    "lineitem": _LINE_COLUMNS,
+}
+
+
+def _sql_key(name: str, columns: tuple[str, ...]) -> str:
+    whole = ", ".join(columns)
+    given = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return (
+        f"SELECT '{name}' AS t, [{', '.join(repr(c) for c in columns)}] AS cols,"
+        f" count(*) = count(DISTINCT {'(' + whole + ')' if len(columns) > 1 else whole}) AND bool_and({given}) AS k FROM {name}"
+    )
+
+
+_SQL_KEYS = " UNION ALL ".join(
+    _sql_key(name, some) for name, columns in _KEY_TABLES.items() for n in (1, 2, 3) for some in combinations(columns, n)
+)
+
+
+@check(
+    f"WITH c AS MATERIALIZED ({_SQL_KEYS}) SELECT t AS table_name, array_to_string(cols, ', ') AS key_columns FROM c"
+    " WHERE k AND NOT EXISTS (SELECT 1 FROM c AS d WHERE d.t = c.t AND d.k AND len(d.cols) < len(c.cols)"
+    " AND list_has_all(c.cols, d.cols))"
+)
+def a6_minimal_keys(spark, folder):
+    """All smallest keys of up to three columns in six tables, without any declaration."""
+    found = [
+        (name, ", ".join(key))
+        for name, columns in _KEY_TABLES.items()
+        for key in keys.minimal_keys(table(spark, folder, name).select(*columns))
+    ]
+    return spark.createDataFrame(found, "table_name string, key_columns string")
+
+
+@check(
+    "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CASE WHEN event_id % 100 = 99 THEN event_type END AS late,"
+    " CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR) ELSE event_type END AS mixed, value AS amount FROM events"
+)
+def a9_union_of_fields(spark, folder):
+    """Records whose fields are found in the data: one is in a hundredth of them, one holds numbers and texts."""
+    key = F.col("event_id")
+    fields = F.struct(
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        F.when(key % 100 == 99, F.col("event_type")).alias("late"),
+        F.when(key % 2 == 0, F.col("user_id")).alias("number"),
+        F.when(key % 2 == 1, F.col("event_type")).alias("text"),
+        F.col("value").alias("amount"),
+    )
+    written = F.regexp_replace(F.to_json(fields), '"(number|text)":', '"mixed":')
+    events = table(spark, folder, "events").select("event_id", written.alias("record"))
+    found = records.parse_records(events, "record")
+    return found.select("event_id", "k", "late", "mixed", F.col("amount").cast("double").alias("amount"))
+
+
+@check("SELECT * FROM conversations")
+def b3_range_predicates(spark, folder):
+    """The clauses of a text and composite key, as a database would get them: together they give every row once."""
+    rows, key = table(spark, folder, "conversations"), ("role", "conv_id", "turn")
+    clauses = jdbc.tuple_predicates(key, jdbc.key_starts(rows, key, 8))
+    return reduce(DataFrame.unionAll, [rows.where(clause) for clause in clauses])

@@ -108,7 +108,7 @@ def datetime_text(c: Column, dtype: T.DataType) -> Column:
     """
     if isinstance(dtype, T.DateType):
         return F.concat(c.cast("string"), F.lit(" 00:00:00"))
-    return F.left(c.cast("string"), F.lit(len("yyyy-MM-dd HH:mm:ss")))
+    return F.substring_index(c.cast("string"), ".", 1)
 
 
 def duration_text(seconds: Column) -> Column:
@@ -166,4 +166,6 @@ def canonical_text(name: str, dtype: T.DataType) -> Column:
         return duration_text(days + hours + minutes + F.extract(F.lit("SECOND"), c))
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
         return F.to_json(c)
+    if isinstance(dtype, T.BinaryType):  # bytes that are no text are written out
+        return F.when(F.is_valid_utf8(c.cast("string")), c.cast("string")).otherwise(F.concat(F.lit("0x"), F.hex(c)))
     return c.cast("string")

@@ -22,6 +22,14 @@ def _comparable(dtype: T.DataType) -> bool:
     return True
 
 
+def _holds_variant(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _holds_variant(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_holds_variant(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.VariantType)
+
+
 def comparable_values(df: DataFrame) -> DataFrame:
     """Maps and variants as JSON text, since rows that hold them have no order."""
     return df.select(
@@ -40,15 +48,20 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     """
     if all(_comparable(f.dataType) for f in df.schema.fields):
         return df.dropDuplicates()
-    # Set operations refuse maps while grouping accepts them.
-    copies = X.spare_name(df.columns, "copies")
-    grouped = df.groupBy(*[ref(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(copies))
-    return grouped.select(*[ref(c) for c in df.columns])
+    # Set operations refuse maps while grouping accepts them. Variants cannot be grouped: their JSON stands for them.
+    keys = [f"key{i}" for i in range(len(df.columns))]
+    values = [F.to_json(ref(f.name)) if _holds_variant(f.dataType) else ref(f.name) for f in df.schema.fields]
+    held = [F.any_value(ref(f.name)).alias(f"held{i}") for i, f in enumerate(df.schema.fields) if _holds_variant(f.dataType)]
+    grouped = df.groupBy(*[v.alias(k) for v, k in zip(values, keys)]).agg(F.count(F.lit(1)), *held)
+    return grouped.select(
+        *[F.col(f"held{i}" if _holds_variant(f.dataType) else f"key{i}").alias(f.name) for i, f in enumerate(df.schema.fields)]
+    )
 
 
 def duplicate_summary(df: DataFrame) -> DataFrame:
     """One row: rows, distinct rows and how many rows distinct removes."""
-    per_row = df.groupBy(*[ref(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("copies"))
+    values = [F.to_json(ref(f.name)).alias(f.name) if _holds_variant(f.dataType) else ref(f.name) for f in df.schema.fields]
+    per_row = df.groupBy(*values).agg(F.count(F.lit(1)).alias("copies"))
     return per_row.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("rows_in"),
         F.count(F.lit(1)).alias("rows_out"),

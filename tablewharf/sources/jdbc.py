@@ -11,7 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewharf.functions.text import ref
 from tablewharf.operators.chunks import size_tier
+from tablewharf.operators.ordering import with_prefix
 
 
 def _quoted(name: str, quote: str) -> str:
@@ -91,6 +93,57 @@ def range_predicates(
     return [first, *middle, f"{column} >= {cuts[-1]}"]
 
 
+def tuple_predicates(key: Sequence[str], starts: Sequence[Sequence[object]], quote: str = "`") -> list[str]:
+    """WHERE clauses that deal every row into exactly one range of a key of several columns, of texts or numbers.
+
+    ``starts`` are key values, as from :func:`key_starts`. A range holds the rows from its own start up to
+    the next one, column by column; the first holds all before, and rows with a NULL in the key. Each clause says "from this
+    start on, but not from the next", and the comparison is never unknown, so ranges adjoin without gaps
+    whatever the order of texts in the database is, as long as it is one order.
+    """
+
+    def literal(value: object) -> str:
+        if isinstance(value, bool) or not isinstance(value, (int, float)):
+            return "'" + str(value).replace("'", "''") + "'"
+        return str(value)
+
+    columns = [_quoted(k, quote) for k in key]
+
+    def from_on(start: Sequence[object]) -> str:
+        parts = []
+        for i, (column, value) in enumerate(zip(columns, start)):
+            equal = [f"{c} = {literal(v)}" for c, v in zip(columns[:i], start)]
+            sign = ">=" if i == len(columns) - 1 else ">"
+            parts.append(" AND ".join([*equal, f"{column} {sign} {literal(value)}"]))
+        given = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+        return f"({given} AND ({' OR '.join(f'({p})' for p in parts)}))"
+
+    whole = [from_on(s) for s in starts]
+    if not whole:
+        return ["1 = 1"]
+    between = [f"{a} AND NOT {b}" for a, b in zip(whole, whole[1:])]
+    return [f"NOT {whole[0]}", *between, whole[-1]]
+
+
+def key_starts(keys: DataFrame, key: Sequence[str], ranges: int, sample: int = 1000) -> list[tuple]:
+    """Key values at which about equal ranges start, from a sample of ``sample`` keys for each range.
+
+    The sample is drawn by a hash of the key and sorted by Spark; only the starts come to the driver.
+    """
+    wanted = keys.select(*[ref(k).alias(f"k{i}") for i, k in enumerate(key)]).dropna()
+    rows = wanted.count()
+    if ranges <= 1 or rows == 0:
+        return []
+    share = min(1.0, ranges * sample / rows)
+    names = wanted.columns
+    drawn = wanted.where(F.pmod(F.xxhash64(*names), F.lit(1 << 30)) <= int(share * (1 << 30))).distinct()
+    placed = with_prefix(drawn, names, [], "key-starts")
+    total = placed.count()
+    step = max(1, -(-total // ranges))
+    found = placed.where((F.col("row_index") > 0) & (F.col("row_index") % step == 0)).orderBy("row_index")
+    return [tuple(r[n] for n in names) for r in found.collect()]
+
+
 def read_ranges(
     spark: SparkSession, url: str, table: str, predicates: list[str], properties: Mapping[str, str]
 ) -> DataFrame:
