@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewharf.llm.common import store
+from tablewharf.llm.shards import matrix, meet, table_of
 from tablewharf.llm.vector_search import usable, whole_components
 
 POSITIVES = 5
@@ -28,6 +29,7 @@ SORT_ANCHORS = 2_048
 # A key: number of the anchor, its id, descending score, 0 for positives and 1 for negatives, id of the other row.
 KEY = struct.Struct(">QQQBQ")
 BIAS = 1 << 63
+Answer = Callable[["Shard", np.ndarray, pa.RecordBatch], Iterator[tuple]]
 POSITIVE, NEGATIVE = 0, 1
 
 
@@ -139,14 +141,14 @@ def hard_negatives(
     shards = max(1, -(-rows.count() // SHARD_ROWS))
     anchors = rows.where("a")
 
-    found = _meet(rows, anchors, shards, _positives_in(positives), "number long, id long, score long, other long")
+    found = _meet(rows, anchors, shards, _positives_in(positives), ["number", "id", "score", "other"], [pa.int64()] * 4)
     place = F.row_number().over(Window.partitionBy("number").orderBy(F.desc("score"), "other"))
     first = found.withColumn("place", place).where(F.col("place") <= positives)  # Spark cuts to the best before the shuffle, too
     best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("other").alias("p"))))
     known = store(first.groupBy("number", "id").agg(best.alias("best")), "mining-positives")
     windows = known.select("number", F.transform("best", lambda b: -b["s"]).alias("scores"))
     with_windows = anchors.join(windows, "number")
-    others = _meet(rows, with_windows, shards, _negatives_in(negatives, low, high), "key binary")
+    others = _meet(rows, with_windows, shards, _negatives_in(negatives, low, high), ["key"], [pa.binary()])
 
     sort_tasks = max(1, -(-anchors.count() // SORT_ANCHORS), shards)
     opening = known.rdd.flatMap(lambda r: [packed_key(r["number"], r["id"], -b["s"], POSITIVE, b["p"]) for b in r["best"]])
@@ -158,59 +160,26 @@ def hard_negatives(
     return rows.sparkSession.createDataFrame(mining, T.StructType([T.StructField(n, t) for n, t in names]))
 
 
-def _meet(rows: DataFrame, anchors: DataFrame, shards: int, ask, schema: str) -> DataFrame:
-    """Every anchor meets every shard of its dimension: ``ask(shard, scores of some anchors, these anchors)``."""
+def _meet(rows: DataFrame, anchors: DataFrame, shards: int, answer: Answer, names: list[str], kinds: list[pa.DataType]) -> DataFrame:
+    """Every anchor meets every shard of its dimension: ``answer(shard, scores of some anchors, these anchors)``."""
+
+    def hold(table: pa.Table, dim: int) -> Shard:
+        return Shard(matrix(table.column("v"), dim), table.column("vec_id").to_numpy(), table.column("label").to_pylist())
+
+    def ask(shard: Shard, batch: pa.RecordBatch, dim: int) -> Iterator[pa.RecordBatch]:
+        for at in range(0, batch.num_rows, ANCHOR_ROWS):
+            some = batch.slice(at, ANCHOR_ROWS)
+            yield table_of(list(answer(shard, shard.scores(matrix(some.column("v"), dim)), some)), names, kinds)
+
     dealt = F.pmod(F.xxhash64("number"), F.lit(shards)).cast("int").alias("shard")
-    none = F.lit(None).cast("array<long>").alias("scores")
-    known = "scores" in anchors.columns
-    columns = ["dim", "number", "vec_id", "v", "label"]
-    candidates = rows.select(dealt, F.lit(0).alias("turn"), *columns, none)
     every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    asking = anchors.select(every, F.lit(1).alias("turn"), *columns, "scores" if known else none)
-    both = candidates.unionByName(asking).repartition(shards, "dim", "shard").sortWithinPartitions("dim", "shard", "turn")
-    names = [part.split()[0] for part in schema.split(", ")]
-    kinds = [pa.binary() if part.endswith("binary") else pa.int64() for part in schema.split(", ")]
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, waiting, shard = None, [], None
-        for batch in batches:
-            for group, turn, part in _runs(batch):
-                if group != now:
-                    now, waiting, shard = group, [], None
-                if turn == 0:
-                    waiting.append(part)
-                    continue
-                if not waiting:
-                    continue
-                if shard is None:
-                    table = pa.Table.from_batches(waiting)
-                    shard = Shard(_matrix(table.column("v"), now[0]), table.column("vec_id").to_numpy(), table.column("label").to_pylist())
-                for at in range(0, part.num_rows, ANCHOR_ROWS):
-                    some = part.slice(at, ANCHOR_ROWS)
-                    answers = list(ask(shard, shard.scores(_matrix(some.column("v"), now[0])), some))
-                    columns = list(zip(*answers)) if answers else [[] for _ in names]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-    return both.mapInArrow(meet, schema)
-
-
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], int, pa.RecordBatch]]:
-    """Parts of a batch with the same dimension, shard and turn."""
-    if not batch.num_rows:
-        return
-    dims, shards, turns = (batch.column(c).to_numpy() for c in ("dim", "shard", "turn"))
-    change = (np.diff(dims) != 0) | (np.diff(shards) != 0) | (np.diff(turns) != 0)
-    cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts, cuts[1:]):
-        yield (int(dims[a]), int(shards[a])), int(turns[a]), batch.slice(a, b - a)
-
-
-def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
-    parts = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
-    return np.concatenate([part.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) for part in parts])
-
-
-def _positives_in(top: int):
+    columns = ["dim", "number", "vec_id", "v", "label"]
+    asking = anchors.select(every, *columns, *[c for c in anchors.columns if c == "scores"])
+    schema = ", ".join(f"{n} {'binary' if k == pa.binary() else 'long'}" for n, k in zip(names, kinds))
+    return meet(rows.select(dealt, *columns), asking, shards, hold, ask, schema)
+
+
+def _positives_in(top: int) -> Answer:
     def ask(shard: Shard, scores: np.ndarray, anchors: pa.RecordBatch) -> Iterator[tuple]:
         columns = (anchors.column(c).to_pylist() for c in ("number", "vec_id", "label"))
         for row, number, own, label in zip(scores, *columns):
@@ -220,7 +189,7 @@ def _positives_in(top: int):
     return ask
 
 
-def _negatives_in(top: int, low: int, high: int):
+def _negatives_in(top: int, low: int, high: int) -> Answer:
     def ask(shard: Shard, scores: np.ndarray, anchors: pa.RecordBatch) -> Iterator[tuple]:
         columns = (anchors.column(c).to_pylist() for c in ("number", "vec_id", "label", "scores"))
         for row, number, own, label, known in zip(scores, *columns):

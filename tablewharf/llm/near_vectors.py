@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewharf.llm.common import components, store
-from tablewharf.llm.vector_search import _matrix, usable
+from tablewharf.llm.shards import matrix
+from tablewharf.llm.vector_search import usable
 
 COSINE = 0.95
 # At least so many shards; more where a shard would hold more rows than this.
@@ -245,7 +246,7 @@ def _built(dealt: DataFrame) -> DataFrame:
         order = np.argsort(names)
         table = table.take(pa.array(order))
         levels = level_of(names[order])
-        world = SmallWorld(units(_matrix(table.column("v"))).astype(np.float32), levels)
+        world = SmallWorld(units(matrix(table.column("v"))).astype(np.float32), levels)
         links = [[world.links[k][row].tolist() for k in range(levels[row] + 1)] for row in range(len(order))]
         kept = table.select(["dim", "shard", "c", "n", "v"])
         return kept.append_column("links", pa.array(links, pa.list_(pa.list_(pa.int32()))))
@@ -265,7 +266,7 @@ def _searched(graphs: DataFrame, asked: DataFrame, cosine: float) -> DataFrame:
             left, right = (side.take(pa.array(np.argsort(side.column("c").to_numpy()))) for side in (left, right))
             names = right.column("c").to_numpy()
             nodes, weights = left.column("c").to_numpy(), left.column("n").to_numpy()
-            exact, queries = units(_matrix(left.column("v"))), units(_matrix(right.column("v")))
+            exact, queries = units(matrix(left.column("v"))), units(matrix(right.column("v")))
             world = _restored(exact.astype(np.float32), left.column("links").to_pylist())
             place = np.minimum(np.searchsorted(nodes, names), len(nodes) - 1)
             hits = _audited(world, queries, exact, cosine, np.where(nodes[place] == names, place, -1))

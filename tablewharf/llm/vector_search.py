@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewharf.llm.common import store
+from tablewharf.llm.shards import matrix, meet, table_of
 
 TOP = 5
-# Vectors in a shard and queries in a block: what one task holds.
+# Vectors in a shard, which one task holds, and queries that search it at a time.
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 2_048
 LEAF = 256
@@ -122,10 +123,9 @@ def top_k(vectors: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
     """``query_id, rank, vec_id, score`` of every query's ``top`` best other vectors.
 
     Components become ``floor(256 * x)`` and scores are exact integer inner products; ties go
-    to the smaller id. All vectors are dealt into shards by a hash of the id, each with a KD-tree; queries
-    come in blocks, and every block meets every shard, in a task that holds one of each. A first round searches
-    one shard for each block; its kth score is the floor with which the second round prunes
-    the other shards.
+    to the smaller id. All vectors are dealt into shards by a hash of the id, each with a KD-tree, once; queries
+    come by in batches. In a first round each query visits one shard; its kth score there is the floor with
+    which the second round prunes the other shards.
 
     Vectors that are null, empty or hold null or non-finite components take no part, nor do null ids.
     Vectors compare only with those of the same length. Rows that repeat an id and vector count once; of rows that
@@ -139,52 +139,39 @@ def top_k(vectors: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
     rows = store(rows.withColumn("dim", F.size("v")), "search-rows")
     count = rows.count()
     shards = max(1, -(-count // SHARD_ROWS))
-    blocks = max(1, -(-rows.where("q").count() // BLOCK_ROWS))
     salted = F.xxhash64("vec_id", F.lit(7))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    asked = rows.where("q").withColumn("block", F.pmod(salted, F.lit(blocks)).cast("int"))
-    home = F.pmod(F.col("block"), F.lit(shards))
+    asked = rows.where("q").withColumn("home", F.pmod(salted, F.lit(shards)).cast("int"))
 
-    all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    candidates = dealt.select("dim", "shard", all_blocks.alias("block"), "vec_id", "v")
-    first = asked.select("dim", home.cast("int").alias("shard"), "block", "vec_id", "v", F.lit(float("-inf")).alias("floor"))
-    near = store(_searched(candidates.where(F.col("shard") == home), first, top), "search-first")
+    candidates = dealt.select("dim", "shard", "vec_id", "v")
+    first = asked.select("dim", F.col("home").alias("shard"), "vec_id", "v", F.lit(float("-inf")).alias("floor"))
+    near = store(_searched(candidates, first, shards, top), "search-first")
     if shards == 1:
         return _ranked(near, top)
     kth = near.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
     floor = F.when(F.col("n") >= top, F.col("kth").cast("double")).otherwise(float("-inf"))
-    again = asked.join(kth.select("vec_id", floor.alias("floor")), "vec_id", "left").select(
-        "dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "block", "vec_id", "v",
-        F.coalesce("floor", F.lit(float("-inf"))).alias("floor"),
-    )
-    far = _searched(candidates.where(F.col("shard") != home), again.where(F.col("shard") != home), top)
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    again = asked.join(kth.select("vec_id", floor.alias("floor")), "vec_id", "left")
+    again = again.select("dim", every, "home", "vec_id", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    far = _searched(candidates, again.where("shard <> home").drop("home"), shards, top)
     return _ranked(near.union(far), top)
 
 
-def _searched(candidates: DataFrame, asked: DataFrame, top: int) -> DataFrame:
-    def search(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[tuple[int, int, int]] = []
-        if left.num_rows and right.num_rows:
-            points = _matrix(left.column("v"))
-            tree = KdTree(points, left.column("vec_id").to_numpy())
-            queries, own = _matrix(right.column("v")), right.column("vec_id").to_numpy()
-            results = tree.search(queries, own, right.column("floor").to_numpy(), top)
-            found = [(q, i, s) for q, hits in zip(own.tolist(), results) for s, i in hits]
-        columns = list(zip(*found)) if found else [[], [], []]
-        names = ["query_id", "vec_id", "score"]
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
-
-    keys = ["dim", "shard", "block"]
-    asked = asked.select([F.col(c).alias(c) for c in asked.columns])  # both sides come from one table
-    return candidates.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(
-        search, "query_id long, vec_id long, score long"
-    )
+def _searched(candidates: DataFrame, asked: DataFrame, shards: int, top: int) -> DataFrame:
+    """``query_id, vec_id, score`` of the best that each query finds in the shards it visits; each shard builds its tree once."""
+    names, kinds = ["query_id", "vec_id", "score"], [pa.int64()] * 3
+
+    def hold(table: pa.Table, dim: int) -> KdTree:
+        return KdTree(matrix(table.column("v"), dim), table.column("vec_id").to_numpy())
 
+    def ask(tree: KdTree, batch: pa.RecordBatch, dim: int) -> Iterator[pa.RecordBatch]:
+        for at in range(0, batch.num_rows, BLOCK_ROWS):
+            some = batch.slice(at, BLOCK_ROWS)
+            own = some.column("vec_id").to_numpy()
+            hits = tree.search(matrix(some.column("v"), dim), own, some.column("floor").to_numpy(), top)
+            yield table_of([(q, i, s) for q, found in zip(own.tolist(), hits) for s, i in found], names, kinds)
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    lists = column.combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    return lists.flatten().to_numpy().reshape(len(lists), -1)
+    return meet(candidates, asked, shards, hold, ask, "query_id long, vec_id long, score long")
 
 
 def _ranked(found: DataFrame, top: int) -> DataFrame:
