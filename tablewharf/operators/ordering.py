@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from tablewharf.sinks.workspace import new_folder
 
 
-def store(rows: DataFrame, purpose: str) -> DataFrame:
+def store(rows: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """Write rows to the shared folder and read them back, which cuts lineage and
-    survives lost executors."""
+    survives lost executors. ``compression`` replaces the session's codec, for texts that take much room."""
     folder = new_folder(rows.sparkSession, purpose)
-    rows.write.parquet(folder)
+    writer = rows.write if compression is None else rows.write.option("compression", compression)
+    writer.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
