@@ -221,7 +221,7 @@ def near_duplicates(
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
     members = store(members.join(shared, "key"), "near-buckets")
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
-    texts = store(texts.join(members.select("id").distinct(), "id", "left_semi"), "near-texts")
+    texts = store(texts.join(members.select("id").distinct(), "id", "left_semi"), "near-texts", "zstd")
 
     close = F.lit(100) * F.least("n", "centre_n") >= F.lit(similarity) * F.greatest("n", "centre_n")
     pairs = _starred(members).where(close).select("id", "centre").distinct()

@@ -210,7 +210,7 @@ def repeated_passages(
     asked = judged.where("pieces > 1").select(F.col("holder").alias("id"), F.struct("piece", crowded).alias("ask"))
     asked = asked.groupBy("id").agg(F.collect_list("ask").alias("asks"))
     holders = _joined(texts.withColumn("check", F.xxhash64(F.lit(1), "data")), asked, "inner").dropDuplicates(["id", "check"])
-    cut = store(_cut(holders, length, gram, secret), "suffix-pieces")
+    cut = store(_cut(holders, length, gram, secret), "suffix-pieces", "zstd")
     calm = cut.where("data is not null").repartition("anchor").sortWithinPartitions("anchor")
     part = _compared(calm, length)
     strings = cut.where("data is null")
