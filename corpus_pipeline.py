@@ -28,7 +28,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def numbered(docs: DataFrame, purpose: str) -> DataFrame:
     """The rows as ``row``, each with a number ``row_id`` that is stored, since ids may be null or repeat."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return store(rows.withColumn("row_id", F.monotonically_increasing_id()), purpose)
+    return store(rows.withColumn("row_id", F.monotonically_increasing_id()), purpose, "zstd")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
