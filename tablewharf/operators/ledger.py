@@ -40,11 +40,16 @@ def current_status(
 def with_spans(
     ledger: DataFrame, key: Sequence[str] = ("table_name",), order_by: Sequence[str] = ("logged_at",)
 ) -> DataFrame:
-    """Newest row of each table, with the times of its first and last row."""
-    spans = ledger.groupBy(*key).agg(
-        F.min("logged_at").alias("started_at"), F.max("logged_at").alias("ended_at")
+    """Newest row of each table, with the times of its first and last row, from one aggregate."""
+    rest = [c for c in ledger.columns if c not in (*key, *order_by)]
+    ordered = [*order_by, *rest]
+    grouped = ledger.groupBy(*key).agg(
+        F.max(F.struct(*ordered)).alias("newest"),
+        F.min("logged_at").alias("started_at"),
+        F.max("logged_at").alias("ended_at"),
     )
-    return current_status(ledger, key, order_by).join(spans, list(key))
+    columns = [F.col("newest").getField(c).alias(c) for c in ledger.columns if c not in key]
+    return grouped.select(*key, *columns, "started_at", "ended_at")
 
 
 def progress_view(status: DataFrame, only: str | None = None) -> DataFrame:
