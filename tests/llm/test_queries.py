@@ -221,3 +221,14 @@ def test_language_threshold_spares_short_texts(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     predicted = language.identify(docs, language.learn(docs)).where("lang_pred <> 'und'")
     assert predicted.where(predicted["score"] < corpus_pipeline.LEAST_SCORE).isEmpty()
+
+
+def test_pipeline_keeps_documents_that_nothing_was_learned_about(spark, small):
+    """Without labels no document is rejected; columns of any name pass through."""
+    rows = [(i, f"words of document {i}", None, "s", 10, i) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `a-b c` int")
+    kept = corpus_pipeline.known_language(spark, docs, small)
+    assert kept.columns == docs.columns and kept.count() == 20
+    labelled = docs.union(spark.createDataFrame([(30 + i, "der die das und ist nicht ein haus", "de", "s", 9, 0) for i in range(8)], docs.schema))
+    kept = corpus_pipeline.known_language(spark, labelled.union(spark.createDataFrame([(50, "12 34", None, "s", 5, 1)], docs.schema)), small)
+    assert kept.columns == docs.columns and kept.where("doc_id = 50").isEmpty() and kept.where("doc_id >= 30").count() == 8
