@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +12,26 @@ from tablewharf.llm import language, minhash, mixing, packing, suffix_index
 from tablewharf.llm.common import ship, store, table
 from tablewharf.llm.queries import tokenizer_path
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+# Rows that go to a Python worker at a time: documents are long, and a batch is held on both sides, on its way there and back.
+BATCH_ROWS = "1000"
 # A text whose best cosine is below this resembles no language that was learned.
 LEAST_SCORE = 0.05
 
 
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage in a session whose Arrow batches hold ``BATCH_ROWS`` rows."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@in_small_batches
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose text resembles a language that the labels teach; without labels, keep all."""
     ship(spark)
@@ -31,6 +50,7 @@ def numbered(docs: DataFrame, purpose: str) -> DataFrame:
     return store(rows.withColumn("row_id", F.monotonically_increasing_id()), purpose, "zstd")
 
 
+@in_small_batches
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of near duplicates (5 words, similarity 0.8): that of the first id, null last.
 
@@ -45,6 +65,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return rows.join(first, "row_id", "left_semi").select("row.*")
 
 
+@in_small_batches
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages of 200 bytes or more that stand anywhere else; documents of which nothing is left go."""
     found = suffix_index.repeated_passages(docs, whole_characters=True)
@@ -54,6 +75,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return found.where((F.length("kept") > 0) | (F.col("n_bytes") == 0)).select(columns)
 
 
+@in_small_batches
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or drop documents so that sources have their target sizes; each row has its own number of copies."""
     rows = numbered(docs, "mixed-rows")
@@ -64,6 +86,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return repeated.select("row.*")
 
 
+@in_small_batches
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents in sequences of 2048."""
     return packing.pack(docs, tokenizer_path())
