@@ -129,7 +129,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, archive_bytes:
     response. Null urls have no target; signs of a url that no URI holds are percent-encoded.
     Other columns are ignored. An empty table gives a folder without records.
 
-    An archive is a partition of about ``archive_bytes``: a dictionary, trained on its first records, leads it in a
+    An archive is a partition of at most about ``archive_bytes`` (Spark deals small tables to its usual number of shuffle partitions): a dictionary, trained on its first records, leads it in a
     skippable frame, and each record is a frame that decodes with it alone. Rows are dealt by
     payload and a hash of id and url, so one payload that fills a third of the table spreads over many archives. The
     payloads move in one shuffle. Spark's text writer commits the files, so lost tasks leave nothing behind.
