@@ -44,6 +44,33 @@ def test_one_pass_for_each_level(spark, monkeypatch):
     assert len(passes) == 2  # columns; then only sets that can have enough values
 
 
+@pytest.mark.parametrize("slice_rows", [40, 1 << 20])
+def test_minimal_keys_of_large_tables(spark, monkeypatch, slice_rows):
+    """Sets of one column, of two and of three, some spoilt by a single pair of rows outside or inside of a slice."""
+    monkeypatch.setattr(keys, "SLICE_ROWS", slice_rows)
+    rng = random.Random(5)
+    rows = [(i // 10, str(i % 10), rng.choice([0.0, -0.0, 2.5]), rng.randint(0, 400), rng.randint(0, 10**9), i % 7) for i in range(1000)]
+    for at in (3, 500, 800):
+        rows.append((rows[at][0], rows[at][1], 9.5 + at, 1000 + at, rows[at][4], 8))
+    rows.append((rows[7][0], "x", 0.0, 77, rows[8][4], 9))
+    frame = spark.createDataFrame(rows, "`a.b` int, s string, n double, c int, x long, m int")
+    expected = plain_keys(frame.columns, rows, 3)
+    assert {len(k) for k in expected} >= {2, 3}
+    assert keys.minimal_keys(frame, 3) == expected
+    assert keys.minimal_keys(frame.union(frame.limit(1)), 3) == []
+
+
+def test_few_sets_are_shuffled_as_whole_tables(spark, monkeypatch):
+    """Rows are repeated for the hashes of few parts, not for each set that may be a key."""
+    monkeypatch.setattr(keys, "SLICE_ROWS", 100)
+    numbers = [f"pmod(xxhash64(id), {k}) AS c{k}" for k in range(2, 9)]
+    frame = spark.range(5000).selectExpr("id div 2 AS a", "id % 2500 * 7 AS b", *numbers)
+    bases, proven = [], keys._proven
+    monkeypatch.setattr(keys, "_proven", lambda df, sets, parts: bases.append(len(set(parts))) or proven(df, sets, parts))
+    assert keys.minimal_keys(frame, 3) == plain_keys(frame.columns, [tuple(r) for r in frame.collect()], 3)
+    assert sum(bases) <= 12
+
+
 def test_union_of_fields(spark):
     texts = ['{"a": 1, "b c": "x", "n": {"q": 1.5}, "z": null}', '{"a": 2, "late": true, "arr": [1]}', "bad", None, "[1]", "3"]
     texts += ['{"a": 3, "m": 1}', '{"m": "t", "big": 123456789012345678901, "VOID": 1, "e": {}}']
