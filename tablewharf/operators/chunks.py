@@ -22,6 +22,8 @@ SIZE_TIERS = (
     (1_000_000, "large", 5000),
     (None, "huge", 5000),
 )
+# Bytes of values, about, that a range of rows holds at most.
+CELL_BYTES = 64 << 20
 
 
 def size_tier(total_rows: int) -> dict:
@@ -223,16 +225,33 @@ def read_page(
     return page.drop(place).orderBy(key_column)
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values, about: texts by their length, nested values by that of their text, others as 8."""
+    total = F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        value = ref(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = value.cast("string")
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.lit(8)
+            continue
+        total = total + F.coalesce(F.octet_length(value), F.lit(0))
+    return total
+
+
 def with_cells(df: DataFrame, key: str, rows_per_cell: int, name: str = "cell") -> DataFrame:
-    """Add a struct that orders like a unique ``key`` and groups few rows each.
+    """Add a struct that orders like a unique ``key`` and groups few rows each, of few bytes.
 
-    Ranges of equal width come first. Where values cluster, a range may hold far
-    more rows than meant; such a range is cut again within its own bounds, until
-    none is too full. Evenly spread keys need no second cut.
+    Ranges of equal width come first. Where values cluster or rows are long, a range may hold far
+    more than ``rows_per_cell`` rows or ``CELL_BYTES``; such a range is cut again within its own bounds, until
+    none is too full. Evenly spread keys of rows of like length need no second cut. Rows of one key stay together.
     """
-    low, high, rows = key_bounds(df, key)
-    limit = rows_per_cell
-    cells = max(1, -(-rows // limit))
+    key_as_number = key_number(df, key)
+    low, high, rows, held = df.agg(
+        F.min(key_as_number), F.max(key_as_number), F.count(F.lit(1)), F.sum(_row_bytes(df))
+    ).first()
+    low, high, limit = low or 0, high or 0, rows_per_cell
+    cells = max(1, -(-rows // limit), -(-(held or 0) // CELL_BYTES))
     taken = list(df.columns)
     number, level = X.spare_name(taken, "key_number"), X.spare_name(taken, "level")
     levels = [f"{level}0"]
@@ -241,19 +260,21 @@ def with_cells(df: DataFrame, key: str, rows_per_cell: int, name: str = "cell")
     )
     while cells > 1:
         per_cell = cut.groupBy(*levels).agg(
-            F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi")
+            F.count(F.lit(1)).alias("n"), F.min(number).alias("lo"), F.max(number).alias("hi"), F.sum(_row_bytes(df)).alias("bytes")
         )
-        full = per_cell.where((F.col("n") > 2 * limit) & (F.col("hi") > F.col("lo")))
+        too_full = (F.col("n") > 2 * limit) | (F.col("bytes") > 2 * CELL_BYTES)
+        full = per_cell.where(too_full & (F.col("hi") > F.col("lo")))
         if full.isEmpty():
             break
-        parts = F.call_function("div", F.col("n"), F.lit(limit)) + 1
+        parts = F.greatest(*[F.call_function("div", F.col(c), F.lit(most)) for c, most in (("n", limit), ("bytes", CELL_BYTES))]) + 1
         start, width = X.spare_name(taken, "cell_start"), X.spare_name(taken, "cell_width")
         bounds = full.select(
             *levels,
             F.col("lo").alias(start),
             (F.call_function("div", F.col("hi") - F.col("lo"), parts) + 1).alias(width),
         )
-        cut = cut.join(bounds, levels, "left")
+        # One row for each range that is too full: rows need not meet by range to be cut.
+        cut = cut.join(F.broadcast(bounds), levels, "left")
         finer = F.call_function("div", ref(number) - ref(start), ref(width))
         levels = [*levels, f"{level}{len(levels)}"]
         cut = cut.withColumn(levels[-1], F.coalesce(finer, F.lit(0).cast("bigint")))

@@ -158,6 +158,17 @@ def test_evenly_spread_keys_are_cut_once(spark):
     assert "Join" not in cells._jdf.queryExecution().executedPlan().toString()
 
 
+def test_cells_of_long_rows(spark, monkeypatch):
+    """A range holds few bytes, also where few rows have most of them."""
+    monkeypatch.setattr(chunks, "CELL_BYTES", 40_000, raising=False)
+    df = spark.createDataFrame([(i, "x" * (10_000 if 20 <= i < 40 else 10)) for i in range(60)], "id long, s string")
+    cells = chunks.with_cells(df, "id", rows_per_cell=1000)
+    held = cells.groupBy("cell").agg(F.count("*").alias("n"), F.sum(F.octet_length("s")).alias("b")).collect()
+    assert sum(r.n for r in held) == 60 and max(r.b for r in held) <= 80_000
+    nested = df.where("id < 20").select("id", F.array("s").alias("a"), F.struct("s").alias("t"))
+    assert chunks.with_cells(nested, "id", rows_per_cell=1000).select("cell").distinct().count() == 1
+
+
 def test_dense_ids(spark):
     df = spark.createDataFrame([(k * 7,) for k in range(300)], "k int").repartition(4)
     numbered = chunks.with_dense_id(df, "k", rows_per_cell=11)
