@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ __all__ = ["WORD", "components", "only_one", "ship", "store", "table", "with_pre
 
 # Words of the contracts: everything between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+# Edges of a task that are followed among themselves at a time.
+FOREST_EDGES = 1 << 19
 
 
 def components(edges: DataFrame, purpose: str) -> DataFrame:
@@ -25,24 +29,63 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
 
     Alternates large-star and small-star steps (Kiveris et al., "Connected Components
     in MapReduce and Beyond", 2014) until every edge points to a root. Minima combine map-side
-    and each round is stored, so a hub with very many edges costs one partial minimum per task.
+    and each round is stored, so a hub with very many edges costs one partial minimum per task. Before each round tasks
+    replace the edges they read by stars to the smallest node that these reach, which spares most rounds.
     """
     tidy = F.col("a") != F.col("b")
     pairs = edges.where(tidy).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    pairs = store(pairs, purpose)
+    pairs = _contracted(store(pairs, purpose), purpose)
     while not _are_stars(pairs):
         both = pairs.union(pairs.select("v", "u").toDF("u", "v"))
-        lowest = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
-        large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        lowest = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.max("v").alias("most"))
+        # Only nodes that others point to hand on their minimum: few, once most nodes point to roots.
+        lowest = lowest.where("most > u").select(F.col("u").alias("v"), "m")
+        large = pairs.join(lowest, "v").select("u", F.col("m").alias("v"))
         large = store(large.where("u <> v"), purpose)
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.col("m").alias("v"), F.explode(F.array("u", "v")).alias("w"))
-        small = small.select(F.col("w").alias("u"), "v").where("u <> v").distinct()
-        pairs = store(small, purpose)
+        small = small.select(F.col("w").alias("u"), "v").where("u <> v")
+        pairs = _contracted(store(small, purpose), purpose)
     roots = pairs.select("v").distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots.select("v", "v"))
 
 
+def _contracted(pairs: DataFrame, purpose: str) -> DataFrame:
+    kind = pairs.schema["u"].dataType.simpleString()
+
+    def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= FOREST_EDGES:
+                yield from _forest(held)
+                held = []
+        if held:
+            yield from _forest(held)
+
+    return store(pairs.mapInArrow(forests, f"u {kind}, v {kind}"), purpose)
+
+
+def _forest(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """Every node of these edges but the smallest of each component, with that smallest one."""
+    ends = [pa.Table.from_batches(batches).column(c).to_numpy() for c in ("u", "v")]
+    names, places = np.unique(np.concatenate(ends), return_inverse=True)
+    a, b = places[: len(ends[0])], places[len(ends[0]) :]
+    nodes = np.arange(len(names))
+    root = nodes
+    while (root[a] != root[b]).any():
+        low = np.minimum(root[a], root[b])
+        lower = root.copy()
+        np.minimum.at(lower, root[a], low)
+        np.minimum.at(lower, root[b], low)
+        while (lower[lower] != lower).any():
+            lower = lower[lower]
+        root = lower
+    moved = np.flatnonzero(root != nodes)
+    columns = [pa.array(names[at], batches[0].schema.field("u").type) for at in (moved, root[moved])]
+    return [pa.RecordBatch.from_arrays(columns, names=["u", "v"])]
+
+
 def _are_stars(pairs: DataFrame) -> bool:
     """Whether every node either points to one root or is one."""
     ends = pairs.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("out")),

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from tablewharf.llm import html_text, language, minhash, mixing, near_vectors, packing, pretokens, sharding
+from tablewharf.llm import common, html_text, language, minhash, mixing, near_vectors, packing, pretokens, sharding
 from tablewharf.llm import suffix_index, token_count, vector_search
 from tablewharf.llm.common import components, with_prefix
 from tablewharf.llm.queries import tokenizer_path
@@ -349,6 +349,26 @@ def test_main_text(spark):
     assert html_text.extract(spark.createDataFrame([], PAGES)).isEmpty()
 
 
+@pytest.mark.parametrize("size", [5, 1 << 19])
+def test_components_of_chains(spark, monkeypatch, size):
+    """Long chains, rings and hubs over several tasks: few rounds, whatever the nodes are."""
+    monkeypatch.setattr(common, "FOREST_EDGES", size)
+    rounds, are_stars = [], common._are_stars
+    monkeypatch.setattr(common, "_are_stars", lambda pairs: rounds.append(1) or are_stars(pairs))
+    rng = random.Random(4)
+    names = rng.sample(range(10**6), 900)
+    edges = [(names[i], names[i + 1]) for i in range(299)] + [(names[300 + i], names[300 + (i + 1) % 200]) for i in range(200)]
+    edges += [(names[500], names[501 + i]) for i in range(200)] + [(names[i], names[i + 50]) for i in range(700, 750)] * 2
+    rng.shuffle(edges)
+    expected = brute.groups({x for e in edges for x in e}, edges)
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    assert {r.node: r.component for r in components(frame, "test").collect()} == expected
+    assert size == 5 or len(rounds) <= 3
+    texts = spark.createDataFrame([(f"{a:07}", f"{b:07}") for a, b in edges], "a string, b string")
+    assert {int(r.node): int(r.component) for r in components(texts, "test").collect()} == expected
+    assert components(frame.limit(0), "test").isEmpty()
+
+
 def test_components_and_prefix(spark):
     rng = random.Random(9)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(1000, i) for i in range(400, 600)] + [(7, 7)]
