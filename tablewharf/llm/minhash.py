@@ -217,7 +217,6 @@ def near_duplicates(
     sketches = store(sketch(docs, shingle, bands, width), "near-sketches")
     usable = sketches.where("n_shingles > 0 and doc_id is not null")
     reps = usable.groupBy("class_key").agg(F.min(F.struct("doc_id", "n_shingles", "band_keys")).alias("r"))
-    reps = store(reps, "near-classes")
     members = reps.select(F.col("r.doc_id").alias("id"), F.col("r.n_shingles").alias("n"), F.explode("r.band_keys").alias("key"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
     members = store(members.join(shared, "key"), "near-buckets")
